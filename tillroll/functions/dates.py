@@ -14,26 +14,26 @@ _MONTH_FIRST = r"^([0-9]{1,2})-([0-9]{1,2}| [1-9])-([0-9]{4})$"
 _MONTH_NAME = r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$"
 
 
-def parse_order_date(c: Column) -> Column:
-    """Yyyy-M-d, d/M/yyyy, M-d-yyyy or d-MMM-yyyy; anything else is null.
+def year_first(text: Column) -> Column:
+    """D1, first half: trimmed d/M/yyyy and M-d-yyyy texts rewritten to yyyy-M-d, others unchanged."""
+    return F.regexp_replace(F.regexp_replace(text, _DAY_FIRST, "$3-$2-$1"), _MONTH_FIRST, "$3-$1-$2")
+
+
+def parse_year_first(text: Column) -> Column:
+    """D1, second half: yyyy-M-d and d-MMM-yyyy, null for anything else.
 
-    The four shapes exclude each other, so the text is dispatched on its shape and only rewritten to
-    ISO. A cast reports a bad date as null without raising, where a formatter per format would throw
-    and catch an exception on most rows.
+    A cast reports a bad date as null, where a formatter throws and catches an exception; so only
+    texts of the right shape get to the formatter.
     """
-    text = strip(c)
-    iso = (
-        F.when(text.rlike(_YEAR_FIRST), text)
-        .when(F.contains(text, F.lit("/")), F.regexp_replace(text, _DAY_FIRST, "$3-$2-$1"))
-        .when(text.rlike(_MONTH_FIRST), F.regexp_replace(text, _MONTH_FIRST, "$3-$1-$2"))
-    )
-    # Texts of the right separators but the wrong shape are unchanged above and must not reach the cast.
-    iso = F.when(iso.rlike(_YEAR_FIRST), F.replace(iso, F.lit(" "), F.lit("")))
-    parsed = F.coalesce(
-        iso.try_cast("date"),
-        F.try_to_date(F.when(text.rlike(_MONTH_NAME), text), "d-MMM-yyyy"),
-    )
-    return F.when(F.year(parsed) >= 1, parsed)
+    numeric = F.when(text.rlike(_YEAR_FIRST), F.replace(text, F.lit(" "), F.lit(""))).try_cast("date")
+    named = F.try_to_date(F.when(text.rlike(_MONTH_NAME), text), "d-MMM-yyyy")
+    # There is no year 0, but Spark has one.
+    return F.coalesce(F.when(~F.startswith(text, F.lit("0000")), numeric), F.when(~F.endswith(text, F.lit("0000")), named))
+
+
+def parse_order_date(c: Column) -> Column:
+    """Yyyy-M-d, d/M/yyyy, M-d-yyyy or d-MMM-yyyy, trimmed; anything else is null."""
+    return parse_year_first(year_first(strip(c)))
 
 
 def date_key(d: Column) -> Column:

@@ -27,7 +27,8 @@ def coerce_number(c: Column) -> Column:
     """
     number = F.when(c.rlike(_DECIMAL_TEXT), c).try_cast("double")
     infinite = F.when(c.rlike(_INFINITE_TEXT), c).try_cast("double")
-    return F.coalesce(F.when(F.abs(number) < float("inf"), number), infinite)
+    finite = F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
+    return F.coalesce(finite, infinite)
 
 
 def discount_or_zero(c: Column) -> Column:

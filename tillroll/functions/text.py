@@ -30,8 +30,8 @@ CANONICAL_CATEGORY = {
 DEFAULT_CUSTOMER_NAME = "Unknown Customer"
 DEFAULT_REGION = "Unspecified"
 
-# A letter that has case. Title case starts anew wherever a run of these starts.
-_CASED = r"[\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
+# Letters that have case. Title case starts anew wherever a run of these starts.
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 # U+FDD0 is a Unicode noncharacter, reserved for internal marks and never part of interchanged text.
 _WORD_MARK = "\ufdd0 "
 
@@ -59,10 +59,10 @@ def clean_text(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Upper-case after every character that has no case ("usb-c" -> "Usb-C", "500ml" -> "500Ml").
 
-    ``initcap`` starts a word only after a space, so a marked space goes in front of each run of
-    cased letters and comes out again. All three steps are generated code.
+    ``initcap`` starts a word only after a space, so a marked space goes in after any other character
+    that a word starts behind, and comes out again. All three steps are generated code.
     """
-    marked = F.regexp_replace(c, f"(?<!{_CASED})(?={_CASED})", _WORD_MARK)
+    marked = F.regexp_replace(c, f"([^{_CASED} ])([{_CASED}])", f"$1{_WORD_MARK}$2")
     return F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
 
 

@@ -1,7 +1,8 @@
 """From the text feed to cleaned order lines.
 
-The feed is read twice. The first pass reduces it to a profile, one row per category and valid price,
-which gives both the medians and the quality counts. The second pass cleans, caps and deduplicates.
+The text is parsed once, into a written table of typed lines, which also fixes the input order. A first
+pass over its few needed columns gives a profile, one row per category and valid price, from which come
+the medians and the quality counts. A second pass caps and deduplicates.
 Counts come from aggregates over these tables, never from accumulators, which would count a task
 twice when it runs again after a lost executor.
 """
@@ -13,15 +14,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.dates import parse_order_date
+from tillroll.functions.dates import parse_year_first, year_first
 from tillroll.functions.numbers import coerce_number, derive_amounts, discount_or_zero, round_cents
 from tillroll.functions.text import (
     DEFAULT_CUSTOMER_NAME,
     DEFAULT_REGION,
     canonical_category,
-    clean_text,
     impute,
     null_reader_tokens,
+    null_text_tokens,
+    strip,
     title_case,
 )
 from tillroll.operators.firsts import keep_first
@@ -29,7 +31,10 @@ from tillroll.operators.lookup import lookup
 from tillroll.operators.medians import group_medians
 from tillroll.operators.ordering import freeze_in_order, number_rows
 from tillroll.operators.staging import Staging
-from tillroll.sources.schemas import CLEAN_COLUMNS, ORDINAL
+from tillroll.sources.schemas import CLEAN_COLUMNS, ORDINAL, RAW_COLUMNS
+
+TEXT_COLUMNS = ["customer_name", "region", "product_name", "category", "payment_method", "sales_channel"]
+TITLE_COLUMNS = ["region", "product_name", "category"]
 
 # A price beyond this many medians of its category is a typing error.
 OUTLIER_FACTOR = 5
@@ -38,28 +43,25 @@ DEDUP_KEYS = ["order_id", "customer_id", "product_name", "order_date", "quantity
 
 
 def typed_lines(raw: DataFrame) -> DataFrame:
-    """Standardized text and typed columns; missing names and regions still null."""
-    def text(name: str) -> Column:
-        return clean_text(F.col(name))
-
-    def cell(name: str) -> Column:
-        return null_reader_tokens(F.col(name))
-
-    return raw.select(
-        cell("order_id").alias("order_id"),
-        parse_order_date(cell("order_date")).alias("order_date"),
-        cell("customer_id").alias("customer_id"),
-        text("customer_name").alias("customer_name"),
-        title_case(text("region")).alias("region"),
-        title_case(text("product_name")).alias("product_name"),
-        canonical_category(title_case(text("category"))).alias("category"),
-        coerce_number(cell("quantity")).alias("quantity"),
-        coerce_number(cell("unit_price")).alias("unit_price"),
-        discount_or_zero(cell("discount_percent")).alias("discount_percent"),
-        text("payment_method").alias("payment_method"),
-        text("sales_channel").alias("sales_channel"),
-        ORDINAL,
-    )
+    """Standardized text and typed columns; missing names and regions still null.
+
+    One projection per step: what a step uses twice is a column, computed once, and the code Spark
+    generates per step stays small enough for the JVM to compile.
+    """
+    cells = raw.select(*[null_reader_tokens(F.col(c)).alias(c) for c in RAW_COLUMNS], ORDINAL)
+    trimmed = cells.withColumns({c: strip(F.col(c)) for c in [*TEXT_COLUMNS, "order_date"]})
+    standard = trimmed.withColumns({
+        **{c: null_text_tokens(F.col(c)) for c in TEXT_COLUMNS},
+        "order_date": year_first(F.col("order_date")),
+        "quantity": coerce_number(F.col("quantity")),
+        "unit_price": coerce_number(F.col("unit_price")),
+        "discount_percent": discount_or_zero(F.col("discount_percent")),
+    })
+    titled = standard.withColumns({
+        **{c: title_case(F.col(c)) for c in TITLE_COLUMNS},
+        "order_date": parse_year_first(F.col("order_date")),
+    })
+    return titled.withColumn("category", canonical_category(F.col("category")))
 
 
 def impute_defaults(lines: DataFrame) -> DataFrame:
@@ -131,16 +133,17 @@ class Cleaned:
     medians: DataFrame
 
 
-def profile_feed(raw: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
-    """First pass: the profile, frozen in price order, and the category medians."""
-    profile = freeze_in_order(profile_lines(typed_lines(raw)), ["category", "price"], staging, "profile")
+def profile_typed(typed: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
+    """The profile, frozen in price order, and the category medians."""
+    profile = freeze_in_order(profile_lines(typed), ["category", "price"], staging, "profile")
     return profile, staging.write(category_medians(profile), "medians")
 
 
 def clean_sales(raw: DataFrame, staging: Staging) -> Cleaned:
     """``raw`` has the 12 text columns and ``src_ordinal``."""
-    profile, medians = profile_feed(raw, staging)
-    valid = drop_invalid(impute_defaults(typed_lines(raw)))
+    typed = staging.write(typed_lines(raw), "typed")
+    profile, medians = profile_typed(typed, staging)
+    valid = impute_defaults(drop_invalid(typed))
     lines = derive_amounts(dedup_lines(cap_outliers(valid, medians)))
     frozen = freeze_in_order(lines, [ORDINAL], staging, "clean")
     numbered = number_rows(frozen, "line_no", staging, "clean")

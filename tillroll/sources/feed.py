@@ -62,4 +62,10 @@ def write_clean_csv(clean: DataFrame, path: str, in_feed_order: bool = False) ->
     if in_feed_order:
         clean = clean.orderBy("line_no")
     clean = clean.select(*CLEAN_COLUMNS).withColumn("order_date", iso_date(F.col("order_date")))
-    clean.write.mode("overwrite").csv(path, header=True, escape='"')
+    write_csv(clean, path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Text as it is: quotes doubled, outer spaces kept, which Spark's writer would trim."""
+    plain = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**plain).csv(path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import iso_date
+from tillroll.sources.feed import write_csv
 
 # Text and layout of the report.
 TITLE = "RETAIL SALES PIPELINE — DATA QUALITY REPORT"
@@ -39,5 +40,4 @@ def write_report(metrics: DataFrame, counts: DataFrame, path: str) -> None:
 
 def write_flat_csv(flat: DataFrame, path: str) -> None:
     """The flat view as text with a header."""
-    text = flat.withColumn("full_date", iso_date(F.col("full_date")))
-    text.write.mode("overwrite").csv(path, header=True, escape='"')
+    write_csv(flat.withColumn("full_date", iso_date(F.col("full_date"))), path)
