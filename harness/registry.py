@@ -106,7 +106,7 @@ def feed_csv(ws: Workspace) -> DataFrame:
     path = f"{staging.folder}/feed_csv"
     write_csv(ws.raw.orderBy(ORDINAL).select(*RAW_COLUMNS), path)
     frozen = freeze_in_order(with_nulls(read_feed(ws.spark, path)), [ORDINAL], staging, "feed")
-    return number_rows(frozen, "input_line", staging, "feed").drop(ORDINAL)
+    return number_rows(frozen, "input_line").drop(ORDINAL)
 
 
 def clean_csv(ws: Workspace) -> DataFrame:

@@ -27,15 +27,22 @@ def freeze_in_order(df: DataFrame, order: list[str], staging: Staging, name: str
     return staging.write(ranged.withColumn(SLOT, F.monotonically_increasing_id()), name)
 
 
-def number_rows(frozen: DataFrame, number: str, staging: Staging, name: str) -> DataFrame:
+def number_rows(frozen: DataFrame, number: str) -> DataFrame:
     """Add ``number`` = 1, 2, 3, ... in the frozen order and drop the slot; no shuffle of the rows.
 
     Only one row per range partition goes through the running total and is broadcast, so both are
     bounded by the number of write tasks, not by the data.
     """
     sizes = frozen.groupBy(chunk_of(F.col(SLOT)).alias("chunk")).agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.orderBy("chunk")) - F.col("n")
-    offsets = staging.write(sizes.select("chunk", before.alias("before")), f"{name}_offsets")
+    return place_rows(frozen, running_offsets(sizes, "n"), number)
+
+
+def running_offsets(sizes: DataFrame, n: str) -> DataFrame:
+    """Per range partition, how much comes before it."""
+    return sizes.select("chunk", (F.sum(n).over(Window.orderBy("chunk")) - F.col(n)).alias("before"))
+
+
+def place_rows(frozen: DataFrame, offsets: DataFrame, number: str) -> DataFrame:
     place = F.col(SLOT).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     return (
         frozen.join(F.broadcast(offsets), chunk_of(F.col(SLOT)) == F.col("chunk"))
@@ -53,8 +60,7 @@ def rank_descending(df: DataFrame, by: str, rank: str, staging: Staging, name: s
     values = values.withColumn("descending", -F.col(by))
     frozen = freeze_in_order(values, ["descending"], staging, name)
     totals = frozen.groupBy(chunk_of(F.col(SLOT)).alias("chunk")).agg(F.sum("n").alias("chunk_n"))
-    before_chunk = F.sum("chunk_n").over(Window.orderBy("chunk")) - F.col("chunk_n")
-    offsets = totals.select("chunk", before_chunk.alias("before"))
+    offsets = running_offsets(totals, "chunk_n")
     placed = frozen.withColumn("chunk", chunk_of(F.col(SLOT))).join(F.broadcast(offsets), "chunk")
     inside = F.sum("n").over(Window.partitionBy("chunk").orderBy(SLOT)) - F.col("n")
     ranks = placed.select(by, (F.col("before") + inside + 1).alias(rank))

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -34,3 +40,10 @@ class Staging:
         path = f"{self.folder}/{name}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:
+    """Submit independent Spark jobs at once, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [r.result() for r in running]

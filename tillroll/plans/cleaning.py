@@ -29,7 +29,7 @@ from tillroll.functions.text import (
 from tillroll.operators.firsts import keep_first
 from tillroll.operators.lookup import lookup
 from tillroll.operators.medians import group_medians
-from tillroll.operators.ordering import freeze_in_order, number_rows
+from tillroll.operators.ordering import SLOT, chunk_of, freeze_in_order, place_rows, running_offsets
 from tillroll.operators.staging import Staging
 from tillroll.sources.schemas import CLEAN_COLUMNS, ORDINAL, RAW_COLUMNS
 
@@ -146,5 +146,7 @@ def clean_sales(raw: DataFrame, staging: Staging) -> Cleaned:
     valid = impute_defaults(drop_invalid(typed))
     lines = derive_amounts(dedup_lines(cap_outliers(valid, medians)))
     frozen = freeze_in_order(lines, [ORDINAL], staging, "clean")
-    numbered = number_rows(frozen, "line_no", staging, "clean")
+    # Written as well, since several later plans number the lines.
+    sizes = frozen.groupBy(chunk_of(F.col(SLOT)).alias("chunk")).agg(F.count("*").alias("n"))
+    numbered = place_rows(frozen, staging.write(running_offsets(sizes, "n"), "clean_offsets"), "line_no")
     return Cleaned(numbered.select(*CLEAN_COLUMNS, "line_no"), profile, medians)

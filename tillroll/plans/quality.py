@@ -95,10 +95,31 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return per_key.join(dim.select(key), key, "left_anti")
 
 
-def _status(counts: DataFrame, names: list[str]) -> DataFrame:
+def _orphan_counts(warehouse: Warehouse, names: dict[str, str]) -> DataFrame:
+    """Orphaned lines per foreign key as (check_name, violations), in one pass over the fact.
+
+    ``names`` maps foreign keys to check names; a key without orphans has no row.
+    """
+    def entry(key: str) -> Column:
+        return F.struct(F.lit(names[key]).alias("check_name"), F.col(key).alias("key"))
+
+    used = warehouse["fact_sales"].select(F.inline(F.array(*[entry(key) for key in names])))
+    per_key = used.groupBy("check_name", "key").agg(F.count("*").alias("violations"))
+    known = _union([
+        warehouse[FOREIGN_KEYS[key]].select(F.lit(name).alias("check_name"), F.col(key).alias("key"))
+        for key, name in names.items()
+    ])
+    return per_key.join(known, ["check_name", "key"], "left_anti").select("check_name", "violations")
+
+
+def _status(counts: list[DataFrame], names: list[str]) -> DataFrame:
+    """Violations per name, 0 for a name without any."""
+    none = F.array(*[F.struct(F.lit(x).alias("check_name"), F.lit(0).cast("long").alias("violations")) for x in names])
+    zeros = counts[0].sparkSession.range(1, numPartitions=1).select(F.inline(none))
     position = F.array_position(F.array(*[F.lit(x) for x in names]), F.col("check_name")).cast("int")
     status = F.when(F.col("violations") == 0, "PASS").otherwise("FAIL")
-    return counts.select(position.alias("position"), "check_name", "violations", status.alias("status"))
+    totals = _union([*counts, zeros]).groupBy("check_name").agg(F.sum("violations").alias("violations"))
+    return totals.select(position.alias("position"), "check_name", "violations", status.alias("status"))
 
 
 def warehouse_checks(warehouse: Warehouse) -> DataFrame:
@@ -117,39 +138,38 @@ def warehouse_checks(warehouse: Warehouse) -> DataFrame:
         violations(off).alias(V5),
     )
     groups = duplicate_groups(fact, ["order_id", "product_key", "date_key"]).agg(F.count("*").alias(V6))
-    customer = orphan_keys(fact, warehouse["dim_customer"], "customer_key").agg(_total(F.col("n_lines")).alias(V7))
-    product = orphan_keys(fact, warehouse["dim_product"], "product_key").agg(_total(F.col("n_lines")).alias(V8))
-    counts = _union([_long(df, "check_name", "violations") for df in (rows, groups, customer, product)])
-    return _status(counts, CHECKS)
+    orphans = _orphan_counts(warehouse, {"customer_key": V7, "product_key": V8})
+    return _status([_long(rows, "check_name", "violations"), _long(groups, "check_name", "violations"), orphans], CHECKS)
 
 
 def constraint_checks(warehouse: Warehouse) -> DataFrame:
     """V9: what the table definitions demand (K1-K4), as (position, check_name, violations, status)."""
-    parts, names = [], []
-
-    def add(df: DataFrame) -> None:
-        names.extend(df.columns)
-        parts.append(_long(df, "check_name", "violations"))
-
+    counts, names, keys = [], [], []
     for table, columns in NOT_NULL.items():
-        rules = [_total(F.col(c).isNull().cast("long")).alias(f"{table}: {c} not null") for c in columns]
+        rules = {f"{table}: {c} not null": F.col(c).isNull() for c in columns}
         if table == "fact_sales":
-            rules += [
-                _total((F.col(c) <= 0).cast("long")).alias(f"{table}: {c} > 0") for c in ("quantity", "unit_price")
-            ]
-        else:
-            rules += [
-                (F.count(c) - F.count_distinct(c)).alias(f"{table}: {c} unique") for c in UNIQUE[table]
-            ]
-        add(warehouse[table].agg(*rules))
-    # Apart from the wide scan above, so that the shuffle carries the key alone.
+            rules |= {f"{table}: {c} > 0": F.col(c) <= 0 for c in ("quantity", "unit_price")}
+        broken = warehouse[table].agg(*[_total(rule.cast("long")).alias(name) for name, rule in rules.items()])
+        counts.append(_long(broken, "check_name", "violations"))
+        names += [*rules, *[f"{table}: {key} unique" for key in UNIQUE[table]]]
+        # The text of a key tells keys of different tables apart by the check's name.
+        keys += [
+            warehouse[table].where(F.col(key).isNotNull()).select(
+                F.lit(f"{table}: {key} unique").alias("check_name"), F.col(key).cast("string").alias("key")
+            )
+            for key in UNIQUE[table] if table != "fact_sales"
+        ]
+    # The fact's key goes alone and as a number, since it is the only one with a row per line.
     for key in UNIQUE["fact_sales"]:
-        groups = duplicate_groups(warehouse["fact_sales"], [key])
-        add(groups.agg(_total(F.col("n_lines") - 1).alias(f"fact_sales: {key} unique")))
-    for key, table in FOREIGN_KEYS.items():
-        orphans = orphan_keys(warehouse["fact_sales"], warehouse[table], key)
-        add(orphans.agg(_total(F.col("n_lines")).alias(f"fact_sales: {key} in {table}")))
-    return _status(_union(parts), names)
+        repeated = duplicate_groups(warehouse["fact_sales"], [key])
+        counts.append(repeated.select(
+            F.lit(f"fact_sales: {key} unique").alias("check_name"), (F.col("n_lines") - 1).alias("violations")
+        ))
+    repeated = duplicate_groups(_union(keys), ["check_name", "key"])
+    counts.append(repeated.select("check_name", (F.col("n_lines") - 1).alias("violations")))
+    references = {key: f"fact_sales: {key} in {table}" for key, table in FOREIGN_KEYS.items()}
+    counts.append(_orphan_counts(warehouse, references))
+    return _status(counts, [*names, *references.values()])
 
 
 def require_passed(checks: DataFrame) -> list:

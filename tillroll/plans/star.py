@@ -9,7 +9,7 @@ from tillroll.functions.dates import date_attributes, date_key
 from tillroll.operators.firsts import first_values
 from tillroll.operators.lookup import lookup
 from tillroll.operators.ordering import freeze_in_order, number_rows
-from tillroll.operators.staging import Staging
+from tillroll.operators.staging import Staging, side_by_side
 from tillroll.sources.schemas import FACT_SALES
 
 
@@ -22,7 +22,7 @@ def keyed_dimension(
     """
     members = first_values(clean, natural_key, payload, "line_no")
     frozen = freeze_in_order(members, ["first_line"], staging, surrogate_key)
-    numbered = number_rows(frozen, surrogate_key, staging, surrogate_key)
+    numbered = number_rows(frozen, surrogate_key)
     numbered = numbered.withColumn(surrogate_key, F.col(surrogate_key).cast("int"))
     return numbered.select(surrogate_key, natural_key, *payload, "n_lines")
 
@@ -72,7 +72,12 @@ def fact(clean: DataFrame, customer: DataFrame, product: DataFrame, region: Data
 
 def build_star(clean: DataFrame, staging: Staging) -> dict[str, DataFrame]:
     """The five tables, not yet written."""
-    customer, product, region = customers(clean, staging), products(clean, staging), regions(clean, staging)
+    customer, product, region = side_by_side(
+        clean.sparkSession,
+        lambda: customers(clean, staging),
+        lambda: products(clean, staging),
+        lambda: regions(clean, staging),
+    )
     return {
         "dim_customer": customer.drop("n_lines"),
         "dim_product": product.drop("n_lines"),

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.operators.lookup import lookup, measured_bytes
+from tillroll.operators.staging import side_by_side
 from tillroll.sources.schemas import WAREHOUSE_TABLES
 
 _PUBLISHED = "run string, published_at timestamp"
@@ -57,14 +59,17 @@ def table_schema(name: str) -> T.StructType:
 def write_run(tables: dict[str, DataFrame], root: str) -> str:
     """Write every table into a new run and return its name."""
     run = uuid.uuid4().hex
-    for name, df in tables.items():
+
+    def write(name: str) -> None:
         path = f"{root}/runs/{run}/{name}"
         if name == "fact_sales":
             # One extra shuffle lets Spark cut the files of each year to size, splitting large years.
-            by_year = df.withColumn(SALE_YEAR, F.expr("date_key div 10000").cast("int"))
+            by_year = tables[name].withColumn(SALE_YEAR, F.expr("date_key div 10000").cast("int"))
             by_year.hint("rebalance", SALE_YEAR).write.partitionBy(SALE_YEAR).parquet(path)
         else:
-            df.write.parquet(path)
+            tables[name].write.parquet(path)
+
+    side_by_side(tables["fact_sales"].sparkSession, *[partial(write, name) for name in tables])
     return run
 
 
@@ -77,8 +82,8 @@ def read_run(spark: SparkSession, root: str, run: str) -> Warehouse:
 
 def publish(spark: SparkSession, root: str, run: str) -> None:
     """S6."""
-    row = spark.createDataFrame([(run,)], "run string").withColumn("published_at", F.current_timestamp())
-    row.coalesce(1).write.mode("append").parquet(f"{root}/published")
+    row = spark.range(1, numPartitions=1).select(F.lit(run).alias("run"), F.current_timestamp().alias("published_at"))
+    row.write.mode("append").parquet(f"{root}/published")
 
 
 def read_warehouse(spark: SparkSession, root: str) -> Warehouse:
