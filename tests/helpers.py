@@ -1,0 +1,39 @@
+"""The hand-written feed of FIXTURES.md, section 3, and small conveniences."""
+
+from pyspark.sql import functions as F
+
+from tillroll.sources.schemas import ORDINAL, RAW_COLUMNS
+
+MINI_FEED = [
+    ("ORD1", "2024-06-01", "C1", "  Ann Lee  ", " North", "Yoga Mat", "Sports", "2", "10.00", "10"),
+    ("ORD2", "01/12/2024", "C2", "", "south", "YOGA MAT", "Sports", "1", "12.00", ""),
+    ("ORD3", "06-15-2024", "C1", "Ann Lee", "", "Football", "Sports", "3", "20.00", "0"),
+    ("ORD4", "15-Aug-2025", "C2", "Bob Ray", "EAST", "Football", "Sports", "1", "2000.00", "5"),
+    ("ORD1", "2024-06-01", "C1", "  Ann Lee  ", " North", "Yoga Mat", "Sports", "2", "10.00", "10"),
+    ("ORD5", "31/02/2024", "C1", "Ann Lee", "West", "Football", "Sports", "1", "20.00", "0"),
+    ("ORD6", "2024-07-01", "C3", "Cy Poe", "West", "Football", "Sports", "-1", "20.00", "0"),
+    ("ORD7", "2024-07-01", "C3", "Cy Poe", "West", "Football", "Sports", "1", "0", "0"),
+    ("ORD8", "2024-07-02", "C3", "None", "West", "usb-c hub", "electronics ", "1", "50.25", "20"),
+    ("ORD9", "2024-07-02", "C3", "Cy Poe", "West", "USB-C Hub", "Electronic", "1", "abc", "0"),
+]
+
+
+def feed(spark, rows, partitions=2):
+    """Rows of the first ten columns; payment and channel are the same on every line."""
+    full = [(*row, "UPI", "Online", i) for i, row in enumerate(rows)]
+    schema = ", ".join(f"{c} string" for c in RAW_COLUMNS) + f", {ORDINAL} bigint"
+    return spark.createDataFrame(full, schema).repartition(partitions)
+
+
+def one_column(spark, values, type_="string"):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, c {type_}")
+
+
+def apply(spark, values, expression, type_="string"):
+    """The expression over each value, in order."""
+    rows = one_column(spark, values, type_).select("i", expression(F.col("c")).alias("r")).collect()
+    return [r.r for r in sorted(rows)]
+
+
+def tuples(df, *columns):
+    return [tuple(r) for r in df.select(*columns).collect()]
