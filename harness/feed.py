@@ -33,8 +33,10 @@ def messy_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     geography = table("nation").join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    # The driver's table is one small file with one row group, which a single task would read and write.
+    lineitem = table("lineitem").repartition("l_orderkey", "l_partkey", "l_linenumber")
     joined = (
-        table("lineitem")
+        lineitem
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(geography, F.col("c_nationkey") == F.col("n_nationkey"))

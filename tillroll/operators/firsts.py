@@ -10,13 +10,15 @@ def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One whole row per key, the first by ``order``; null keys equal each other.
 
     Spark applies the row-number limit before the shuffle too, so a group of copies of any size sends
-    at most one row per task.
+    at most one row per task. The hash in front of the keys lets the sorts compare one number for all
+    but equal keys.
     """
-    first = Window.partitionBy(*keys).orderBy(order)
+    first = Window.partitionBy("_hash", *keys).orderBy(order)
     return (
-        df.withColumn("_row", F.row_number().over(first))
+        df.withColumn("_hash", F.xxhash64(*keys))
+        .withColumn("_row", F.row_number().over(first))
         .where(F.col("_row") == 1)
-        .drop("_row")
+        .drop("_hash", "_row")
     )
 
 

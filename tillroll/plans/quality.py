@@ -37,38 +37,43 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _long(df: DataFrame, name: str, value: str) -> DataFrame:
-    """One-row frame of named numbers -> rows of (name, number)."""
-    entries = [F.struct(F.lit(c).alias(name), F.col(f"`{c}`").cast("long").alias(value)) for c in df.columns]
-    return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+def _text(value: str) -> str:
+    """SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _total(c: Column) -> Column:
-    return F.coalesce(F.sum(c), F.lit(0))
+def _texts(values: list[str]) -> str:
+    return ", ".join(map(_text, values))
+
+
+def _totals(df: DataFrame, sums: dict[str, str], name: str, value: str) -> DataFrame:
+    """One pass over ``df``: the total of each SQL expression, as rows of (name, value)."""
+    totals = df.agg(*[F.expr(f"coalesce(sum(CAST({x} AS BIGINT)), 0L) AS `{label}`") for label, x in sums.items()])
+    entries = ", ".join(f"{_text(label)}, `{label}`" for label in sums)
+    return totals.selectExpr(f"stack({len(sums)}, {entries}) AS ({name}, {value})")
+
+
+def _position(names: list[str], column: str) -> Column:
+    return F.expr(f"CAST(array_position(array({_texts(names)}), {column}) AS INT) AS position")
 
 
 def dq_metrics(cleaned: Cleaned) -> DataFrame:
     """M1-M8 as (position, metric, value). Differences are sums of signed parts, so nothing is collected."""
-    n = F.col
-    profile = cleaned.profile
-    counted = profile.agg(
-        _total(n("n_lines")).alias("input_rows"),
-        _total(n("n_invalid_date")).alias("invalid_dates"),
-        _total(n("n_no_name")).alias("missing_customer_name"),
-        _total(n("n_no_region")).alias("missing_region"),
-        _total(n("n_no_quantity")).alias("missing_quantity"),
-        _total(n("n_no_price")).alias("missing_unit_price"),
-        _total(n("n_lines") - n("n_valid")).alias("rows_dropped_invalid"),
-        _total(n("n_valid")).alias("duplicate_rows_removed"),
-    )
-    outliers = profile.join(cleaned.medians, "category").where(is_outlier(F.col("price"), F.col("median")))
-    capped = outliers.agg(_total(n("n_valid")).alias("price_outliers_capped"))
-    kept = cleaned.lines.agg(F.count("*").alias("output_rows"), (-F.count("*")).alias("duplicate_rows_removed"))
-    parts = _union([_long(df, "metric", "part") for df in (counted, capped, kept)])
-    positions = F.array_position(F.array(*[F.lit(m) for m in METRICS]), F.col("metric")).cast("int")
-    return parts.groupBy("metric").agg(F.sum("part").alias("value")).select(
-        positions.alias("position"), "metric", "value"
-    )
+    counted = _totals(cleaned.profile, {
+        "input_rows": "n_lines",
+        "invalid_dates": "n_invalid_date",
+        "missing_customer_name": "n_no_name",
+        "missing_region": "n_no_region",
+        "missing_quantity": "n_no_quantity",
+        "missing_unit_price": "n_no_price",
+        "rows_dropped_invalid": "n_lines - n_valid",
+        "duplicate_rows_removed": "n_valid",
+    }, "metric", "part")
+    outliers = cleaned.profile.join(cleaned.medians, "category").where(is_outlier(F.col("price"), F.col("median")))
+    capped = _totals(outliers, {"price_outliers_capped": "n_valid"}, "metric", "part")
+    kept = _totals(cleaned.lines, {"output_rows": "1", "duplicate_rows_removed": "-1"}, "metric", "part")
+    values = _union([counted, capped, kept]).groupBy("metric").agg(F.sum("part").alias("value"))
+    return values.select(_position(METRICS, "metric"), "metric", "value")
 
 
 def load_counts(warehouse: Warehouse) -> DataFrame:
@@ -100,13 +105,11 @@ def _orphan_counts(warehouse: Warehouse, names: dict[str, str]) -> DataFrame:
 
     ``names`` maps foreign keys to check names; a key without orphans has no row.
     """
-    def entry(key: str) -> Column:
-        return F.struct(F.lit(names[key]).alias("check_name"), F.col(key).alias("key"))
-
-    used = warehouse["fact_sales"].select(F.inline(F.array(*[entry(key) for key in names])))
+    entries = ", ".join(f"{_text(name)}, {key}" for key, name in names.items())
+    used = warehouse["fact_sales"].selectExpr(f"stack({len(names)}, {entries}) AS (check_name, key)")
     per_key = used.groupBy("check_name", "key").agg(F.count("*").alias("violations"))
     known = _union([
-        warehouse[FOREIGN_KEYS[key]].select(F.lit(name).alias("check_name"), F.col(key).alias("key"))
+        warehouse[FOREIGN_KEYS[key]].selectExpr(f"{_text(name)} AS check_name", f"{key} AS key")
         for key, name in names.items()
     ])
     return per_key.join(known, ["check_name", "key"], "left_anti").select("check_name", "violations")
@@ -114,59 +117,49 @@ def _orphan_counts(warehouse: Warehouse, names: dict[str, str]) -> DataFrame:
 
 def _status(counts: list[DataFrame], names: list[str]) -> DataFrame:
     """Violations per name, 0 for a name without any."""
-    none = F.array(*[F.struct(F.lit(x).alias("check_name"), F.lit(0).cast("long").alias("violations")) for x in names])
-    zeros = counts[0].sparkSession.range(1, numPartitions=1).select(F.inline(none))
-    position = F.array_position(F.array(*[F.lit(x) for x in names]), F.col("check_name")).cast("int")
-    status = F.when(F.col("violations") == 0, "PASS").otherwise("FAIL")
+    zeros = counts[0].sparkSession.range(1, numPartitions=1).selectExpr(
+        f"explode(array({_texts(names)})) AS check_name", "0L AS violations"
+    )
     totals = _union([*counts, zeros]).groupBy("check_name").agg(F.sum("violations").alias("violations"))
-    return totals.select(position.alias("position"), "check_name", "violations", status.alias("status"))
+    status = F.expr("CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status")
+    return totals.select(_position(names, "check_name"), "check_name", "violations", status)
 
 
 def warehouse_checks(warehouse: Warehouse) -> DataFrame:
     """V1-V8 as (position, check_name, violations, status); V1-V5 share one scan of the fact."""
     fact = warehouse["fact_sales"]
-
-    def violations(condition: Column) -> Column:
-        return _total(condition.cast("long"))
-
-    off = F.abs(F.col("net_amount") - (F.col("gross_amount") - F.col("discount_amount"))) > 0.01
-    rows = fact.agg(
-        violations(F.col("customer_key").isNull()).alias(V1),
-        violations(F.col("product_key").isNull()).alias(V2),
-        violations(F.col("quantity") <= 0).alias(V3),
-        violations(F.col("unit_price") <= 0).alias(V4),
-        violations(off).alias(V5),
-    )
-    groups = duplicate_groups(fact, ["order_id", "product_key", "date_key"]).agg(F.count("*").alias(V6))
+    rows = _totals(fact, {
+        V1: "customer_key IS NULL",
+        V2: "product_key IS NULL",
+        V3: "quantity <= 0",
+        V4: "unit_price <= 0",
+        V5: "abs(net_amount - (gross_amount - discount_amount)) > 0.01",
+    }, "check_name", "violations")
+    groups = duplicate_groups(fact, ["order_id", "product_key", "date_key"])
+    repeated = _totals(groups, {V6: "1"}, "check_name", "violations")
     orphans = _orphan_counts(warehouse, {"customer_key": V7, "product_key": V8})
-    return _status([_long(rows, "check_name", "violations"), _long(groups, "check_name", "violations"), orphans], CHECKS)
+    return _status([rows, repeated, orphans], CHECKS)
 
 
 def constraint_checks(warehouse: Warehouse) -> DataFrame:
     """V9: what the table definitions demand (K1-K4), as (position, check_name, violations, status)."""
     counts, names, keys = [], [], []
     for table, columns in NOT_NULL.items():
-        rules = {f"{table}: {c} not null": F.col(c).isNull() for c in columns}
+        rules = {f"{table}: {c} not null": f"{c} IS NULL" for c in columns}
         if table == "fact_sales":
-            rules |= {f"{table}: {c} > 0": F.col(c) <= 0 for c in ("quantity", "unit_price")}
-        broken = warehouse[table].agg(*[_total(rule.cast("long")).alias(name) for name, rule in rules.items()])
-        counts.append(_long(broken, "check_name", "violations"))
+            rules |= {f"{table}: {c} > 0": f"{c} <= 0" for c in ("quantity", "unit_price")}
+        else:
+            # The key as text, so that one pass serves all dimensions; the check's name tells them apart.
+            entries = ", ".join(f"'{table}: {key} unique', CAST({key} AS STRING)" for key in UNIQUE[table])
+            keys.append(warehouse[table].selectExpr(f"stack({len(UNIQUE[table])}, {entries}) AS (check_name, key)"))
+        counts.append(_totals(warehouse[table], rules, "check_name", "violations"))
         names += [*rules, *[f"{table}: {key} unique" for key in UNIQUE[table]]]
-        # The text of a key tells keys of different tables apart by the check's name.
-        keys += [
-            warehouse[table].where(F.col(key).isNotNull()).select(
-                F.lit(f"{table}: {key} unique").alias("check_name"), F.col(key).cast("string").alias("key")
-            )
-            for key in UNIQUE[table] if table != "fact_sales"
-        ]
+    repeated = [duplicate_groups(_union(keys).where("key IS NOT NULL"), ["check_name", "key"])]
     # The fact's key goes alone and as a number, since it is the only one with a row per line.
     for key in UNIQUE["fact_sales"]:
-        repeated = duplicate_groups(warehouse["fact_sales"], [key])
-        counts.append(repeated.select(
-            F.lit(f"fact_sales: {key} unique").alias("check_name"), (F.col("n_lines") - 1).alias("violations")
-        ))
-    repeated = duplicate_groups(_union(keys), ["check_name", "key"])
-    counts.append(repeated.select("check_name", (F.col("n_lines") - 1).alias("violations")))
+        groups = duplicate_groups(warehouse["fact_sales"].where(F.col(key).isNotNull()), [key])
+        repeated.append(groups.selectExpr(f"'fact_sales: {key} unique' AS check_name", "n_lines"))
+    counts += [groups.selectExpr("check_name", "n_lines - 1 AS violations") for groups in repeated]
     references = {key: f"fact_sales: {key} in {table}" for key, table in FOREIGN_KEYS.items()}
     counts.append(_orphan_counts(warehouse, references))
     return _status(counts, [*names, *references.values()])

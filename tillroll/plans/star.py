@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import date_attributes, date_key
 from tillroll.operators.firsts import first_values
-from tillroll.operators.lookup import lookup
+from tillroll.operators.lookup import lookup, measured_bytes
 from tillroll.operators.ordering import freeze_in_order, number_rows
 from tillroll.operators.staging import Staging, side_by_side
 from tillroll.sources.schemas import FACT_SALES
@@ -58,14 +60,15 @@ def fact(clean: DataFrame, customer: DataFrame, product: DataFrame, region: Data
     def fitted(name: str) -> Column:
         return F.col(name).try_cast(types[name]).alias(name)
 
-    keyed = lookup(clean, customer.select("customer_id", "customer_key", "n_lines"), "customer_id", weight="n_lines")
-    keyed = lookup(keyed, product.select("product_name", "product_key", "n_lines"), "product_name", weight="n_lines")
-    keyed = lookup(
-        keyed.withColumnRenamed("region", "region_name"),
-        region.select("region_name", "region_key", "n_lines"),
-        "region_name",
-        weight="n_lines",
-    )
+    dimensions = {
+        "customer_id": customer.select("customer_id", "customer_key", "n_lines"),
+        "product_name": product.select("product_name", "product_key", "n_lines"),
+        "region_name": region.select("region_name", "region_key", "n_lines"),
+    }
+    sizes = side_by_side(clean.sparkSession, *[partial(measured_bytes, table) for table in dimensions.values()])
+    keyed = clean.withColumnRenamed("region", "region_name")
+    for (key, table), size in zip(dimensions.items(), sizes):
+        keyed = lookup(keyed, table, key, weight="n_lines", table_bytes=size)
     computed = {"sale_key": F.col("line_no").alias("sale_key"), "date_key": date_key(F.col("order_date")).alias("date_key")}
     return keyed.select(*[computed.get(name, fitted(name)) for name in types])
 

@@ -24,6 +24,7 @@ def read_feed(spark: SparkSession, path: str | list[str], multi_line: bool = Tru
     if missing:
         raise ValueError(f"the feed lacks the columns {missing}")
     files = sorted(df.inputFiles())
+    tasks = spark.sparkContext.defaultParallelism
     located = df.select(
         *RAW_COLUMNS,
         _plain_path(F.col("_metadata.file_path")).alias("_path"),
@@ -39,6 +40,9 @@ def read_feed(spark: SparkSession, path: str | list[str], multi_line: bool = Tru
             numbers = F.broadcast(numbers)
         located = located.join(numbers, "_path", "left")
         file_no = F.coalesce("_file", F.raise_error(F.concat(F.lit("not a listed file: "), "_path")).cast("int"))
+    if multi_line and len(files) < tasks:
+        # Each file is read by one task; the work after that is for all of them.
+        located = located.repartition(tasks, "_block", "_row")
     # Rows of one block are read by one task in order, so the running id orders them.
     ordinal = F.struct(file_no.alias("file"), F.col("_block").alias("block"), F.col("_row").alias("row"))
     return located.select(*RAW_COLUMNS, ordinal.alias(ORDINAL))
