@@ -13,7 +13,7 @@ from harness.feed import messy_feed
 from tillroll.operators.staging import Staging
 from tillroll.plans.cleaning import profile_typed, typed_lines
 from tillroll.plans.retail import Load, load_warehouse
-from tillroll.session import tune
+from tillroll.session import input_bytes, tune
 from tillroll.sources.warehouse import read_warehouse
 
 
@@ -60,7 +60,8 @@ _workspaces: dict[tuple[str, str], Workspace] = {}
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _workspaces:
-        tune(spark)
+        # The feed spells out as text what the tables hold as compressed numbers.
+        tune(spark, 8 * input_bytes(spark, f"{sf_dir}/lineitem.parquet"))
         staging = Staging(spark)
         _workspaces[key] = Workspace(spark, staging, staging.write(messy_feed(spark, sf_dir), "feed"))
     return _workspaces[key]

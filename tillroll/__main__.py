@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from tillroll.plans.analytics import sales_flat
 from tillroll.plans.quality import warehouse_checks
 from tillroll.plans.retail import run_etl
-from tillroll.session import tune
+from tillroll.session import input_bytes, tune
 from tillroll.sources.feed import read_feed
 from tillroll.sources.reports import write_flat_csv
 from tillroll.sources.warehouse import read_warehouse
@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = tune(SparkSession.builder.appName("tillroll").getOrCreate())
     if args.command == "load":
+        tune(spark, input_bytes(spark, args.feed))
         run_etl(read_feed(spark, args.feed, not args.single_line), args.warehouse, args.clean_csv, args.report)
     elif args.command == "export":
         write_flat_csv(sales_flat(read_warehouse(spark, args.warehouse)), args.target)

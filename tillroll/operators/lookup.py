@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.operators.staging import Staging
+
 BROADCAST_BYTES = 64 << 20
 # A key is hot from a 2000th of all lines on, so there are never more than 2000 hot keys.
 HOT_KEYS = 2000
@@ -54,7 +56,9 @@ def lookup(
 
     if weight is None:
         counts = lines.groupBy(key).agg(F.count("*").alias("_weight"))
-        table, weight = table.join(counts, key), "_weight"
+        # Written, since what follows reads it three times.
+        table = Staging(lines.sparkSession).write(table.join(counts, key), "weights")
+        weight = "_weight"
     threshold = table.agg(F.sum(weight)).first()[0] / hot_keys
 
     hot = table.where(F.col(weight) >= threshold)

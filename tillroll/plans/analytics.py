@@ -66,6 +66,7 @@ def category_profit(wh: Warehouse, staging: Staging | None = None) -> DataFrame:
         ranked = categories.withColumn("profit_rank", F.rank().over(best_first))
     else:
         staging = staging or Staging(categories.sparkSession)
+        categories = staging.write(categories, "categories")
         ranked = rank_descending(categories, "total_profit", "profit_rank", staging, "category_rank")
     return ranked.orderBy(F.col("total_profit").desc()).select(
         "category", "total_revenue", "total_profit", "profit_margin_percent", "profit_rank"
@@ -91,7 +92,7 @@ def top_product(wh: Warehouse) -> DataFrame:
     )
 
 
-def region_share(wh: Warehouse) -> DataFrame:
+def region_share(wh: Warehouse, staging: Staging | None = None) -> DataFrame:
     """Q4. ``avg_order_value`` is the mean per line."""
     per_key = wh["fact_sales"].groupBy("region_key").agg(
         F.count_distinct("order_id").alias("total_orders"),
@@ -99,13 +100,18 @@ def region_share(wh: Warehouse) -> DataFrame:
         F.count("net_amount").alias("n_lines"),
     )
     known = per_key.join(wh["dim_region"], "region_key")
-    whole = known.agg(F.sum("total_revenue")).scalar()
+    if wh.rows("dim_region") <= SMALL_ROWS:
+        known = known.withColumn("whole", F.sum("total_revenue").over(Window.partitionBy()))
+    else:
+        # Written, since the total would otherwise scan the fact again.
+        known = (staging or Staging(known.sparkSession)).write(known, "regions")
+        known = known.withColumn("whole", known.agg(F.sum("total_revenue")).scalar())
     return known.orderBy(F.col("total_revenue").desc()).select(
         "region_name",
         "total_orders",
         "total_revenue",
         F.round(F.try_divide("total_revenue", "n_lines"), 2).alias("avg_order_value"),
-        F.round(_percent(F.col("total_revenue"), whole), 2).alias("pct_of_total_revenue"),
+        F.round(_percent(F.col("total_revenue"), F.col("whole")), 2).alias("pct_of_total_revenue"),
     )
 
 

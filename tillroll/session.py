@@ -3,13 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # The JVM does not compile methods beyond 8000 bytes of bytecode. Cleaning many text columns can come
 # near that in one generated method; with this limit Spark splits such code instead.
 SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
+# Input per task until there are MOST_TASKS of them; beyond that tasks grow, because the number of
+# shuffle blocks grows with the square of the number of tasks.
+TASK_BYTES = 256 << 20
+MOST_TASKS = 30_000
 
-def tune(spark: SparkSession) -> SparkSession:
+
+def input_bytes(spark: SparkSession, path: str | list[str]) -> int:
+    """Total size of the files under a path; lists them without reading them."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
+def tune(spark: SparkSession, size: int = 0) -> SparkSession:
+    """Apply the settings, and size scans and shuffles for ``size`` bytes of input.
+
+    Shuffles start with enough partitions that none outgrows a task, and AQE merges small ones. Small
+    inputs leave the session's own numbers alone.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    tasks = min(-(-size // TASK_BYTES), MOST_TASKS)
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(tasks))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(TASK_BYTES, size // tasks)))
     return spark
