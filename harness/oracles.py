@@ -261,6 +261,13 @@ PER_CUSTOMER = """
            max(full_date) AS last_date
     FROM fact JOIN customers USING (customer_key) JOIN days USING (date_key) GROUP BY customer_id, customer_name"""
 
+SEGMENTS = f"""
+    SELECT customer_id, customer_name, order_count, CAST(ltv AS DOUBLE) AS lifetime_value,
+           CAST(last_date AS VARCHAR) AS last_purchase_date,
+           CASE WHEN order_count = 1 THEN 'One-time' WHEN order_count BETWEEN 2 AND 4 THEN 'Occasional'
+                ELSE 'Loyal' END AS customer_segment
+    FROM ({PER_CUSTOMER})"""
+
 ORACLES: dict[str, str] = {
     "null_tokens": query("SELECT order_id, customer_name, region, category, discount_percent FROM cells", "cells"),
     "title_case": query("SELECT order_id, region, product_name, category FROM titled", "titled"),
@@ -335,12 +342,8 @@ ORACLES: dict[str, str] = {
             FROM (SELECT *, sum(revenue) OVER () AS whole FROM (
                 SELECT region_name, count(DISTINCT order_id) AS orders, sum(net_amount) AS revenue, count(*) AS n
                 FROM fact JOIN regions USING (region_key) GROUP BY region_name))""", "fact"),
-    "customer_segments": query(
-        f"""SELECT customer_id, customer_name, order_count, CAST(ltv AS DOUBLE) AS lifetime_value,
-                   CAST(last_date AS VARCHAR) AS last_purchase_date,
-                   CASE WHEN order_count = 1 THEN 'One-time' WHEN order_count BETWEEN 2 AND 4 THEN 'Occasional'
-                        ELSE 'Loyal' END AS customer_segment
-            FROM ({PER_CUSTOMER})""", "fact", "days"),
+    "customer_segments": query(SEGMENTS, "fact", "days"),
+    "top_customers": query(f"{SEGMENTS} ORDER BY ltv DESC, customer_id LIMIT 5", "fact", "days"),
     "repeat_share": query(
         f"""SELECT CAST(sum(CASE WHEN order_count > 1 THEN 1 ELSE 0 END) AS DOUBLE) * 100.0::DOUBLE / count(*)
                        AS pct_repeat_customers,

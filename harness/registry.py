@@ -185,6 +185,7 @@ QUERIES: dict[str, Query] = {
     "top_product": lambda ws: analytics.top_product(ws.load.warehouse),
     "region_share": lambda ws: analytics.region_share(ws.load.warehouse),
     "customer_segments": lambda ws: analytics.customer_segments(ws.load.warehouse),
+    "top_customers": lambda ws: analytics.top_customers(ws.load.warehouse),
     "repeat_share": lambda ws: analytics.repeat_share(ws.load.warehouse),
     "sales_flat": view("vw_sales_flat"),
     "monthly_kpis": view("vw_monthly_kpis"),

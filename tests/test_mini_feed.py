@@ -7,6 +7,7 @@ import pytest
 from helpers import MINI_FEED, feed, tuples
 from pyspark.sql import functions as F
 
+from tillroll.operators import lookup
 from tillroll.operators.staging import Staging
 from tillroll.plans import analytics as A
 from tillroll.plans.quality import constraint_checks, dq_metrics, load_counts, warehouse_checks
@@ -118,6 +119,10 @@ def test_customer_segments(wh):
     ]
 
 
+def test_top_customers(wh):
+    assert tuples(A.top_customers(wh, 2), "customer_id") == [("C1",), ("C3",)]
+
+
 def test_repeat_share(wh):
     customers, revenue = A.repeat_share(wh).first()
     assert (round(customers, 4), round(revenue, 4)) == (66.6667, 71.6102)
@@ -151,3 +156,27 @@ def test_results_do_not_depend_on_the_layout(spark, load, wh, tmp_path, partitio
     again = load_warehouse(shuffled, str(tmp_path), Staging(spark)).warehouse
     for name in WAREHOUSE_TABLES:
         assert sorted(tuples(again[name], "*"), key=str) == sorted(tuples(wh[name], "*"), key=str)
+
+
+def skewed_lines(n):
+    """A third of the lines on one customer and product, many of them copies, the rest spread thin."""
+    for i in range(n):
+        hot = i % 3 == 0
+        yield (
+            f"O{i // 50 if hot else i}", f"2024-{i % 12 + 1:02}-{i % 28 + 1:02}", "HOT" if hot else f"C{i % 400}",
+            ["", "Ann", "Bob"][i % 3], ["North", "south ", ""][i % 3], "Mat" if hot else f"p{i % 90}",
+            ["Sports", "Toys", ""][i % 7 % 3] or "Beauty", str(i % 4), str((i * 37) % 1000 / 4), str(i % 30),
+        )
+
+
+def test_tables_beyond_the_broadcast_bound_give_the_same(spark, tmp_path, monkeypatch):
+    raw = feed(spark, list(skewed_lines(3000)), 6)
+    small = load_warehouse(raw, str(tmp_path / "small"), Staging(spark)).warehouse
+    expected = {q.__name__: tuples(q(small), "*") for q in (A.customer_segments, A.sales_flat)}
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(lookup, "HOT_KEYS", 20)
+    large = load_warehouse(raw, str(tmp_path / "large"), Staging(spark)).warehouse
+    for name in WAREHOUSE_TABLES:
+        assert sorted(tuples(large[name], "*"), key=str) == sorted(tuples(small[name], "*"), key=str)
+    for q in (A.customer_segments, A.sales_flat):
+        assert sorted(tuples(q(large), "*"), key=str) == sorted(expected[q.__name__], key=str)

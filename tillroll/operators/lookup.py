@@ -37,8 +37,8 @@ def lookup(
     how: str = "left",
     weight: str | None = None,
     table_bytes: int | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_keys: int = HOT_KEYS,
+    broadcast_bytes: int | None = None,
+    hot_keys: int | None = None,
 ) -> DataFrame:
     """Join ``lines`` to ``table``, which has one row per ``key``; ``how`` is left or inner.
 
@@ -48,6 +48,8 @@ def lookup(
     lines per key; without it the lines are counted. ``table_bytes`` is the table's measured size, if
     the caller has it.
     """
+    broadcast_bytes = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    hot_keys = HOT_KEYS if hot_keys is None else hot_keys
     payload = [c for c in table.columns if c not in (key, weight)]
     if table_bytes is None:
         table_bytes = measured_bytes(table.select(key, *payload))

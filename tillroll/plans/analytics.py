@@ -131,7 +131,7 @@ def customer_segments(wh: Warehouse) -> DataFrame:
     segment = F.when(orders == 1, "One-time").when(orders.between(2, 4), "Occasional").otherwise("Loyal")
     return (
         per_key.join(wh["dim_customer"], "customer_key")
-        .orderBy(F.col("lifetime_value").desc())
+        .orderBy(F.col("lifetime_value").desc(), "customer_id")
         .select(
             "customer_id", "customer_name", "order_count", "lifetime_value", "last_purchase_date",
             segment.alias("customer_segment"),
@@ -139,6 +139,11 @@ def customer_segments(wh: Warehouse) -> DataFrame:
     )
 
 
+def top_customers(wh: Warehouse, n: int = 5) -> DataFrame:
+    """Q5 and L2: the first ``n`` by lifetime value; equal values in order of their ids."""
+    return customer_segments(wh).limit(n)
+
+
 def repeat_share(wh: Warehouse) -> DataFrame:
     """Q6, unrounded."""
     per_key = wh["fact_sales"].groupBy("customer_key").agg(
