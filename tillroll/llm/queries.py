@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontamination, quality_fm, toxicity
+from tillroll.llm import decontamination, language_id, quality_fm, toxicity
 from tillroll.llm.ship import ship
 from tillroll.llm.words import remainder
 
@@ -25,6 +25,12 @@ def op5_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(quality_fm.score(docs, model), remainder("doc_id", 5) == 0)
 
 
+def op6_language_hypervectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(remainder("doc_id", 4) != 2))
+    return language_id.identify(docs, model).select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op9_toxicity_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), eligible=remainder("id", 4) != 2)
@@ -42,6 +48,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_quality_fm": op5_quality_fm,
+    "op6_language_hypervectors": op6_language_hypervectors,
     "op7_decontamination": op7_decontamination,
     "op9_toxicity_instances": op9_toxicity_instances,
 }
