@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontamination, language_id, quality_fm, toxicity
+from tillroll.llm import decontamination, language_id, quality_fm, toxicity, url_rules
 from tillroll.llm.ship import ship
 from tillroll.llm.words import remainder
 
@@ -14,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def judged(scored: DataFrame, held_out: Column) -> DataFrame:
     predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
@@ -47,6 +55,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_url_rules": op2_url_rules,
     "op5_quality_fm": op5_quality_fm,
     "op6_language_hypervectors": op6_language_hypervectors,
     "op7_decontamination": op7_decontamination,
@@ -54,6 +63,26 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_url_rules": r"""
+        WITH rests AS (
+            SELECT row_number() OVER () AS r, page_id,
+                   CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+            FROM pages
+        ), urls AS (
+            SELECT r, page_id,
+                   translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM rests
+        ), rules(rule_host, rule_path, verdict) AS (
+            VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+        ), fits AS (
+            SELECT r, rule_host || rule_path AS rule, verdict,
+                   row_number() OVER (PARTITION BY r ORDER BY length(rule_host || rule_path) DESC) AS place
+            FROM urls JOIN rules ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM urls LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (r)
+    """,
     "op7_decontamination": r"""
         WITH words AS (
             SELECT row_number() OVER () AS r, doc_id,
