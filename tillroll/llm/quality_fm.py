@@ -136,8 +136,11 @@ def fit(texts: pa.Array, labels: np.ndarray, counts: dict[int, int], epochs: int
     if not counts[0] or not counts[1]:
         p = (counts[1] + 0.5) / (total + 1)
         return QualityModel(np.zeros((kinds, BINS - 1)), float(np.log(p / (1 - p))), linear, factors, bits)
-    edges = np.quantile(statistics(texts)[0], np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
-    x = features(texts, edges, bits)
+    lots = [texts.slice(i, 200) for i in range(0, len(texts), 200)]
+    edges = np.quantile(np.concatenate([statistics(lot)[0] for lot in lots]), np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
+    parts = [features(lot, edges, bits) for lot in lots]
+    put = lambda name, step=0: np.concatenate([getattr(p, name) + step * i for i, p in enumerate(parts)])
+    x = Features(put("text", 200), put("feature"), put("value"), len(texts))
     frequency = np.bincount(x.feature, minlength=len(linear))
     keep = telling(np.bincount(x.feature, labels[x.text], len(linear)), frequency, labels)
     keep[: kinds * BINS] = True

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontamination, language_id, quality_fm, toxicity, url_rules
+from tillroll.llm import decontamination, language_id, quality_fm, quality_rules, toxicity, url_rules
 from tillroll.llm.ship import ship
 from tillroll.llm.words import remainder
 
@@ -22,6 +22,13 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality_rules.judge(docs, quality_rules.references(docs))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select("doc_id", *[f"judged.{c}" for c in names])
+
+
 def judged(scored: DataFrame, held_out: Column) -> DataFrame:
     predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
@@ -56,6 +63,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_url_rules": op2_url_rules,
+    "op4_quality_rules": op4_quality_rules,
     "op5_quality_fm": op5_quality_fm,
     "op6_language_hypervectors": op6_language_hypervectors,
     "op7_decontamination": op7_decontamination,

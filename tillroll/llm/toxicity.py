@@ -14,9 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.learning import SAMPLE_PER_LABEL, Adam, bucket, sample, sigmoid, telling
+from tillroll.llm.learning import Adam, bucket, sample, sigmoid, telling
 from tillroll.llm.words import ALPHANUMERIC, Words, byte_class, chunks, column, segment_starts, words_of
 
+# Labelled documents of each label that a fit looks at, at most.
+SAMPLE_PER_LABEL = 2500
 BITS = 18
 STOPS = byte_class(".!?\n")
 # A sentence at or above this score is reported as offending.
@@ -50,6 +52,14 @@ def sentences_of(texts: pa.Array, bits: int = BITS) -> Sentences:
     return Sentences(words.text[first], words.start[first] - base, words.end[last] - base, code >> bits, code & ((1 << bits) - 1), words.n_texts)
 
 
+def _joined(parts: list[Sentences]) -> Sentences:
+    texts = np.cumsum([0] + [p.n_texts for p in parts])
+    rows = np.cumsum([0] + [len(p.text) for p in parts])
+    put = lambda name, base: np.concatenate([getattr(p, name) + b for p, b in zip(parts, base, strict=False)])
+    none = np.zeros(len(parts), np.int64)
+    return Sentences(put("text", texts), put("start", none), put("end", none), put("sentence", rows), put("feature", none), int(texts[-1]))
+
+
 @dataclass
 class ToxicityModel:
     weights: np.ndarray
@@ -73,7 +83,7 @@ def fit(texts: pa.Array, labels: np.ndarray, counts: dict[int, int], epochs: int
     total, weights = counts[0] + counts[1], np.zeros(1 << bits)
     if not counts[0] or not counts[1]:
         return ToxicityModel(weights, -30.0, counts[1] / total if total else 0.0, bits)
-    s = sentences_of(texts, bits)
+    s = _joined([sentences_of(texts.slice(i, 200), bits) for i in range(0, len(texts), 200)])
     pairs = np.unique(s.text[s.sentence] << bits | s.feature)
     frequency = np.bincount(pairs & ((1 << bits) - 1), minlength=1 << bits)
     used = telling(np.bincount(pairs & ((1 << bits) - 1), labels[pairs >> bits], 1 << bits), frequency, labels, towards_one=True)[s.feature]
