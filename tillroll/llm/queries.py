@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontamination, language_id, quality_fm, quality_rules, toxicity, url_rules
+from tillroll.llm import curriculum, decontamination, language_id, quality_fm, quality_rules, toxicity, url_rules
 from tillroll.llm.ship import ship
 from tillroll.llm.words import remainder
 
@@ -46,6 +46,13 @@ def op6_language_hypervectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op8_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", "source", curriculum.n_words(F.col("text")).alias("words"), F.xxhash64("doc_id", "text").alias("place"))
+    arranged, _ = curriculum.arrange(sized, F.col("words"), order=("place",))
+    return arranged.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_toxicity_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), eligible=remainder("id", 4) != 2)
@@ -67,6 +74,7 @@ QUERIES = {
     "op5_quality_fm": op5_quality_fm,
     "op6_language_hypervectors": op6_language_hypervectors,
     "op7_decontamination": op7_decontamination,
+    "op8_curriculum": op8_curriculum,
     "op9_toxicity_instances": op9_toxicity_instances,
 }
 
@@ -91,6 +99,63 @@ ORACLES: dict[str, str] = {
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
         FROM urls LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (r)
     """,
+    "op4_quality_rules": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM documents
+        ), counted AS (
+            SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+                   [length(regexp_replace(text, p, '', 'g')) FOR p IN [
+                       '[^A-Z]+', '[^0-9]+', '[^#*$%&|<>]+', '[^.,;:!?\x27"()-]+', '[\x00-\x7F]+', '[^\x20\x09-\x0D]+']] AS named,
+                   list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+            FROM docs
+        ), base AS (
+            SELECT *, len(w) AS n_words, length(text) - named[6] AS word_chars, named[3] AS n_symbols,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   list_concat(named, [length(text) - list_sum(named)]) AS classes
+            FROM counted
+        ), windows AS (
+            SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n
+            FROM base, unnest(range(1, len(w) - 1)) AS u(i)
+        ), repeated AS (
+            SELECT r, count(DISTINCT k) AS n_repeat_words FROM windows, unnest(range(i, i + 3)) AS u(k) WHERE n > 1 GROUP BY r
+        ), totals AS (
+            SELECT lang, sum(n_words) AS n_words, count(*) AS n_docs,
+                   [sum(classes[1]), sum(classes[2]), sum(classes[3]), sum(classes[4]), sum(classes[5]), sum(classes[6]), sum(classes[7])] AS classes
+            FROM base GROUP BY lang
+        ), known AS (
+            SELECT lang, n_words, [x / list_sum(classes) FOR x IN classes] AS class_share FROM totals
+            WHERE lang IS NOT NULL AND n_words > 0 AND n_docs >= greatest(1, 0.001 * (SELECT count(*) FROM docs))
+        ), words AS (
+            SELECT lang, lower(x) AS word, count(*) AS n FROM base, unnest(w) AS u(x) WHERE length(lower(x)) <= 5 GROUP BY ALL
+        ), top AS (
+            SELECT lang, word, n / n_words AS share, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place
+            FROM words JOIN known USING (lang) WHERE lower(word) <> upper(word)
+            QUALIFY place <= 12
+        ), refs AS (
+            SELECT lang, any_value(class_share) AS class_share, list(word ORDER BY place) AS common, list(share ORDER BY place) AS share
+            FROM top JOIN known USING (lang) GROUP BY lang
+        ), shares AS (
+            SELECT r, [x / nullif(length(text), 0) FOR x IN classes] AS c, class_share AS cr,
+                   [len(list_filter(w, lambda x: lower(x) = y)) / nullif(n_words, 0) FOR y IN common] AS h, share AS hr
+            FROM base JOIN refs USING (lang)
+        ), pairs AS (
+            SELECT r, list_zip(c, cr) AS cs, list_zip(list_concat(h, [1 - list_sum(h)]), list_concat(hr, [1 - list_sum(hr)])) AS ws FROM shares
+        ), distances AS (
+            SELECT r, sqrt(greatest(0, list_sum([(CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END
+                                                + CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END) / 2 FOR z IN cs]))) AS class_distance,
+                   sqrt(greatest(0, list_sum([(CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END
+                                                + CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END) / 2 FOR z IN ws]))) AS word_distance
+            FROM pairs
+        ), judged AS (
+            SELECT *, n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed
+            FROM base LEFT JOIN repeated USING (r) LEFT JOIN distances USING (r)
+        )
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+               CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, base_failed,
+               NOT base_failed AND NOT (n_words >= 50 AND coalesce(class_distance, 0) > 0.35)
+               AND NOT (n_words >= 100 AND coalesce(word_distance, 0) > 0.28) AS kept
+        FROM judged
+    """,
     "op7_decontamination": r"""
         WITH words AS (
             SELECT row_number() OVER () AS r, doc_id,
