@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, decontamination, language_id, quality_fm, quality_rules, toxicity, url_rules
+from tillroll.llm import curriculum, decontamination, language_id, quality_fm, quality_rules, toxicity, url_rules, warc
 from tillroll.llm.ship import ship
 from tillroll.llm.words import remainder
+from tillroll.operators.staging import Staging
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{Staging(spark).folder}/warc"
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
@@ -48,8 +55,8 @@ def op6_language_hypervectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized = docs.select("doc_id", "source", curriculum.n_words(F.col("text")).alias("words"), F.xxhash64("doc_id", "text").alias("place"))
-    arranged, _ = curriculum.arrange(sized, F.col("words"), order=("place",))
+    sized = docs.select("doc_id", "source", curriculum.n_words(F.col("text")).alias("words"), curriculum.line_up("doc_id", "text").alias("line"))
+    arranged, _ = curriculum.arrange(sized, F.col("words"), line=F.col("line"))
     return arranged.select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -69,6 +76,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_dictionary": op1_warc_dictionary,
     "op2_url_rules": op2_url_rules,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_fm": op5_quality_fm,
@@ -79,6 +87,16 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc_dictionary": """
+        WITH digests AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+        ), firsts AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS f FROM digests
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN f <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN f <> page_id THEN f END AS refers_to
+        FROM firsts
+    """,
     "op2_url_rules": r"""
         WITH rests AS (
             SELECT row_number() OVER () AS r, page_id,
@@ -185,4 +203,30 @@ ORACLES: dict[str, str] = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM words LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
     """,
+    "op8_curriculum": r"""
+        WITH docs AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   CAST('0x' || left(md5(concat_ws('|', doc_id, text)), 15) AS BIGINT) AS line
+            FROM documents
+        ), sums AS (SELECT source, sum(size) AS source_size FROM docs GROUP BY source),
+        placed AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM sums),
+        filled AS (
+            SELECT *, 1.5 * sum(source_size) OVER () AS wanted,
+                   coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+                   sum(weight) OVER (ORDER BY 2 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+            FROM placed
+        ), capped AS (SELECT *, weight * ((wanted - below) / rest) > 2 * source_size AS full_up FROM filled),
+        shared AS (
+            SELECT coalesce(sum(2 * source_size) FILTER (full_up), 0) AS taken, coalesce(sum(weight) FILTER (NOT full_up), 1) AS weights FROM capped
+        ), goals AS (
+            SELECT source, source_size,
+                   CASE WHEN full_up THEN CAST(2 * source_size AS DOUBLE) ELSE weight * CAST(wanted - taken AS DOUBLE) / weights END AS target
+            FROM capped, shared
+        ), lined AS (
+            SELECT *, sum(size) OVER (PARTITION BY source ORDER BY line, size ROWS UNBOUNDED PRECEDING) - size / 2 AS middle FROM docs
+        )
+        SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+               CAST(size * ((middle < target)::INT + (middle + source_size < target)::INT) AS BIGINT) AS taken
+        FROM lined JOIN goals ON lined.source IS NOT DISTINCT FROM goals.source
+    """,
 }
