@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, decontamination, language_id, quality_fm, quality_rules, toxicity, url_rules, warc
+from tillroll.llm import curriculum, decontamination, jaccard_join, language_id, quality_fm, quality_rules, toxicity, url_rules, warc
 from tillroll.llm.ship import ship
 from tillroll.llm.words import remainder
 from tillroll.operators.staging import Staging
@@ -29,6 +29,10 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = quality_rules.judge(docs, quality_rules.references(docs))
@@ -78,6 +82,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_dictionary": op1_warc_dictionary,
     "op2_url_rules": op2_url_rules,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_fm": op5_quality_fm,
     "op6_language_hypervectors": op6_language_hypervectors,
