@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
-from tillroll.llm.words import U64, Words, chunks, column, mix, segment_starts, stream, words_of
+from tillroll.llm.words import U64, Words, chunks, column, fresh, mix, segment_starts, stream, words_of
 from tillroll.operators.staging import Staging
 
 SHINGLE = 5
@@ -244,3 +244,18 @@ def named(rows: DataFrame, classes: DataFrame, joined: DataFrame, staging: Stagi
     key = F.coalesce("class", F.concat(F.lit("no words: "), F.xxhash64("doc_id").cast("string")).cast("binary"))
     out = rows.withColumn("key", key).join(known.withColumnsRenamed({"class": "key"}), "key", "left")
     return out.select("doc_id", "n_shingles", "class", F.coalesce("component_id", F.when(F.col("class").isNull(), F.col("doc_id"))).alias("component_id"))
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of linked documents: that with the smallest id, same columns.
+
+    Rows without words are in no group and all stay. Rows that repeat the smallest id of a group are told apart by their
+    place in the table, so one of them stays. Rows whose group has no id at all count as one group too.
+    """
+    staging = Staging(docs.sparkSession)
+    place = fresh(docs, "place")
+    ordered = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), F.monotonically_increasing_id().alias("n"))
+    named_ids = docs.select(ordered.alias("id"), F.col(text).alias("text"))
+    found = similar(named_ids, "id", "text")
+    keep = staging.write(found.where(F.col("class").isNull() | (F.col("doc_id") == F.col("component_id"))).select(F.col("doc_id.n").alias(place)), "kept")
+    return docs.withColumn(place, F.monotonically_increasing_id()).join(keep, place, "left_semi").select(*docs.columns)

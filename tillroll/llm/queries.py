@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, decontamination, jaccard_join, language_id, quality_fm, quality_rules, toxicity, url_rules, warc
+from tillroll.llm import curriculum, decontamination, jaccard_join, language_id, pitman_yor, quality_fm, quality_rules, toxicity, url_rules, warc
 from tillroll.llm.ship import ship
 from tillroll.llm.words import remainder
 from tillroll.operators.staging import Staging
@@ -70,6 +70,10 @@ def op9_toxicity_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(toxicity.score(docs, model), remainder("doc_id", 4) == 2)
 
 
+def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["after"] - s["first"])
@@ -89,6 +93,7 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_curriculum": op8_curriculum,
     "op9_toxicity_instances": op9_toxicity_instances,
+    "op10_pitman_yor": op10_pitman_yor,
 }
 
 ORACLES: dict[str, str] = {
