@@ -3,12 +3,13 @@ import statistics
 
 import pytest
 from helpers import tuples
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillroll.operators.firsts import first_values, keep_first
 from tillroll.operators.lookup import lookup, measured_bytes
 from tillroll.operators.medians import group_medians
-from tillroll.operators.ordering import freeze_in_order, number_rows, rank_descending
+from tillroll.operators.ordering import freeze_in_order, freeze_in_ranges, number_rows, range_bounds, rank_descending
 
 
 def plan(df):
@@ -22,12 +23,28 @@ def test_numbers_are_dense_and_in_order(spark, staging, partitions):
     assert sorted(tuples(numbered, "position", "n")) == [(i, i + 1) for i in range(5000)]
 
 
-def test_rank_shares_the_first_number_among_ties(spark, staging):
-    scores = [5, 3, 5, 1, 3, 3, 0, 9]
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_known_bounds_freeze_in_the_same_order(spark, staging, partitions):
+    order = F.struct((F.col("id") % 5).alias("a"), F.concat(F.lit("x"), F.col("id") % 7).alias("b"), "id")
+    rows = spark.range(2000).select("id", order.alias("o")).repartition(5)
+    bounds = range_bounds(rows, "o", partitions)
+    assert len(bounds) == partitions - 1
+    ranged = number_rows(freeze_in_ranges(rows, "o", bounds, staging, "ranged"), "n")
+    sampled = number_rows(freeze_in_order(rows, ["o"], staging, "sampled"), "n")
+    assert sorted(tuples(ranged, "id", "n")) == sorted(tuples(sampled, "id", "n"))
+    assert "Exchange rangepartitioning" not in staging.plans["ranged"]
+    assert range_bounds(rows.limit(0), "o", partitions) == []
+
+
+@pytest.mark.parametrize("broadcast_bytes", [None, 0])
+def test_rank_shares_the_first_number_among_ties_and_ranks_nulls_last(spark, staging, monkeypatch, broadcast_bytes):
+    if broadcast_bytes is not None:
+        monkeypatch.setattr("tillroll.operators.lookup.BROADCAST_BYTES", broadcast_bytes)
+    scores = [5, 3, 5, 1, 3, 3, 0, 9, None, None, *[7] * 6]  # one value has a third of the rows
     df = spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "i int, score int").repartition(3)
     ranked = rank_descending(df, "score", "r", staging, "scores")
-    expected = [(i, 1 + sum(other > s for other in scores)) for i, s in enumerate(scores)]
-    assert sorted(tuples(ranked, "i", "r")) == expected
+    window = df.withColumn("r", F.rank().over(Window.orderBy(F.col("score").desc())))
+    assert sorted(tuples(ranked, "i", "r")) == sorted(tuples(window, "i", "r"))
 
 
 @pytest.mark.parametrize("partitions", [1, 16])
@@ -67,10 +84,11 @@ def test_keep_first_limits_hot_groups_before_the_shuffle(spark):
     assert "WindowGroupLimit" in before and "WindowGroupLimit" in after
 
 
-def test_first_values_keep_nulls_and_count(spark):
+def test_first_values_keep_nulls_and_count(spark, staging):
     rows = [("a", 2, "x"), ("a", 1, None), ("b", 3, "y")]
     df = spark.createDataFrame(rows, "k string, o int, v string")
-    got = first_values(df, "k", ["v"], "o")
+    got = first_values(df, "k", ["v"], "o", staging)
+    assert "SortAggregate" not in staging.plans["firsts_k"] and "HashAggregate" in staging.plans["firsts_k"]
     assert sorted(tuples(got, "k", "v", "first_line", "n_lines")) == [("a", None, 1, 2), ("b", "y", 3, 1)]
 
 
@@ -86,14 +104,15 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("weighted", [True, False])
+@pytest.mark.parametrize("weighted", ["weight", "hot", ""])
 def test_lookup_beyond_the_broadcast_bound_gives_the_same(skewed, how, weighted):
     lines, table, with_counts = skewed
     expected = sorted(tuples(lines.join(table, "k", how), "id", "k", "payload"), key=str)
     small = lookup(lines, table, "k", how)
     assert "BroadcastHashJoin" in plan(small)
-    large = lookup(lines, with_counts if weighted else table, "k", how, "n" if weighted else None,
-                   broadcast_bytes=0, hot_keys=10)
+    known = {"weight": {"weight": "n"}, "hot": {"hot": with_counts.where("n > 300")}, "": {}}[weighted]
+    large = lookup(lines, with_counts if weighted == "weight" else table, "k", how, broadcast_bytes=0, hot_keys=10, **known)
+    assert small.columns == large.columns == ["id", "k", "payload"]
     assert sorted(tuples(small, "id", "k", "payload"), key=str) == expected
     assert sorted(tuples(large, "id", "k", "payload"), key=str) == expected
 

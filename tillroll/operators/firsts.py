@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.operators.staging import Staging
+
 
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One whole row per key, the first by ``order``; null keys equal each other.
@@ -22,13 +24,16 @@ def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     )
 
 
-def first_values(df: DataFrame, key: str, payload: list[str], order: str) -> DataFrame:
+def first_values(df: DataFrame, key: str, payload: list[str], order: str, staging: Staging) -> DataFrame:
     """Per key the payload of its first row, that row's position, and how many rows the key has.
 
-    A plain aggregate: combined before the shuffle, so a key with a third of all rows costs no more.
+    ``order`` must be unique. Position and count are hash aggregates, combined before the shuffle, so a key with a
+    third of all rows costs no more; the payload then comes from the one row at each position. The keys are
+    written in between: Spark knows their size when it joins.
     """
-    return df.groupBy(key).agg(
-        *[F.min_by(column, order).alias(column) for column in payload],
-        F.min(order).alias("first_line"),
-        F.count("*").alias("n_lines"),
-    )
+    firsts = df.groupBy(key).agg(F.min(order).alias("first_line"), F.count("*").alias("n_lines"))
+    if not payload:
+        return firsts
+    firsts = staging.write(firsts, f"firsts_{key}")
+    rows = df.select(F.col(order).alias("first_line"), *payload)
+    return firsts.join(rows, "first_line").select(key, *payload, "first_line", "n_lines")

@@ -6,13 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.operators.staging import Staging
-
 BROADCAST_BYTES = 64 << 20
 # A key is hot from a 2000th of all lines on, so there are never more than 2000 hot keys.
 HOT_KEYS = 2000
-# Lines without a usable key are spread over this many buckets.
-SPREAD = 4096
 
 
 def measured_bytes(table: DataFrame) -> int:
@@ -36,47 +32,49 @@ def lookup(
     key: str,
     how: str = "left",
     weight: str | None = None,
+    hot: DataFrame | None = None,
     table_bytes: int | None = None,
     broadcast_bytes: int | None = None,
     hot_keys: int | None = None,
 ) -> DataFrame:
     """Join ``lines`` to ``table``, which has one row per ``key``; ``how`` is left or inner.
 
-    A table within ``broadcast_bytes``, measured, is broadcast. Beyond that the hot keys - those with
-    at least 1/``hot_keys`` of the lines, hence at most ``hot_keys`` of them - are broadcast and all
-    other lines are shuffled on the key. ``weight`` names a column of ``table`` with the number of
-    lines per key; without it the lines are counted. ``table_bytes`` is the table's measured size, if
-    the caller has it.
+    The result has the columns of ``lines``, then those of ``table`` without key and weight. A table within
+    ``broadcast_bytes``, measured, is broadcast. Beyond that the hot keys - those with at least 1/``hot_keys`` of
+    the lines, hence at most ``hot_keys`` of them - are broadcast and all other lines are shuffled on the key.
+    ``weight`` names a column of ``table`` with the number of lines per key; or ``hot`` is a table of the hot keys,
+    stored when they were counted. Without either, lines are shuffled on the key and Spark splits what is skewed
+    when it runs. Nothing is read here but the size of a table (``table_bytes``, if the caller has it), and the
+    total of the weights.
     """
     broadcast_bytes = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     hot_keys = HOT_KEYS if hot_keys is None else hot_keys
     payload = [c for c in table.columns if c not in (key, weight)]
     if table_bytes is None:
         table_bytes = measured_bytes(table.select(key, *payload))
+    ordered = [*lines.columns, *payload]
     if table_bytes <= broadcast_bytes:
-        return lines.join(F.broadcast(table.select(key, *payload)), key, how)
-
-    if weight is None:
-        counts = lines.groupBy(key).agg(F.count("*").alias("_weight"))
-        # Written, since what follows reads it three times.
-        table = Staging(lines.sparkSession).write(table.join(counts, key), "weights")
-        weight = "_weight"
-    threshold = table.agg(F.sum(weight)).first()[0] / hot_keys
-
-    hot = table.where(F.col(weight) >= threshold)
-    hot = hot.select(F.col(key).alias("_hot_key"), *[F.col(c).alias(f"_hot_{c}") for c in payload])
-    marked = lines.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+        return lines.join(F.broadcast(table.select(key, *payload)), key, how).select(*ordered)
+    if weight is not None:
+        threshold = table.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0] / hot_keys
+        hot_rows, cold_rows = table.where(F.col(weight) >= threshold), table.where(F.col(weight) < threshold)
+    elif hot is not None:
+        few = F.broadcast(hot.select(key))
+        hot_rows, cold_rows = table.join(few, key, "left_semi"), table.join(few, key, "left_anti")
+    else:
+        return lines.join(table.select(key, *payload), key, how).select(*ordered)
+    hot_rows = hot_rows.select(F.col(key).alias("_hot_key"), *[F.col(c).alias(f"_hot_{c}") for c in payload])
+    marked = lines.join(F.broadcast(hot_rows), F.col(key) == F.col("_hot_key"), "left")
 
-    # Hot lines and lines with a null key match nothing below; the slice spreads them over all tasks.
-    # The table's slice is always 0, since no weight is negative.
+    # Hot lines and lines with a null key match nothing below; a hash of the whole line spreads them over all tasks.
     idle = F.col("_hot_key").isNotNull() | F.col(key).isNull()
-    spread = F.pmod(F.xxhash64(*lines.columns), F.lit(SPREAD)).cast("long") + 1
     marked = marked.withColumn("_cold_key", F.when(~idle, F.col(key))).withColumn(
-        "_slice", F.when(idle, spread).otherwise(F.lit(0).cast("long"))
+        "_slice", F.when(idle, F.xxhash64(*lines.columns).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))
     )
-    cold = table.where(F.col(weight) < threshold).select(
+    cold = cold_rows.select(
         F.col(key).alias("_table_key"),
-        F.least(F.col(weight), F.lit(0)).cast("long").alias("_table_slice"),
+        # Always 0, but not a constant, which Spark would leave out of the shuffle's keys.
+        F.xxhash64(key).bitwiseAND(F.lit(0)).cast("long").alias("_table_slice"),
         *[F.col(c).alias(f"_cold_{c}") for c in payload],
     )
     joined = marked.join(

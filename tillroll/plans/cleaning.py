@@ -29,7 +29,7 @@ from tillroll.functions.text import (
 from tillroll.operators.firsts import keep_first
 from tillroll.operators.lookup import lookup
 from tillroll.operators.medians import group_medians
-from tillroll.operators.ordering import SLOT, chunk_of, freeze_in_order, place_rows, running_offsets
+from tillroll.operators.ordering import SLOT, chunk_of, freeze_in_order, freeze_in_ranges, place_rows, range_bounds, running_offsets
 from tillroll.operators.staging import Staging
 from tillroll.sources.schemas import CLEAN_COLUMNS, ORDINAL, RAW_COLUMNS
 
@@ -144,8 +144,10 @@ def clean_sales(raw: DataFrame, staging: Staging) -> Cleaned:
     typed = staging.write(typed_lines(raw), "typed")
     profile, medians = profile_typed(typed, staging)
     valid = impute_defaults(drop_invalid(typed))
-    lines = derive_amounts(dedup_lines(cap_outliers(valid, medians)))
-    frozen = freeze_in_order(lines, [ORDINAL], staging, "clean")
+    # The typed lines tell where the ranges lie, so the lines are deduplicated once, not once more for a sample.
+    ranges = int(raw.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = range_bounds(typed, ORDINAL, ranges)
+    frozen = freeze_in_ranges(dedup_lines(cap_outliers(valid, medians)), ORDINAL, bounds, staging, "clean", derive_amounts)
     # Written as well, since several later plans number the lines.
     sizes = frozen.groupBy(chunk_of(F.col(SLOT)).alias("chunk")).agg(F.count("*").alias("n"))
     numbered = place_rows(frozen, staging.write(running_offsets(sizes, "n"), "clean_offsets"), "line_no")

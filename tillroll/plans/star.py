@@ -22,7 +22,7 @@ def keyed_dimension(
 
     Keeps ``n_lines``, by which the fact's lookup tells hot keys.
     """
-    members = first_values(clean, natural_key, payload, "line_no")
+    members = first_values(clean, natural_key, payload, "line_no", staging)
     frozen = freeze_in_order(members, ["first_line"], staging, surrogate_key)
     numbered = number_rows(frozen, surrogate_key)
     numbered = numbered.withColumn(surrogate_key, F.col(surrogate_key).cast("int"))
