@@ -1,0 +1,49 @@
+import random
+import re
+
+from tillroll.llm import url_rules
+
+SCHEMA = "page_id bigint, url string, host int, rule int, row int"
+
+
+def judge(url, rules):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host):])[0]
+        host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, default=None)
+    return (host, path, best and best[2], best[3] if best else "allow")
+
+
+def check(spark, urls, rules):
+    pages = spark.createDataFrame([(i % 50, u, 1, 2, 3) for i, u in enumerate(urls)], SCHEMA).repartition(4)
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    got = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_rules.judge(pages, table).collect()]
+    assert sorted(got, key=str) == sorted([(i % 50, *judge(u, rules)) for i, u in enumerate(urls)], key=str)
+
+
+def test_nested_rules_against_brute_force(spark):
+    rng = random.Random(4)
+    host = lambda n: ".".join(rng.choice(["a", "b", "a-b", "aa", "a0"]) for _ in range(rng.randint(1, n)))
+    path = lambda: rng.choice(["/", "/x", "/x/", "/x/y", "", "/é/"])
+    rules = list({(h, p): (h, p, rng.choice(["allow", "block"])) for h, p in ((host(3), path()) for _ in range(60))}.values())
+    urls = [f"http://{host(5)}{path()}{rng.choice(['', '?q=://', '#f', 'tail'])}" for _ in range(700)] + ["http://a.b/x/"] * 400
+    check(spark, urls, rules)
+
+
+def test_odd_urls_and_few_rules(spark):
+    urls = [None, "", "no scheme", "://", "x://", "HTTP://A.B", "http://a.b?x", "http://.b/", "http://a..b/", "http://b./", "h://h://a.b/", "http://é.b/É"]
+    check(spark, urls, [("b", "/", "block"), ("a.b", "", "allow"), ("", "", "block")])
+    check(spark, urls, [("zz", "/", "block")])
+
+
+def test_no_rules_and_no_pages(spark):
+    none = spark.createDataFrame([], "host string, path string, verdict string")
+    pages = spark.createDataFrame([(1, "http://a.b/c", 1, 2, 3)], SCHEMA)
+    assert [tuple(r) for r in url_rules.judge(pages, none).collect()] == [(1, "a.b", "/c", None, "allow")]
+    rules = spark.createDataFrame([("B", "/", "block"), ("b", "/", "allow"), (None, None, "allow")], "host string, path string, verdict string")
+    assert url_rules.judge(pages.limit(0), rules).count() == 0
+    assert url_rules.judge(pages, rules).first()["verdict"] == "block"  # the same rule twice: block

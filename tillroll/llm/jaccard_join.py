@@ -32,6 +32,9 @@ BAND = math.log(100 / THRESHOLD)
 # Shingles, by number of classes and by total size, that one side of a tile holds, about.
 SLICE_CLASSES, SLICE_SHINGLES = 1000, 1 << 20
 
+# Bits of the filter that keeps most texts out of the shuffle: one megabyte.
+FILTER_BITS = 1 << 23
+
 _PLACES = stream(11, SHINGLE) | U64(1)
 _SEEDS = stream(12, TABLES * ROWS) | U64(1)
 
@@ -195,6 +198,28 @@ def tiles_of(members: DataFrame, staging: Staging) -> DataFrame:
     return dealt.select("class", F.struct("block", "t.band", "t.low", "t.high", "t.kind").alias("tile"), F.col("t.side").alias("side"))
 
 
+def maybe_among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``rows`` without most of those whose key isn't among ``ids``: a bitmap of hashed ids, of fixed size, is broadcast.
+
+    None that is among them is left out; with very many ids the bitmap is full and lets all rows pass.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    words = ids.select((place / 64).cast("int").alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
+    set_bits = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
+    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
+    bitmap[set_bits["word"].to_numpy()] = set_bits["bits"].to_numpy()
+    shared, name = rows.sparkSession.sparkContext.broadcast(bitmap), fresh(rows, "filter_place")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value.view(U64)
+        for batch in batches:
+            at = column(batch, name).fill_null(0).to_numpy()
+            hit = (bits[at >> 6] >> (at & 63).astype(U64) & U64(1)).astype(bool)
+            yield batch.filter(pa.array(hit)).drop_columns(name)
+
+    return rows.withColumn(name, place.cast("long")).mapInArrow(run, rows.schema)
+
+
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, class (of equal shingle sets, binary), component_id.
 
@@ -211,7 +236,8 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
 
     # The sets themselves are needed for members only, and are made from their texts again.
     picked = docs.select(F.col(doc_id).alias("first_id"), F.col(text).alias("text"))
-    texts = picked.join(members.select("first_id").where("first_id is not null").distinct(), "first_id")
+    ids = members.select("first_id").where("first_id is not null").distinct()
+    texts = maybe_among(picked, ids, "first_id").join(ids, "first_id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):

@@ -70,8 +70,8 @@ class ToxicityModel:
     def sentence_scores(self, s: Sentences) -> np.ndarray:
         return sigmoid(self.bias + np.bincount(s.sentence, self.weights[s.feature], len(s.text)))
 
-    def document_scores(self, s: Sentences, scores: np.ndarray) -> np.ndarray:
-        return 1 - (1 - self.leak) * np.exp(np.bincount(s.text, np.log1p(-np.minimum(scores, 1 - 1e-12)), s.n_texts))
+    def document_scores(self, s: Sentences, scores: np.ndarray, leak: bool = True) -> np.ndarray:
+        return 1 - (1 - self.leak * leak) * np.exp(np.bincount(s.text, np.log1p(-np.minimum(scores, 1 - 1e-12)), s.n_texts))
 
 
 def fit(texts: pa.Array, labels: np.ndarray, counts: dict[int, int], epochs: int = 200, rate: float = 0.1, penalty: float = 1e-4, bits: int = BITS) -> ToxicityModel:
@@ -136,12 +136,15 @@ def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: s
 
 
 def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float = OFFENDING, text: str = "text") -> DataFrame:
-    """Rows of ``docs``, unchanged and with the same columns, whose text scores below ``threshold``."""
+    """Rows of ``docs``, unchanged and with the same columns, whose sentences score below ``threshold`` together.
+
+    The leak, which no sentence explains, rejects nothing; null and wordless texts stay.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in chunks(batches, text):
             s = sentences_of(column(batch, text), shared.value.bits)
-            yield batch.filter(pa.array(shared.value.document_scores(s, shared.value.sentence_scores(s)) < threshold))
+            yield batch.filter(pa.array(shared.value.document_scores(s, shared.value.sentence_scores(s), leak=False) < threshold))
 
     return docs.mapInArrow(run, docs.schema)

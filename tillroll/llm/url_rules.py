@@ -69,6 +69,7 @@ def judge(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str
     staging = Staging(pages.sparkSession)
     host, path = host_and_path(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row"))
+    rows = staging.write(rows, "urls")  # so that row numbers are given once
     rules = staging.write(clean_rules(rules), "rules")
     # All that the plan asks of the rules: the lengths of their paths, and how deep they nest.
     sizes = [r[0] for r in rules.select(F.length("rule_path")).distinct().collect()]

@@ -90,7 +90,7 @@ class ArchiveWriter:
     def __init__(self, path: str, dictionary: bytes, level: int = LEVEL):
         filesystem, inner = pa.fs.FileSystem.from_uri(path)
         self.path, self.records, self.size = path, 0, 0
-        self.out = filesystem.open_output_stream(inner)
+        self.out = filesystem.open_output_stream(inner, compression=None)
         known = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         self.compressor = zstandard.ZstdCompressor(level=level, dict_data=known, write_checksum=True)
         self._put(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
@@ -111,7 +111,7 @@ class ArchiveWriter:
 def read_archive(path: str, block: int = 1 << 20) -> Iterator[bytes]:
     """The records of one archive, decompressed, one at a time."""
     filesystem, inner = pa.fs.FileSystem.from_uri(path)
-    with filesystem.open_input_stream(inner) as source:
+    with filesystem.open_input_stream(inner, compression=None) as source:
         magic, size = struct.unpack("<II", source.read(8))
         if magic != DICTIONARY_MAGIC:
             raise ValueError(f"{path} has no dictionary frame")
