@@ -1,6 +1,6 @@
 """Headline timings at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-``load`` is the whole run from the text feed to the published star schema; the feed itself is derived
+``load`` is the whole run from the CSV files of the feed to the published star schema; the feed itself is derived
 and written before, as ``feed``. Q1-Q8 then run on the published tables. Every result is consumed in full.
 """
 
@@ -11,6 +11,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -36,6 +37,7 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillroll-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -371,3 +371,4 @@ ORACLES: dict[str, str] = {
         """SELECT order_id, product_key, date_key, count(*) AS n_lines FROM fact
            GROUP BY order_id, product_key, date_key HAVING count(*) > 1""", "fact"),
 }
+ORACLES["category_profit_by_range"] = ORACLES["category_profit"]

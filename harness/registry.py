@@ -16,9 +16,9 @@ from tillroll.operators.ordering import freeze_in_order, number_rows
 from tillroll.operators.staging import Staging
 from tillroll.plans import analytics, quality
 from tillroll.plans.cleaning import cap_outliers, dedup_lines, drop_invalid, impute_defaults
-from tillroll.sources.feed import read_feed, with_nulls, write_clean_csv, write_csv
+from tillroll.sources.feed import read_feed, with_nulls, write_clean_csv
 from tillroll.sources.reports import report_lines, write_flat_csv
-from tillroll.sources.schemas import CLEAN_COLUMNS, ORDINAL, RAW_COLUMNS
+from tillroll.sources.schemas import CLEAN_COLUMNS, ORDINAL
 
 Query = Callable[[Workspace], DataFrame]
 
@@ -102,10 +102,7 @@ def deduplicated(ws: Workspace) -> DataFrame:
 
 def feed_csv(ws: Workspace) -> DataFrame:
     """The feed as CSV files, read back, lines numbered in input order."""
-    staging = Staging(ws.spark)
-    path = f"{staging.folder}/feed_csv"
-    write_csv(ws.raw.orderBy(ORDINAL).select(*RAW_COLUMNS), path)
-    frozen = freeze_in_order(with_nulls(read_feed(ws.spark, path)), [ORDINAL], staging, "feed")
+    frozen = freeze_in_order(with_nulls(read_feed(ws.spark, ws.text)), [ORDINAL], Staging(ws.spark), "feed")
     return number_rows(frozen, "input_line").drop(ORDINAL)
 
 
@@ -182,6 +179,7 @@ QUERIES: dict[str, Query] = {
     "fact_sales": sales_fact,
     "monthly_revenue": lambda ws: analytics.monthly_revenue(ws.load.warehouse),
     "category_profit": lambda ws: analytics.category_profit(ws.load.warehouse),
+    "category_profit_by_range": lambda ws: analytics.category_profit(ws.load.warehouse, Staging(ws.spark), small_rows=0),
     "top_product": lambda ws: analytics.top_product(ws.load.warehouse),
     "region_share": lambda ws: analytics.region_share(ws.load.warehouse),
     "customer_segments": lambda ws: analytics.customer_segments(ws.load.warehouse),

@@ -1,6 +1,7 @@
 """Shared inputs of the registered queries, derived once per session and data folder.
 
-The feed stands for the raw file a load starts from, so it is written before anything is timed on it.
+The feed stands for the raw files a load starts from, so it is written, as a table and as CSV text in feed order, before
+anything is timed on it. A load starts from the text.
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from harness.feed import messy_feed
 from tillroll.operators.staging import Staging
 from tillroll.plans.cleaning import profile_typed, typed_lines
-from tillroll.plans.retail import Load, load_warehouse
+from tillroll.plans.retail import Load, load
 from tillroll.session import input_bytes, tune
+from tillroll.sources.feed import read_feed, write_csv
+from tillroll.sources.schemas import ORDINAL, RAW_COLUMNS
 from tillroll.sources.warehouse import read_warehouse
 
 
@@ -22,6 +25,7 @@ class Workspace:
     spark: SparkSession
     staging: Staging
     raw: DataFrame
+    text: str
     _typed: DataFrame | None = None
     _profile: tuple[DataFrame, DataFrame] | None = None
     _load: Load | None = None
@@ -44,7 +48,7 @@ class Workspace:
     def load(self) -> Load:
         if self._load is None:
             root = f"{self.staging.folder}/warehouse"
-            self._load = load_warehouse(self.raw, root, Staging(self.spark))
+            self._load = load(read_feed(self.spark, self.text), root, Staging(self.spark))
             self._load.warehouse = read_warehouse(self.spark, root)
         return self._load
 
@@ -63,5 +67,7 @@ def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
         # The feed spells out as text what the tables hold as compressed numbers.
         tune(spark, 8 * input_bytes(spark, f"{sf_dir}/lineitem.parquet"))
         staging = Staging(spark)
-        _workspaces[key] = Workspace(spark, staging, staging.write(messy_feed(spark, sf_dir), "feed"))
+        raw, text = staging.write(messy_feed(spark, sf_dir), "feed"), f"{staging.folder}/feed_text"
+        write_csv(raw.orderBy(ORDINAL).select(*RAW_COLUMNS), text)
+        _workspaces[key] = Workspace(spark, staging, raw, text)
     return _workspaces[key]

@@ -42,7 +42,32 @@ def test_a_missing_column_is_an_error(spark, tmp_path):
         read_feed(spark, path)
 
 
-@pytest.mark.parametrize("multi_line", [True, False])
+def test_an_overlong_line_ends_the_job_and_a_short_one_is_filled_up(spark, tmp_path):
+    short = write(tmp_path / "short.csv", HEADER, line("O1"), "O2,2024-06-01", line("O3", '"Lee, Ann"'))
+    assert tuples(read_feed(spark, short).orderBy(ORDINAL), "order_id", "customer_name") == [("O1", "Ann"), ("O2", None), ("O3", "Lee, Ann")]
+    for extra in (line("O2", product="Mat, red"), line("O2") + ",", line("O2", '"a, b"', "x, y")):
+        path = write(tmp_path / "long.csv", HEADER, line("O1"), extra)
+        with pytest.raises(Exception, match="more than 12 fields"):
+            read_feed(spark, path).collect()
+
+
+def test_a_break_in_one_of_many_files_is_found(spark, tmp_path):
+    for i in range(5):
+        write(tmp_path / "in" / f"f {i}%.csv", HEADER, line(f"O{i}", product='"Yoga\nMat"' if i == 3 else "Mat"))
+    raw = read_feed(spark, str(tmp_path / "in")).orderBy(ORDINAL)
+    assert tuples(raw, "order_id", "product_name") == [(f"O{i}", "Yoga\nMat" if i == 3 else "Mat") for i in range(5)]
+
+
+def test_one_large_file_is_read_by_several_tasks(spark, tmp_path):
+    path = write(tmp_path / "feed.csv", HEADER, *[line(f"O{i}") for i in range(3000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        assert read_feed(spark, path).select(F.spark_partition_id()).distinct().count() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("multi_line", [True, False, None])
 def test_order_runs_through_files_and_splits(spark, staging, tmp_path, multi_line):
     # The last file by name is the largest, which Spark would read first.
     orders = [f"O{i}" for i in range(3000)]

@@ -11,7 +11,7 @@ from tillroll.operators import lookup
 from tillroll.operators.staging import Staging
 from tillroll.plans import analytics as A
 from tillroll.plans.quality import constraint_checks, dq_metrics, load_counts, warehouse_checks
-from tillroll.plans.retail import load_warehouse
+from tillroll.plans import retail
 from tillroll.sources.reports import TITLE, write_report
 from tillroll.sources.schemas import WAREHOUSE_TABLES
 from tillroll.sources.warehouse import read_warehouse
@@ -28,7 +28,7 @@ def root(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def load(spark, root):
-    return load_warehouse(feed(spark, MINI_FEED), root, Staging(spark))
+    return retail.load(feed(spark, MINI_FEED), root, Staging(spark))
 
 
 @pytest.fixture(scope="module")
@@ -153,7 +153,7 @@ def test_report(spark, load, wh, tmp_path):
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_results_do_not_depend_on_the_layout(spark, load, wh, tmp_path, partitions):
     shuffled = feed(spark, MINI_FEED, partitions).orderBy(F.rand(seed=partitions))
-    again = load_warehouse(shuffled, str(tmp_path), Staging(spark)).warehouse
+    again = retail.load(shuffled, str(tmp_path), Staging(spark)).warehouse
     for name in WAREHOUSE_TABLES:
         assert sorted(tuples(again[name], "*"), key=str) == sorted(tuples(wh[name], "*"), key=str)
 
@@ -171,11 +171,11 @@ def skewed_lines(n):
 
 def test_tables_beyond_the_broadcast_bound_give_the_same(spark, tmp_path, monkeypatch):
     raw = feed(spark, list(skewed_lines(3000)), 6)
-    small = load_warehouse(raw, str(tmp_path / "small"), Staging(spark)).warehouse
+    small = retail.load(raw, str(tmp_path / "small"), Staging(spark)).warehouse
     expected = {q.__name__: tuples(q(small), "*") for q in (A.customer_segments, A.sales_flat)}
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(lookup, "HOT_KEYS", 20)
-    large = load_warehouse(raw, str(tmp_path / "large"), Staging(spark)).warehouse
+    large = retail.load(raw, str(tmp_path / "large"), Staging(spark)).warehouse
     for name in WAREHOUSE_TABLES:
         assert sorted(tuples(large[name], "*"), key=str) == sorted(tuples(small[name], "*"), key=str)
     for q in (A.customer_segments, A.sales_flat):

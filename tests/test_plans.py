@@ -46,8 +46,28 @@ def test_year_filter_on_the_flat_view_prunes_fact_partitions(ws):
     assert "PartitionFilters: [isnotnull(sale_year" in text
 
 
+def test_the_load_deduplicates_once_and_sorts_no_lines_for_dimensions(ws):
+    plans = ws.load.plans
+    assert plans["clean"].count("WindowGroupLimit") == 2 and "rangepartitioning" not in plans["clean"]
+    # Amounts are derived above the last shuffle, so only for lines that stay.
+    assert plans["clean"].index("gross_amount") < plans["clean"].index("Exchange")
+    for name in ("firsts_customer_id", "firsts_product_name"):
+        assert "SortAggregate" not in plans[name] and "HashAggregate" in plans[name]
+    for text in plans.values():
+        assert "CartesianProduct" not in text and "Python" not in text
+
+
+def test_views_over_large_dimensions_are_defined_without_work(ws, monkeypatch):
+    monkeypatch.setattr("tillroll.operators.lookup.BROADCAST_BYTES", 0)
+    written = []
+    monkeypatch.setattr("tillroll.operators.staging.Staging.write", lambda *a: written.append(a))
+    A.register_views(ws.load.warehouse)
+    assert not written
+    assert "PartitionFilters: [isnotnull(sale_year" in plan(ws.spark.sql("SELECT * FROM vw_sales_flat WHERE year = 1996"))
+
+
 def test_fact_is_aggregated_before_it_meets_a_dimension(ws):
-    for query in (A.category_profit, A.top_product, A.region_share):
+    for query in (A.category_profit, A.top_product, A.region_share, A.customer_segments):
         lines = plan(query(ws.load.warehouse)).splitlines()
         scan = next(i for i, text in enumerate(lines) if "net_amount:decimal" in text)
         nearest = next(text for text in reversed(lines[:scan]) if "Aggregate" in text or "Join" in text)

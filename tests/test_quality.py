@@ -2,15 +2,15 @@
 
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from helpers import MINI_FEED, feed, tuples
 
-from tillroll.operators.staging import Staging
 from tillroll.plans import quality as Q
 from tillroll.plans.retail import load_warehouse
 from tillroll.sources.schemas import WAREHOUSE_TABLES
-from tillroll.sources.warehouse import Warehouse, read_warehouse
+from tillroll.sources.warehouse import Warehouse, published_run, read_warehouse, vacuum
 
 FACT = {
     "sale_key": 1, "order_id": "O1", "customer_key": 1, "product_key": 1, "region_key": 1, "date_key": 20240601,
@@ -79,11 +79,36 @@ def test_constraints(spark, facts, dims, expected):
 
 def test_a_broken_load_is_not_published(spark, tmp_path):
     root = str(tmp_path)
-    load_warehouse(feed(spark, MINI_FEED), root, Staging(spark))
+    load_warehouse(feed(spark, MINI_FEED), root)
     nameless = ("ORD10", "2024-07-02", "", "Cy Poe", "West", "Net", "Sports", "1", "5.00", "0")
     too_large = ("ORD11", "2024-07-02", "C9", "Cy Poe", "West", "Net", "Toys", "9e9", "9e9", "0")
     with pytest.raises(Q.QualityError, match="customer_id not null.*quantity not null"):
-        load_warehouse(feed(spark, [*MINI_FEED, nameless, too_large]), root, Staging(spark))
+        load_warehouse(feed(spark, [*MINI_FEED, nameless, too_large]), root)
     assert read_warehouse(spark, root).rows("fact_sales") == 5
-    load_warehouse(feed(spark, MINI_FEED[:3]), root, Staging(spark))
+    load_warehouse(feed(spark, MINI_FEED[:3]), root)
     assert read_warehouse(spark, root).rows("fact_sales") == 3
+
+
+def staging_folders(spark):
+    return {p.name for p in Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).glob("staging-*")}
+
+
+def test_loads_leave_no_staging_and_failed_ones_no_run(spark, tmp_path):
+    before, root = staging_folders(spark), str(tmp_path)
+    load_warehouse(feed(spark, MINI_FEED), root)
+    nameless = ("ORD10", "2024-07-02", "", "Cy Poe", "West", "Net", "Sports", "1", "5.00", "0")
+    with pytest.raises(Q.QualityError):
+        load_warehouse(feed(spark, [*MINI_FEED, nameless]), root)
+    assert staging_folders(spark) == before
+    assert len(list((tmp_path / "runs").iterdir())) == 1
+
+
+def test_vacuum_keeps_the_last_runs_by_number(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for n in (10, 3, 10):
+        load_warehouse(feed(spark, MINI_FEED[:n]), root)
+    last = published_run(spark, root)
+    assert len(vacuum(spark, root, keep=2)) == 1
+    assert len(vacuum(spark, root, keep=1)) == 1
+    assert [p.name for p in (tmp_path / "runs").iterdir()] == [last]
+    assert read_warehouse(spark, root).rows("fact_sales") == 5

@@ -24,6 +24,16 @@ def test_small_inputs_change_no_sizes(restored):
     assert [restored.conf.get(key, None) for key in SIZED] == before
 
 
+def test_a_small_input_after_a_large_one_sets_back(restored):
+    restored.conf.set(SIZED[1], "12345678")
+    before = [restored.conf.get(key, None) for key in SIZED]
+    tune(restored, 1 << 40)
+    assert [restored.conf.get(key, None) for key in SIZED] != before
+    tune(restored, 1 << 41)
+    tune(restored, 10 << 20)
+    assert [restored.conf.get(key, None) for key in SIZED] == before
+
+
 @pytest.mark.parametrize(
     ("size", "tasks", "split"),
     [(1 << 40, 4096, TASK_BYTES), (100 * 10**12, MOST_TASKS, 100 * 10**12 // MOST_TASKS)],

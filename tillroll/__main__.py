@@ -1,4 +1,4 @@
-"""Command line for spark-submit: load a feed, check a warehouse, export the flat view."""
+"""Command line for spark-submit: load a feed, check a warehouse, export the flat view, delete old runs."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from tillroll.plans.retail import run_etl
 from tillroll.session import input_bytes, tune
 from tillroll.sources.feed import read_feed
 from tillroll.sources.reports import write_flat_csv
-from tillroll.sources.warehouse import read_warehouse
+from tillroll.sources.warehouse import published_run, read_warehouse, vacuum
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -24,19 +24,27 @@ def main(argv: list[str] | None = None) -> int:
     load.add_argument("warehouse")
     load.add_argument("--clean-csv", help="also write the cleaned lines as CSV")
     load.add_argument("--report", help="also write the quality report")
-    load.add_argument("--single-line", action="store_true", help="the feed has no quoted line breaks")
+    load.add_argument("--single-line", action="store_true", help="the feed has no quoted line breaks; saves looking for one")
     check = commands.add_parser("validate", help="run the warehouse checks; exit code 1 when one fails")
     check.add_argument("warehouse")
     export = commands.add_parser("export", help="write the flat view as CSV")
     export.add_argument("warehouse")
     export.add_argument("target")
+    clean = commands.add_parser("vacuum", help="delete all runs but the last published ones")
+    clean.add_argument("warehouse")
+    clean.add_argument("--keep", type=int, default=2)
     args = parser.parse_args(argv)
 
     spark = tune(SparkSession.builder.appName("tillroll").getOrCreate())
     if args.command == "load":
         tune(spark, input_bytes(spark, args.feed))
-        run_etl(read_feed(spark, args.feed, not args.single_line), args.warehouse, args.clean_csv, args.report)
-    elif args.command == "export":
+        run_etl(read_feed(spark, args.feed, False if args.single_line else None), args.warehouse, args.clean_csv, args.report)
+        return 0
+    if args.command == "vacuum":
+        print(f"{len(vacuum(spark, args.warehouse, args.keep))} runs deleted.")
+        return 0
+    tune(spark, input_bytes(spark, f"{args.warehouse}/runs/{published_run(spark, args.warehouse)}"))
+    if args.command == "export":
         write_flat_csv(sales_flat(read_warehouse(spark, args.warehouse)), args.target)
     else:
         checks = warehouse_checks(read_warehouse(spark, args.warehouse)).orderBy("position").collect()

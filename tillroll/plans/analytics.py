@@ -186,8 +186,8 @@ def monthly_kpis(wh: Warehouse) -> DataFrame:
 
 
 def register_views(wh: Warehouse) -> None:
-    """The tables and both views under their SQL names."""
+    """The tables and both views under their SQL names; monthly figures are those stored with the run, if there are any."""
     for name, table in wh.tables.items():
         table.createOrReplaceTempView(name)
     sales_flat(wh).createOrReplaceTempView("vw_sales_flat")
-    monthly_kpis(wh).createOrReplaceTempView("vw_monthly_kpis")
+    (monthly_kpis(wh) if wh.monthly is None else wh.monthly).createOrReplaceTempView("vw_monthly_kpis")

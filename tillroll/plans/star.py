@@ -13,6 +13,7 @@ from tillroll.operators.lookup import lookup, measured_bytes
 from tillroll.operators.ordering import freeze_in_order, number_rows
 from tillroll.operators.staging import Staging, side_by_side
 from tillroll.sources.schemas import FACT_SALES
+from tillroll.sources.warehouse import HOT_LINES, hot_keys
 
 
 def keyed_dimension(
@@ -74,7 +75,7 @@ def fact(clean: DataFrame, customer: DataFrame, product: DataFrame, region: Data
 
 
 def build_star(clean: DataFrame, staging: Staging) -> dict[str, DataFrame]:
-    """The five tables, not yet written."""
+    """The five tables and the hot keys of the fact, not yet written."""
     customer, product, region = side_by_side(
         clean.sparkSession,
         lambda: customers(clean, staging),
@@ -87,4 +88,5 @@ def build_star(clean: DataFrame, staging: Staging) -> dict[str, DataFrame]:
         "dim_region": region.drop("n_lines"),
         "dim_date": dates(clean),
         "fact_sales": fact(clean, customer, product, region),
+        HOT_LINES: hot_keys({"customer_key": customer, "product_key": product, "region_key": region}),
     }

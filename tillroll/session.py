@@ -15,9 +15,14 @@ TASK_BYTES = 256 << 20
 MOST_TASKS = 30_000
 
 
+# What the session had before it was sized for an input.
+_KEPT = "tillroll.kept."
+_SIZED = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes")
+
+
 def input_bytes(spark: SparkSession, path: str | list[str]) -> int:
-    """Total size of the files under a path; lists them without reading them."""
-    files = spark.read.format("binaryFile").load(path)
+    """Total size of the files under a path, at any depth; lists them without reading them."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
@@ -25,12 +30,22 @@ def tune(spark: SparkSession, size: int = 0) -> SparkSession:
     """Apply the settings, and size scans and shuffles for ``size`` bytes of input.
 
     Shuffles start with enough partitions that none outgrows a task, and AQE merges small ones. Small
-    inputs leave the session's own numbers alone.
+    inputs get the session's own numbers, also after a large one.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    for key in _SIZED:
+        kept = spark.conf.get(_KEPT + key, None)
+        if kept is not None:
+            if kept:
+                spark.conf.set(key, kept)
+            else:
+                spark.conf.unset(key)
+            spark.conf.unset(_KEPT + key)
     tasks = min(-(-size // TASK_BYTES), MOST_TASKS)
     if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        for key in _SIZED:
+            spark.conf.set(_KEPT + key, spark.conf.get(key, None) or "")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(tasks))
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(TASK_BYTES, size // tasks)))
     return spark

@@ -2,55 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.dates import iso_date
 from tillroll.functions.text import null_reader_tokens
 from tillroll.sources.schemas import CLEAN_COLUMNS, ORDINAL, RAW_COLUMNS
 
-# Beyond this many files the table of file numbers is joined by shuffle instead of broadcast.
-BROADCAST_FILES = 200_000
+_OVERLONG = "_overlong"
 
 
-def read_feed(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+def has_quoted_breaks(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether any physical line has an odd number of quotes, so that a quoted value goes on in the next one.
+
+    One pass over the text, which ends at the first such line.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
+
+
+def read_feed(spark: SparkSession, path: str | list[str], multi_line: bool | None = None) -> DataFrame:
     """The 12 feed columns as text, bound by header name, plus ``src_ordinal``.
 
-    ``multi_line`` reads quoted line breaks, at the price of one task per file; turn it off for feeds
-    without them and Spark splits large files.
+    Files without quoted line breaks are split among tasks; a feed that has one is read one file per task.
+    ``multi_line`` says which it is, and saves the look. A line with more fields than the header ends the job that reads
+    it; a shorter one is filled up with nulls. The order is that of paths, then of places in the file.
     """
-    df = spark.read.csv(path, header=True, escape='"', multiLine=multi_line, enforceSchema=False)
-    missing = [c for c in RAW_COLUMNS if c not in df.columns]
+    if multi_line is None:
+        multi_line = has_quoted_breaks(spark, path)
+    options = {"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False}
+    names = spark.read.csv(path, **options).columns
+    missing = [c for c in RAW_COLUMNS if c not in names]
     if missing:
         raise ValueError(f"the feed lacks the columns {missing}")
-    files = sorted(df.inputFiles())
-    tasks = spark.sparkContext.defaultParallelism
-    located = df.select(
-        *RAW_COLUMNS,
-        _plain_path(F.col("_metadata.file_path")).alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    if len(files) < 2:
-        file_no = F.lit(0)
-    else:
-        numbers = spark.createDataFrame(list(enumerate(files)), "_file int, _uri string")
-        numbers = numbers.select("_file", _plain_path(F.col("_uri")).alias("_path"))
-        if len(files) <= BROADCAST_FILES:
-            numbers = F.broadcast(numbers)
-        located = located.join(numbers, "_path", "left")
-        file_no = F.coalesce("_file", F.raise_error(F.concat(F.lit("not a listed file: "), "_path")).cast("int"))
-    if multi_line and len(files) < tasks:
-        # Each file is read by one task; the work after that is for all of them.
-        located = located.repartition(tasks, "_block", "_row")
+    # Lines whose number of fields is another than the header's come with their text beside what could be read.
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _OVERLONG]])
+    df = spark.read.options(columnNameOfCorruptRecord=_OVERLONG, columnPruning=False).csv(path, schema=schema, **options)
+    unquoted = F.regexp_replace(_OVERLONG, '(?s)"(?:[^"]|"")*"', "")
+    too_long = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) >= len(names)
+    message = F.concat(F.lit(f"a line with more than {len(names)} fields: "), F.substring(_OVERLONG, 1, 200))
+    first = F.when(too_long, F.raise_error(message).cast("string")).otherwise(F.col(RAW_COLUMNS[0]))
     # Rows of one block are read by one task in order, so the running id orders them.
-    ordinal = F.struct(file_no.alias("file"), F.col("_block").alias("block"), F.col("_row").alias("row"))
-    return located.select(*RAW_COLUMNS, ordinal.alias(ORDINAL))
-
-
-def _plain_path(uri: Column) -> Column:
-    """One spelling of local paths, which Spark writes with one or three slashes."""
-    return F.regexp_replace(uri, "^file:/+", "file:/")
+    ordinal = F.struct(
+        F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return df.select(first.alias(RAW_COLUMNS[0]), *RAW_COLUMNS[1:], ordinal.alias(ORDINAL))
 
 
 def with_nulls(raw: DataFrame) -> DataFrame:

@@ -8,17 +8,20 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.operators.lookup import lookup, measured_bytes
-from tillroll.operators.staging import side_by_side
+from tillroll.operators.lookup import HOT_KEYS, lookup, measured_bytes
+from tillroll.operators.staging import delete_folder, plan_of, side_by_side
 from tillroll.sources.schemas import WAREHOUSE_TABLES
 
-_PUBLISHED = "run string, published_at timestamp"
+_PUBLISHED = "run string, number bigint, published_at timestamp"
+# Tables beside the star: keys with at least 1/HOT_KEYS of the lines, and the monthly figures.
+HOT_LINES, MONTHLY = "hot_keys", "monthly_kpis"
+_HOT_SCHEMA = "key_name string, key int, n_lines bigint"
 # Partition column of the fact, so that a filter on the year of the sale skips files.
 SALE_YEAR = "sale_year"
 
@@ -28,6 +31,9 @@ class Warehouse:
     """The five tables; sizes of dimensions are measured once, when a query first asks."""
 
     tables: dict[str, DataFrame]
+    # Keys with very many lines, and monthly figures, where the run has them stored.
+    hot_keys: DataFrame | None = None
+    monthly: DataFrame | None = None
     _bytes: dict[str, int] = field(default_factory=dict)
     _rows: dict[str, int] = field(default_factory=dict)
 
@@ -46,7 +52,8 @@ class Warehouse:
 
     def attach(self, lines: DataFrame, name: str, key: str, columns: list[str]) -> DataFrame:
         """Inner join of lines to a dimension (J1-J6), row by row."""
-        return lookup(lines, self.tables[name].select(key, *columns), key, how="inner", table_bytes=self.size(name))
+        hot = self.hot_keys if self.hot_keys is None else self.hot_keys.where(F.col("key_name") == key).select(F.col("key").alias(key))
+        return lookup(lines, self.tables[name].select(key, *columns), key, how="inner", hot=hot, table_bytes=self.size(name))
 
 
 def table_schema(name: str) -> T.StructType:
@@ -56,38 +63,88 @@ def table_schema(name: str) -> T.StructType:
     return schema
 
 
-def write_run(tables: dict[str, DataFrame], root: str) -> str:
-    """Write every table into a new run and return its name."""
+def write_run(tables: dict[str, DataFrame], root: str, plans: dict[str, str] | None = None) -> str:
+    """Write every table into a new run and return its name; ``plans`` gets the plan of each write."""
     run = uuid.uuid4().hex
 
     def write(name: str) -> None:
-        path = f"{root}/runs/{run}/{name}"
+        path, table = f"{root}/runs/{run}/{name}", tables[name]
         if name == "fact_sales":
             # One extra shuffle lets Spark cut the files of each year to size, splitting large years.
-            by_year = tables[name].withColumn(SALE_YEAR, F.expr("date_key div 10000").cast("int"))
-            by_year.hint("rebalance", SALE_YEAR).write.partitionBy(SALE_YEAR).parquet(path)
-        else:
-            tables[name].write.parquet(path)
+            table = table.withColumn(SALE_YEAR, F.expr("date_key div 10000").cast("int")).hint("rebalance", SALE_YEAR)
+        if plans is not None:
+            plans[name] = plan_of(table)
+        writer = table.write.partitionBy(SALE_YEAR) if name == "fact_sales" else table.write
+        writer.parquet(path)
 
     side_by_side(tables["fact_sales"].sparkSession, *[partial(write, name) for name in tables])
     return run
 
 
-def read_run(spark: SparkSession, root: str, run: str) -> Warehouse:
-    return Warehouse({
-        name: spark.read.schema(table_schema(name)).parquet(f"{root}/runs/{run}/{name}")
-        for name in WAREHOUSE_TABLES
-    })
+def hot_keys(counts: dict[str, DataFrame]) -> DataFrame:
+    """(key_name, key, n_lines) of the keys with at least 1/HOT_KEYS of the lines, from (key, n_lines) per key name."""
+    parts = [
+        table.select(F.lit(name).alias("key_name"), F.col(name).cast("int").alias("key"), F.col("n_lines").cast("long").alias("n_lines"))
+        for name, table in counts.items()
+    ]
+    every = reduce(DataFrame.unionByName, parts)
+    totals = every.groupBy("key_name").agg(F.sum("n_lines").alias("all_lines"))
+    return every.join(F.broadcast(totals), "key_name").where(F.col("n_lines") * HOT_KEYS >= F.col("all_lines")).drop("all_lines")
+
+
+def add_to_run(table: DataFrame, root: str, run: str, name: str) -> None:
+    """A further table of a run that isn't published yet."""
+    table.write.parquet(f"{root}/runs/{run}/{name}")
+
+
+def read_run(spark: SparkSession, root: str, run: str, extras: bool = True) -> Warehouse:
+    """The tables of a run; ``extras`` with what is stored beside the star."""
+    path = f"{root}/runs/{run}"
+    tables = {name: spark.read.schema(table_schema(name)).parquet(f"{path}/{name}") for name in WAREHOUSE_TABLES}
+    if not extras:
+        return Warehouse(tables)
+    return Warehouse(tables, spark.read.schema(_HOT_SCHEMA).parquet(f"{path}/{HOT_LINES}"), spark.read.parquet(f"{path}/{MONTHLY}"))
+
+
+def _published(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(_PUBLISHED).parquet(f"{root}/published")
+
+
+def _last_number(spark: SparkSession, root: str) -> int:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/published")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return 0
+    return _published(spark, root).agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
 
 
 def publish(spark: SparkSession, root: str, run: str) -> None:
-    """S6."""
-    row = spark.range(1, numPartitions=1).select(F.lit(run).alias("run"), F.current_timestamp().alias("published_at"))
+    """S6. Runs are numbered, so no clock decides which is the last."""
+    number = _last_number(spark, root) + 1
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(run).alias("run"), F.lit(number).cast("long").alias("number"), F.current_timestamp().alias("published_at"))
     row.write.mode("append").parquet(f"{root}/published")
 
 
+def published_run(spark: SparkSession, root: str) -> str:
+    return _published(spark, root).agg(F.max_by("run", "number")).first()[0]
+
+
 def read_warehouse(spark: SparkSession, root: str) -> Warehouse:
     """The last published run."""
-    published = spark.read.schema(_PUBLISHED).parquet(f"{root}/published")
-    run = published.agg(F.max_by("run", "published_at")).first()[0]
-    return read_run(spark, root, run)
+    return read_run(spark, root, published_run(spark, root))
+
+
+def discard_run(spark: SparkSession, root: str, run: str) -> None:
+    delete_folder(spark, f"{root}/runs/{run}")
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete all runs but the last ``keep`` published ones; not while a load is under way. Returns what is gone."""
+    rows = _published(spark, root).orderBy(F.desc("number")).limit(max(1, keep)).collect()
+    kept = {r["run"] for r in rows}
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/runs")
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    gone = [name for name in names if name not in kept]
+    for name in gone:
+        discard_run(spark, root, name)
+    return gone
