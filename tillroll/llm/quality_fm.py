@@ -18,6 +18,8 @@ from tillroll.llm.words import NOT_SPACE, U64, byte_class, chunks, column, mix,
 
 # Labelled documents of each label that a fit looks at, at most.
 SAMPLE_PER_LABEL = 1500
+# Texts whose features a fit forms at once.
+LOT = 100
 BITS = 18
 RANK = 8
 # Each statistic is cut at the quantiles of the sample into this many bins, one indicator each.
@@ -136,16 +138,22 @@ def fit(texts: pa.Array, labels: np.ndarray, counts: dict[int, int], epochs: int
     if not counts[0] or not counts[1]:
         p = (counts[1] + 0.5) / (total + 1)
         return QualityModel(np.zeros((kinds, BINS - 1)), float(np.log(p / (1 - p))), linear, factors, bits)
-    lots = [texts.slice(i, 200) for i in range(0, len(texts), 200)]
-    edges = np.quantile(np.concatenate([statistics(lot)[0] for lot in lots]), np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
-    parts = [features(lot, edges, bits) for lot in lots]
-    put = lambda name, step=0: np.concatenate([getattr(p, name) + step * i for i, p in enumerate(parts)])
-    x = Features(put("text", 200), put("feature"), put("value"), len(texts))
-    frequency = np.bincount(x.feature, minlength=len(linear))
-    keep = telling(np.bincount(x.feature, labels[x.text], len(linear)), frequency, labels)
+    # Lot by lot, so that no more than the telling words of all texts is held.
+    lots = [(texts.slice(i, LOT), labels[i : i + LOT]) for i in range(0, len(texts), LOT)]
+    edges = np.quantile(np.concatenate([statistics(lot)[0] for lot, _ in lots]), np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
+    frequency, positive = np.zeros(len(linear)), np.zeros(len(linear))
+    for lot, truth in lots:
+        x = features(lot, edges, bits)
+        frequency += np.bincount(x.feature, minlength=len(linear))
+        positive += np.bincount(x.feature, truth[x.text], len(linear))
+    keep = telling(positive, frequency, labels)
     keep[: kinds * BINS] = True
-    used = keep[x.feature]
-    x = Features(x.text[used], x.feature[used], x.value[used], x.n_texts)
+    parts = []
+    for i, (lot, _) in enumerate(lots):
+        x = features(lot, edges, bits)
+        used = keep[x.feature]
+        parts.append((x.text[used] + LOT * i, x.feature[used], x.value[used]))
+    x = Features(*[np.concatenate(column) for column in zip(*parts, strict=True)], len(texts))
     vocabulary, local = np.unique(x.feature, return_inverse=True)
     drawn = np.array([max(1, (labels == y).sum()) for y in (0, 1)])
     importance = (np.array([counts[0], counts[1]]) / total / drawn)[labels.astype(int)]

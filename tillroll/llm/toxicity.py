@@ -19,6 +19,8 @@ from tillroll.llm.words import ALPHANUMERIC, Words, byte_class, chunks, column,
 
 # Labelled documents of each label that a fit looks at, at most.
 SAMPLE_PER_LABEL = 2500
+# Texts whose features a fit forms at once.
+LOT = 100
 BITS = 18
 STOPS = byte_class(".!?\n")
 # A sentence at or above this score is reported as offending.
@@ -52,6 +54,11 @@ def sentences_of(texts: pa.Array, bits: int = BITS) -> Sentences:
     return Sentences(words.text[first], words.start[first] - base, words.end[last] - base, code >> bits, code & ((1 << bits) - 1), words.n_texts)
 
 
+def _only(s: Sentences, used: np.ndarray) -> Sentences:
+    keep = used[s.feature]
+    return Sentences(s.text, s.start, s.end, s.sentence[keep], s.feature[keep], s.n_texts)
+
+
 def _joined(parts: list[Sentences]) -> Sentences:
     texts = np.cumsum([0] + [p.n_texts for p in parts])
     rows = np.cumsum([0] + [len(p.text) for p in parts])
@@ -83,11 +90,17 @@ def fit(texts: pa.Array, labels: np.ndarray, counts: dict[int, int], epochs: int
     total, weights = counts[0] + counts[1], np.zeros(1 << bits)
     if not counts[0] or not counts[1]:
         return ToxicityModel(weights, -30.0, counts[1] / total if total else 0.0, bits)
-    s = _joined([sentences_of(texts.slice(i, 200), bits) for i in range(0, len(texts), 200)])
-    pairs = np.unique(s.text[s.sentence] << bits | s.feature)
-    frequency = np.bincount(pairs & ((1 << bits) - 1), minlength=1 << bits)
-    used = telling(np.bincount(pairs & ((1 << bits) - 1), labels[pairs >> bits], 1 << bits), frequency, labels, towards_one=True)[s.feature]
-    sentence, feature = s.sentence[used], s.feature[used]
+    # Lot by lot, so that no more than the telling words of all texts is held.
+    lots = [(texts.slice(i, LOT), labels[i : i + LOT]) for i in range(0, len(texts), LOT)]
+    frequency, positive = np.zeros(1 << bits), np.zeros(1 << bits)
+    for lot, truth in lots:
+        s = sentences_of(lot, bits)
+        pairs = np.unique(s.text[s.sentence] << bits | s.feature)
+        frequency += np.bincount(pairs & ((1 << bits) - 1), minlength=1 << bits)
+        positive += np.bincount(pairs & ((1 << bits) - 1), truth[pairs >> bits], 1 << bits)
+    used = telling(positive, frequency, labels, towards_one=True)
+    s = _joined([_only(sentences_of(lot, bits), used) for lot, _ in lots])
+    sentence, feature = s.sentence, s.feature
     vocabulary, local = np.unique(feature, return_inverse=True)
     drawn = np.array([max(1, (labels == y).sum()) for y in (0, 1)])
     importance = (np.array([counts[0], counts[1]]) / total / drawn)[labels.astype(int)]
