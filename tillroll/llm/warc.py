@@ -25,7 +25,7 @@ from tillroll.llm.words import chunks, column
 
 DICTIONARY_MAGIC = 0x184D2A5D
 DICTIONARY_BYTES = 64 << 10
-# The dictionary is trained on at most so many pieces, drawn evenly from all payloads by hash.
+# The dictionary is trained on about so many pieces, drawn evenly from all payloads by hash.
 SAMPLE_PIECES, PIECE_BYTES = 1024, 4096
 # Payloads below this size are not worth a reference.
 LEAST_REVISIT_BYTES = 100
@@ -37,23 +37,27 @@ _BREAK = b"\r\n"
 def train_dictionary(pages: DataFrame, payload: str, size: int = DICTIONARY_BYTES, pieces: int = SAMPLE_PIECES) -> bytes:
     """A dictionary from a bounded, evenly drawn sample of the pieces of all payloads; empty if there is too little.
 
-    Every piece of every payload has the same chance: the ``pieces`` with the smallest digests are taken.
+    Every distinct piece of every payload has the same chance: those are taken whose digest is below a bound, which
+    follows from the number of all pieces and the number wanted. Each is sent once, so the driver gets about ``pieces``
+    of them whatever the number of tasks, and never more than twice as many.
     """
+    payloads = pages.select(F.col(payload).cast("binary").alias("payload"))
+    total = payloads.agg(F.coalesce(F.sum(F.ceil(F.octet_length("payload") / PIECE_BYTES)), F.lit(0))).first()[0]
+    bound = min(1 << 64, (1 << 64) * pieces // max(1, total))
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[bytes, bytes] = {}
         for batch in chunks(batches, "payload"):
+            found: dict[bytes, bytes] = {}
             for value in column(batch, "payload").to_pylist():
                 for at in range(0, len(value or b""), PIECE_BYTES):
                     piece = value[at : at + PIECE_BYTES]
-                    best[hashlib.blake2b(piece, digest_size=16).digest()] = piece
-            if len(best) > 4 * pieces:
-                best = dict(sorted(best.items())[:pieces])
-        found = sorted(best.items())[:pieces]
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.binary()), pa.array([v for _, v in found], pa.binary())], ["place", "piece"])
-
-    drawn = pages.select(F.col(payload).cast("binary").alias("payload")).mapInArrow(draw, "place binary, piece binary")
-    samples = [bytes(r["piece"]) for r in drawn.orderBy("place", "piece").limit(pieces).collect()]
+                    place = hashlib.blake2b(piece, digest_size=8).digest()
+                    if int.from_bytes(place, "big") < bound:
+                        found[place] = piece
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], ["place", "piece"])
+
+    drawn = payloads.mapInArrow(draw, "place binary, piece binary").groupBy("place").agg(F.first("piece").alias("piece"))
+    samples = [bytes(r["piece"]) for r in sorted(drawn.limit(2 * pieces).collect(), key=lambda r: bytes(r["place"]))]
     if sum(map(len, samples)) < 8 * 256 or len(samples) < 8:
         return b""
     try:
