@@ -104,3 +104,15 @@ def test_sentences_know_their_bytes():
     s = toxicity.sentences_of(pa.array(["Ünder é. Two words!\n\n?", None, "last"]))
     assert s.text.tolist() == [0, 0, 2]
     assert [("Ünder é. Two words!\n\n?".encode() if t == 0 else b"last")[a:b].decode() for t, a, b in zip(s.text, s.start, s.end)] == ["Ünder é", "Two words", "last"]
+
+
+@pytest.mark.parametrize("column", ["quality", "toxic"])
+def test_long_texts_are_learned_whole(spark, column):
+    # What the label rests on lies beyond the first 40 KB, and the heads are equal.
+    head = "plain talk of the day. " * 1800
+    texts = [(i, head + (f"you vile oaf {i}. " if i % 2 else f"a fine friend {i}. ") + prose(i, 9) + ".", "en", "s", 1) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    docs = docs_of(spark, texts)
+    module = quality_fm if column == "quality" else toxicity
+    scored = {r.doc_id: r.score for r in module.score(docs, module.train(docs, labels)).collect()}
+    assert all((scored[i] >= 0.3) == bool(i % 2) for i in range(60))

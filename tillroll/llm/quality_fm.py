@@ -13,13 +13,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.learning import Adam, sample, sigmoid, telling
+from tillroll.llm.learning import Adam, Sample, sample, sigmoid, telling
 from tillroll.llm.words import NOT_SPACE, U64, byte_class, chunks, column, mix, segment_starts, words_of
 
 # Labelled documents of each label that a fit looks at, at most.
 SAMPLE_PER_LABEL = 1500
-# Texts whose features a fit forms at once.
-LOT = 100
 BITS = 18
 RANK = 8
 # Each statistic is cut at the quantiles of the sample into this many bins, one indicator each.
@@ -127,36 +125,44 @@ def _margin(x: Features, bias: float, w: np.ndarray, v: np.ndarray) -> tuple[np.
     return bias + np.bincount(x.text, w * x.value, x.n_texts) + 0.5 * ((sums**2).sum(1) - squares), sums
 
 
-def fit(texts: pa.Array, labels: np.ndarray, counts: dict[int, int], epochs: int = 80, rate: float = 0.1, penalty: float = 2e-4, bits: int = BITS, rank: int = RANK, seed: int = 7) -> QualityModel:
+def fit(drawn: Sample, epochs: int = 80, rate: float = 0.1, penalty: float = 2e-4, bits: int = BITS, rank: int = RANK, seed: int = 7) -> QualityModel:
     """Penalised logistic likelihood, each label weighted to its share of all rows.
 
     Words get parameters only where they are ``telling``. Without rows of both labels every text scores the share
-    of label 1; without any rows, one half.
+    of label 1; without any rows, one half. Tasks form the features of whole texts; the driver holds no more than
+    their statistics and telling words.
     """
+    labels, counts = drawn.labels, drawn.counts
     kinds, total = len(STATISTICS), counts[0] + counts[1]
     linear, factors = np.zeros(kinds * BINS + (1 << bits)), np.zeros((kinds * BINS + (1 << bits), rank))
-    if not counts[0] or not counts[1]:
+    if drawn.one_sided():
         p = (counts[1] + 0.5) / (total + 1)
         return QualityModel(np.zeros((kinds, BINS - 1)), float(np.log(p / (1 - p))), linear, factors, bits)
-    # Lot by lot, so that no more than the telling words of all texts is held.
-    lots = [(texts.slice(i, LOT), labels[i : i + LOT]) for i in range(0, len(texts), LOT)]
-    edges = np.quantile(np.concatenate([statistics(lot)[0] for lot, _ in lots]), np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
-    frequency, positive = np.zeros(len(linear)), np.zeros(len(linear))
-    for lot, truth in lots:
-        x = features(lot, edges, bits)
-        frequency += np.bincount(x.feature, minlength=len(linear))
-        positive += np.bincount(x.feature, truth[x.text], len(linear))
+
+    def measured(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [column(batch, "place"), *[pa.array(c) for c in statistics(column(batch, "text"))[0].T]]
+
+    table = drawn.formed(measured, ", ".join(["place bigint", *[f"s{k} double" for k in range(kinds)]]))
+    edges = np.quantile(np.stack([table[f"s{k}"].to_numpy() for k in range(kinds)], 1), np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
+
+    def codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        x = features(texts, edges, bits)
+        return x.text, x.feature
+
+    frequency, positive = drawn.frequencies(codes, len(linear))
     keep = telling(positive, frequency, labels)
     keep[: kinds * BINS] = True
-    parts = []
-    for i, (lot, _) in enumerate(lots):
-        x = features(lot, edges, bits)
+
+    def kept(batch: pa.RecordBatch) -> list[pa.Array]:
+        x = features(column(batch, "text"), edges, bits)
         used = keep[x.feature]
-        parts.append((x.text[used] + LOT * i, x.feature[used], x.value[used]))
-    x = Features(*[np.concatenate(column) for column in zip(*parts, strict=True)], len(texts))
+        return [pa.array(column(batch, "place").to_numpy()[x.text[used]]), pa.array(x.feature[used].astype(np.int32)), pa.array(x.value[used])]
+
+    entries = drawn.formed(kept, "place bigint, feature int, value double")
+    x = Features(entries["place"].to_numpy(), entries["feature"].to_numpy(), entries["value"].to_numpy(), len(labels))
     vocabulary, local = np.unique(x.feature, return_inverse=True)
-    drawn = np.array([max(1, (labels == y).sum()) for y in (0, 1)])
-    importance = (np.array([counts[0], counts[1]]) / total / drawn)[labels.astype(int)]
+    drawn_of = np.array([max(1, (labels == y).sum()) for y in (0, 1)])
+    importance = (np.array([counts[0], counts[1]]) / total / drawn_of)[labels.astype(int)]
     w, v, b = np.zeros(len(vocabulary)), np.random.default_rng(seed).normal(0, 0.05, (len(vocabulary), rank)), np.zeros(1)
     b[0] = np.log(counts[1] / counts[0])
     adam = Adam([w, v, b], rate)
@@ -175,7 +181,7 @@ def fit(texts: pa.Array, labels: np.ndarray, counts: dict[int, int], epochs: int
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", eligible: Column | None = None, per_label: int = SAMPLE_PER_LABEL, **names: str) -> QualityModel:
     """Fit on a bounded sample of labelled documents (see ``learning.sample``); ``eligible`` is a condition on ``id``."""
-    return fit(*sample(docs, labels, label, eligible, per_label=per_label, **names))
+    return fit(sample(docs, labels, label, eligible, per_label=per_label, **names))
 
 
 def score(docs: DataFrame, model: QualityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -14,13 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.learning import Adam, bucket, sample, sigmoid, telling
+from tillroll.llm.learning import Adam, Sample, bucket, sample, sigmoid, telling
 from tillroll.llm.words import ALPHANUMERIC, Words, byte_class, chunks, column, segment_starts, words_of
 
 # Labelled documents of each label that a fit looks at, at most.
 SAMPLE_PER_LABEL = 2500
-# Texts whose features a fit forms at once.
-LOT = 100
 BITS = 18
 STOPS = byte_class(".!?\n")
 # A sentence at or above this score is reported as offending.
@@ -59,12 +57,36 @@ def _only(s: Sentences, used: np.ndarray) -> Sentences:
     return Sentences(s.text, s.start, s.end, s.sentence[keep], s.feature[keep], s.n_texts)
 
 
-def _joined(parts: list[Sentences]) -> Sentences:
-    texts = np.cumsum([0] + [p.n_texts for p in parts])
-    rows = np.cumsum([0] + [len(p.text) for p in parts])
-    put = lambda name, base: np.concatenate([getattr(p, name) + b for p, b in zip(parts, base, strict=False)])
-    none = np.zeros(len(parts), np.int64)
-    return Sentences(put("text", texts), put("start", none), put("end", none), put("sentence", rows), put("feature", none), int(texts[-1]))
+@dataclass
+class Bags:
+    """Groups of sentences that have the same words in one text: the text, how many they are, and their features."""
+
+    text: np.ndarray
+    n: np.ndarray
+    group: np.ndarray  # per feature, the group
+    feature: np.ndarray
+
+
+def _bags(drawn: Sample, used: np.ndarray, bits: int) -> Bags:
+    """Sentences of the whole sampled texts by the ``used`` words in them; those without any are one group of their text."""
+
+    def form(batch: pa.RecordBatch) -> list[pa.Array]:
+        s = _only(sentences_of(column(batch, "text"), bits), used)
+        bounds = np.searchsorted(s.sentence, np.arange(len(s.text) + 1))
+        bare = np.bincount(s.text[np.diff(bounds) == 0], minlength=s.n_texts)
+        groups: dict[tuple[int, bytes], int] = {(int(t), b""): int(bare[t]) for t in np.flatnonzero(bare)}
+        feature = s.feature.astype(np.int32)
+        for i in np.flatnonzero(np.diff(bounds)):
+            key = int(s.text[i]), feature[bounds[i] : bounds[i + 1]].tobytes()
+            groups[key] = groups.get(key, 0) + 1
+        place = column(batch, "place").to_numpy()[np.array([t for t, _ in groups], np.int64)]
+        sets = [np.frombuffer(f, np.int32) for _, f in groups]
+        return [pa.array(place), pa.array(list(groups.values()), pa.int64()), pa.array(sets, pa.list_(pa.int32()))]
+
+    rows = drawn.formed(form, "place bigint, n bigint, features array<int>")
+    features = rows["features"].combine_chunks()
+    sizes = features.value_lengths().to_numpy()
+    return Bags(rows["place"].to_numpy(), rows["n"].to_numpy(), np.repeat(np.arange(len(sizes)), sizes), features.flatten().to_numpy())
 
 
 @dataclass
@@ -81,45 +103,45 @@ class ToxicityModel:
         return 1 - (1 - self.leak * leak) * np.exp(np.bincount(s.text, np.log1p(-np.minimum(scores, 1 - 1e-12)), s.n_texts))
 
 
-def fit(texts: pa.Array, labels: np.ndarray, counts: dict[int, int], epochs: int = 200, rate: float = 0.1, penalty: float = 1e-4, bits: int = BITS) -> ToxicityModel:
+def fit(drawn: Sample, epochs: int = 200, rate: float = 0.1, penalty: float = 1e-4, bits: int = BITS) -> ToxicityModel:
     """Likelihood of document labels under the noisy-or, each label weighted to its share of all rows.
 
     The leak, a cause of its own that every document shares, takes up labels that no sentence explains, and the
     penalty keeps weights small. Only words that are ``telling`` get a weight. Without rows of both labels every text scores the share of label 1.
+    Tasks form the features of whole texts; the driver holds no more than the telling words, equal sentences of a text once.
     """
+    labels, counts = drawn.labels, drawn.counts
     total, weights = counts[0] + counts[1], np.zeros(1 << bits)
-    if not counts[0] or not counts[1]:
+    if drawn.one_sided():
         return ToxicityModel(weights, -30.0, counts[1] / total if total else 0.0, bits)
-    # Lot by lot, so that no more than the telling words of all texts is held.
-    lots = [(texts.slice(i, LOT), labels[i : i + LOT]) for i in range(0, len(texts), LOT)]
-    frequency, positive = np.zeros(1 << bits), np.zeros(1 << bits)
-    for lot, truth in lots:
-        s = sentences_of(lot, bits)
+
+    def codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        s = sentences_of(texts, bits)
         pairs = np.unique(s.text[s.sentence] << bits | s.feature)
-        frequency += np.bincount(pairs & ((1 << bits) - 1), minlength=1 << bits)
-        positive += np.bincount(pairs & ((1 << bits) - 1), truth[pairs >> bits], 1 << bits)
+        return pairs >> bits, pairs & ((1 << bits) - 1)
+
+    frequency, positive = drawn.frequencies(codes, 1 << bits)
     used = telling(positive, frequency, labels, towards_one=True)
-    s = _joined([_only(sentences_of(lot, bits), used) for lot, _ in lots])
-    sentence, feature = s.sentence, s.feature
-    vocabulary, local = np.unique(feature, return_inverse=True)
-    drawn = np.array([max(1, (labels == y).sum()) for y in (0, 1)])
-    importance = (np.array([counts[0], counts[1]]) / total / drawn)[labels.astype(int)]
+    s = _bags(drawn, used, bits)
+    vocabulary, local = np.unique(s.feature, return_inverse=True)
+    drawn_of = np.array([max(1, (labels == y).sum()) for y in (0, 1)])
+    importance = (np.array([counts[0], counts[1]]) / total / drawn_of)[labels.astype(int)]
     w, b, leak = np.zeros(len(vocabulary)), np.full(1, -6.0), np.full(1, -3.0)
     adam = Adam([w, b, leak], rate)
     for _ in range(epochs):
-        p = np.minimum(sigmoid(b[0] + np.bincount(sentence, w[local], len(s.text))), 1 - 1e-9)
+        p = np.minimum(sigmoid(b[0] + np.bincount(s.group, w[local], len(s.text))), 1 - 1e-9)
         stay = 1 - sigmoid(leak[0])
-        none = stay * np.exp(np.bincount(s.text, np.log1p(-p), s.n_texts))
+        none = stay * np.exp(np.bincount(s.text, s.n * np.log1p(-p), len(labels)))
         slope = importance * np.where(labels == 1, -none / np.maximum(1 - none, 1e-9), 1.0)
-        g = slope[s.text] * p
-        adam.step([np.bincount(local, g[sentence], len(w)) + penalty * w, np.array([max(g.sum(), 0.0)]), np.array([slope.sum() * (1 - stay)])])
+        g = s.n * slope[s.text] * p
+        adam.step([np.bincount(local, g[s.group], len(w)) + penalty * w, np.array([max(g.sum(), 0.0)]), np.array([slope.sum() * (1 - stay)])])
     weights[vocabulary] = w
     return ToxicityModel(weights, float(b[0]), float(sigmoid(leak[0])), bits)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", eligible: Column | None = None, per_label: int = SAMPLE_PER_LABEL, **names: str) -> ToxicityModel:
     """Fit on a bounded sample of labelled documents (see ``learning.sample``); ``eligible`` is a condition on ``id``."""
-    return fit(*sample(docs, labels, label, eligible, per_label=per_label, **names))
+    return fit(sample(docs, labels, label, eligible, per_label=per_label, **names))
 
 
 def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text", offending: float = OFFENDING) -> DataFrame:
