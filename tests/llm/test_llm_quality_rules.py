@@ -65,3 +65,19 @@ def test_no_python_runs_and_empty_tables_work(spark):
     judged = Q.judge(docs, Q.references(docs), out="verdict")
     assert "Python" not in judged._jdf.queryExecution().executedPlan().toString()
     assert Q.keep_good(empty(spark), Q.references(empty(spark))).count() == 0
+
+
+def test_rare_languages_are_tested_broadcast_or_not(spark):
+    common = docs_of(spark, [(0, "a b", "en", "s", 1)]).drop("doc_id").crossJoin(spark.range(1000, 21000).withColumnRenamed("id", "doc_id"))
+    rare = [(i, "the of and to in " + prose(i, 150) + " the of the and", "cy", "s", 1) for i in range(9)]
+    odd = [(100, prose(500, 150).upper() + "!!", "cy", "s", 1), (101, prose(501, 150).upper(), None, "s", 1)]
+    docs = docs_of(spark, rare + odd).unionByName(common)
+    reference = Q.references(docs)
+    assert {(r.lang, r.hot) for r in reference.collect()} == {("en", True), ("cy", False)}
+    few = Q.Rules(hot_share=0.5, broadcast_bytes=0)
+    cold = Q.references(docs, rules=few)
+    assert {(r.lang, r.hot) for r in cold.collect()} == {("en", True), ("cy", False)}
+    for ref, rules in [(reference, Q.RULES), (cold, few)]:
+        out = Q.judge(docs, ref, rules=rules)
+        assert out.count() == docs.count() and out.columns == [*docs.columns, "judged"]
+        assert {r.doc_id: r.judged.kept for r in out.where("doc_id < 1000").collect()} == {**{i: True for i in range(9)}, 100: False, 101: True}

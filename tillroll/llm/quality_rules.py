@@ -2,7 +2,7 @@
 
 Two histograms of a document are compared with those of all documents of its language by Jensen-Shannon distance: one
 over character classes, one over the language's commonest words and all others. A text below the minimum length
-of a test, or in a language without a reference, isn't put to it. Only DataFrame operations are used.
+of a test, or without a language, isn't put to it. Only DataFrame operations are used.
 """
 
 from __future__ import annotations
@@ -36,8 +36,10 @@ class Rules:
     common_words: int = 12
     # Common words are sought among words of at most so many characters.
     common_length: int = 5
-    # A language has a reference if at least this share of all documents is in it; so there are at most a thousand.
-    language_share: float = 0.001
+    # Languages with at least this share of all documents, so at most a thousand, are never dealt out by language.
+    hot_share: float = 0.001
+    # References up to this size in all are broadcast.
+    broadcast_bytes: int = 8 << 20
 
 
 RULES = Rules()
@@ -88,7 +90,7 @@ def measures(docs: DataFrame, text: str, lang: str, m: str, rules: Rules) -> Dat
     short = F.filter(F.transform(F.col(w), lambda x: F.lower(x)), lambda x: F.length(x) <= rules.common_length)
     counted = split.withColumn(m, F.struct(
         f"{m}.*", F.size(w).cast("long").alias("n_words"), (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col(w)).alias("n_repeat_words"), short.alias("short_words"), F.col(lang).cast("string").alias("lang"),
+        repeated_words(F.col(w)).alias("n_repeat_words"), short.alias("short_words"),
     ))
     return counted.drop(w, lines)
 
@@ -100,9 +102,10 @@ def class_counts(m: str) -> Column:
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang", rules: Rules = RULES) -> DataFrame:
-    """Per language with enough documents: lang, class_share, words (the commonest), word_share (theirs, then of all others).
+    """Per language: lang, hot, class_share, words (the commonest), word_share (theirs, then of all others).
 
-    Computed over all documents that have a language; a bounded number of rows (see ``Rules.language_share``).
+    Computed over all documents that have a language, for every language with a word; ``hot`` languages have at least
+    ``Rules.hot_share`` of all documents.
     """
     staging = Staging(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
@@ -121,17 +124,36 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", rules: R
     wholes = table.where(F.col("word").isNull())
     all_docs = wholes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     chars = sum((F.col(f"c{k}") for k in range(1, width)), F.col("c0"))
-    wholes = wholes.where(F.col("lang").isNotNull() & (F.col("n") >= max(1, rules.language_share * all_docs)) & (F.col("words") > 0)).select(
-        "lang", F.col("words").alias("all_words"), F.array(*[F.col(f"c{k}") / chars for k in range(width)]).alias("class_share"))
+    wholes = wholes.where(F.col("lang").isNotNull() & (F.col("words") > 0)).select(
+        "lang", (F.col("n") >= rules.hot_share * all_docs).alias("hot"), F.col("words").alias("all_words"), F.array(*[F.col(f"c{k}") / chars for k in range(width)]).alias("class_share"))
     # The limit on places runs before the shuffle too: a task sends few words of each language.
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = table.where(F.lower("word") != F.upper("word"))  # words with a letter
-    top = top.join(F.broadcast(wholes), "lang").withColumn("place", place).where(F.col("place") <= rules.common_words)
-    entry = F.array_sort(F.collect_list(F.struct("place", "word", (F.col("n") / F.col("all_words")).alias("share"))))
-    ranked = top.groupBy("lang").agg(F.first("class_share").alias("class_share"), entry.alias("top"))
-    shares = F.transform("top", lambda x: x["share"])
+    top = table.where(F.col("lang").isNotNull() & (F.lower("word") != F.upper("word")))  # words with a letter
+    top = top.withColumn("place", place).where(F.col("place") <= rules.common_words)
+    ranked = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top")).join(wholes, "lang")
+    shares = F.transform("top", lambda x: x["n"] / F.col("all_words"))
     rest = F.aggregate(shares, F.lit(1.0), lambda a, x: a - x)
-    return staging.write(ranked.select("lang", "class_share", F.transform("top", lambda x: x["word"]).alias("words"), F.concat(shares, F.array(rest)).alias("word_share")), "references")
+    return staging.write(ranked.select("lang", "hot", "class_share", F.transform("top", lambda x: x["word"]).alias("words"), F.concat(shares, F.array(rest)).alias("word_share")), "references")
+
+
+def with_references(docs: DataFrame, reference: DataFrame, lang: str, ref: str, prepare: Callable[[DataFrame], DataFrame], rules: Rules) -> DataFrame:
+    """What ``prepare`` makes of ``docs``, with the reference of its language as a struct ``ref``, or null.
+
+    References of a measured size are broadcast. Of more, the hot ones are, and documents of hot or no language stay
+    where they are; the others, less than ``Rules.hot_share`` of all documents in each language, meet theirs by language.
+    """
+    known = reference.select(F.struct(*reference.columns).alias(ref))
+    key = lambda d: d[lang].cast("string")
+    meet = lambda d, r, how: (p := prepare(d)).join(r, key(p) == r[ref]["lang"], how)
+    size = reference.agg(F.coalesce(F.sum(F.octet_length(F.array_join("words", "")) + 400), F.lit(0))).first()[0]
+    if size <= rules.broadcast_bytes:
+        return meet(docs, F.broadcast(known), "left")
+    flag = fresh(docs, "hot")
+    hot = reference.where("hot").select(F.col("lang").alias(f"{flag}_lang"), F.lit(True).alias(flag))
+    told = docs.join(F.broadcast(hot), key(docs) == F.col(f"{flag}_lang"), "left")
+    stay = F.col(flag).isNotNull() | F.col(lang).isNull()
+    near, far = told.where(stay).select(*docs.columns), told.where(~stay).select(*docs.columns)
+    return meet(near, F.broadcast(known.where(F.col(ref)["hot"])), "left").unionByName(meet(far, known.where(~F.col(ref)["hot"]).hint("shuffle_merge"), "left"))
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -149,13 +171,11 @@ def judge(docs: DataFrame, reference: DataFrame, text: str = "text", lang: str =
     """``docs`` with a struct ``out``: the counts, class_distance, word_distance (null where not tested), base_failed, kept.
 
     Words are what stands between white space; a null text has none and fails. Rows of equal text and language are
-    judged alike. ``reference`` comes from ``references`` and is broadcast, its rows being bounded. Other
+    judged alike. ``reference`` comes from ``references``. Other
     columns stay as they are; ``out`` must not be among them.
     """
     m, ref = fresh(docs, "measured"), fresh(docs, "reference")
-    counted = measures(docs, text, lang, m, rules)
-    known = reference.select(F.struct(*reference.columns).alias(ref))
-    joined = counted.join(F.broadcast(known), F.col(f"{m}.lang") == F.col(f"{ref}.lang"), "left")
+    joined = with_references(docs, reference, lang, ref, lambda d: measures(d, text, lang, m, rules), rules)
     n_words, chars = F.col(f"{m}.n_words"), F.col(f"{m}.n_chars")
     classes = F.transform(class_counts(m), lambda x: x / chars)
     hits = F.transform(F.col(f"{ref}.words"), lambda word: F.size(F.filter(F.col(f"{m}.short_words"), lambda x: x == word)) / n_words)
