@@ -81,3 +81,17 @@ def test_rare_languages_are_tested_broadcast_or_not(spark):
         out = Q.judge(docs, ref, rules=rules)
         assert out.count() == docs.count() and out.columns == [*docs.columns, "judged"]
         assert {r.doc_id: r.judged.kept for r in out.where("doc_id < 1000").collect()} == {**{i: True for i in range(9)}, 100: False, 101: True}
+
+
+def test_common_words_of_any_length(spark):
+    long = [(i, " ".join(f"{w} gemeinschaftlich" for w in prose(i, 60).split()), "de", "s", 1) for i in range(20)]
+    compound = [(100 + i, " ".join(f"{w}zusammengesetzt" for w in prose(i, 60).split()), "fi", "s", 1) for i in range(20)]
+    odd = [(200, compound[0][1].upper() + "!!", "fi", "s", 1)]
+    bare = [(300, "123 456 " * 40, "xx", "s", 1)]
+    docs = docs_of(spark, long + compound + odd + bare)
+    reference = {r.lang: r for r in Q.references(docs).collect()}
+    assert reference["de"].words[0] == "gemeinschaftlich" and reference["de"].word_share[0] == 0.5
+    assert len(reference["fi"].words) == 12 and all(len(w) > 5 for w in reference["fi"].words)
+    assert reference["xx"].words == [] and reference["xx"].word_share == [1.0] and len(reference["xx"].class_share) == 7
+    judged = {r.doc_id: r.judged for r in Q.judge(docs, Q.references(docs)).collect()}
+    assert judged[0].word_distance < 0.28 and not judged[200].kept and judged[100].kept

@@ -34,8 +34,6 @@ class Rules:
     most_class_distance: float = 0.35
     most_word_distance: float = 0.28
     common_words: int = 12
-    # Common words are sought among words of at most so many characters.
-    common_length: int = 5
     # Languages with at least this share of all documents, so at most a thousand, are never dealt out by language.
     hot_share: float = 0.001
     # References up to this size in all are broadcast.
@@ -87,10 +85,9 @@ def measures(docs: DataFrame, text: str, lang: str, m: str, rules: Rules) -> Dat
         w: F.array_remove(F.split(body, SPACE), ""), lines: F.filter(F.split(body, "\n", -1), lambda x: x.rlike(NOT_SPACE)),
         m: F.struct(F.length(body).cast("long").alias("n_chars"), characters(body, SPACE).alias("word_chars"), *[c.alias(k) for k, c in zip(CLASSES, classes, strict=True)]),
     })
-    short = F.filter(F.transform(F.col(w), lambda x: F.lower(x)), lambda x: F.length(x) <= rules.common_length)
     counted = split.withColumn(m, F.struct(
         f"{m}.*", F.size(w).cast("long").alias("n_words"), (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col(w)).alias("n_repeat_words"), short.alias("short_words"),
+        repeated_words(F.col(w)).alias("n_repeat_words"), F.transform(F.col(w), lambda x: F.lower(x)).alias("words"),
     ))
     return counted.drop(w, lines)
 
@@ -112,13 +109,12 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", rules: R
     slim = docs.select(F.col(lang).cast("string").alias("lang"), body.alias("body"))
     classes = [characters(F.col("body"), others) for others in CLASSES.values()]
     m = slim.select("lang", F.array_remove(F.split("body", SPACE), "").alias("w"), F.struct(F.length("body").cast("long").alias("n_chars"), characters(F.col("body"), SPACE).alias("word_chars"), *[c.alias(k) for k, c in zip(CLASSES, classes, strict=True)]).alias("m"))
-    short = F.filter(F.transform("w", lambda x: F.lower(x)), lambda x: F.length(x) <= rules.common_length)
-    counts = m.select("lang", F.size("w").alias("n_words"), class_counts("m").alias("classes"), short.alias("short"))
+    counts = m.select("lang", F.size("w").alias("n_words"), class_counts("m").alias("classes"), F.transform("w", lambda x: F.lower(x)).alias("lowered"))
     # One pass: words are counted by language and word, and what is no word beside them under null.
     width = len(CLASSES) + 2
     total = F.struct(F.lit(None).cast("string").alias("word"), F.lit(1).cast("long").alias("n"), F.col("n_words").cast("long").alias("words"), *[F.get("classes", F.lit(k)).alias(f"c{k}") for k in range(width)])
     single = lambda x: F.struct(x.alias("word"), F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("words"), *[F.lit(0).cast("long").alias(f"c{k}") for k in range(width)])
-    entries = counts.select("lang", F.explode(F.concat(F.array(total), F.transform("short", single))).alias("e")).select("lang", "e.*")
+    entries = counts.select("lang", F.explode(F.concat(F.array(total), F.transform("lowered", single))).alias("e")).select("lang", "e.*")
     sums = ["n", "words", *[f"c{k}" for k in range(width)]]
     table = staging.write(entries.groupBy("lang", "word").agg(*[F.sum(c).alias(c) for c in sums]), "words")
     wholes = table.where(F.col("word").isNull())
@@ -130,7 +126,9 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", rules: R
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     top = table.where(F.col("lang").isNotNull() & (F.lower("word") != F.upper("word")))  # words with a letter
     top = top.withColumn("place", place).where(F.col("place") <= rules.common_words)
-    ranked = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top")).join(wholes, "lang")
+    ranked = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
+    # A language without a lettered word still has its classes.
+    ranked = wholes.join(ranked, "lang", "left").withColumn("top", F.coalesce("top", F.array().cast(ranked.schema["top"].dataType)))
     shares = F.transform("top", lambda x: x["n"] / F.col("all_words"))
     rest = F.aggregate(shares, F.lit(1.0), lambda a, x: a - x)
     return staging.write(ranked.select("lang", "hot", "class_share", F.transform("top", lambda x: x["word"]).alias("words"), F.concat(shares, F.array(rest)).alias("word_share")), "references")
@@ -178,7 +176,8 @@ def judge(docs: DataFrame, reference: DataFrame, text: str = "text", lang: str =
     joined = with_references(docs, reference, lang, ref, lambda d: measures(d, text, lang, m, rules), rules)
     n_words, chars = F.col(f"{m}.n_words"), F.col(f"{m}.n_chars")
     classes = F.transform(class_counts(m), lambda x: x / chars)
-    hits = F.transform(F.col(f"{ref}.words"), lambda word: F.size(F.filter(F.col(f"{m}.short_words"), lambda x: x == word)) / n_words)
+    known = F.filter(F.col(f"{m}.words"), lambda x: F.array_contains(F.col(f"{ref}.words"), x))
+    hits = let(known, lambda k: F.transform(F.col(f"{ref}.words"), lambda word: F.size(F.filter(k, lambda x: x == word)) / n_words))
     words = let(hits, lambda h: F.concat(h, F.array(F.aggregate(h, F.lit(1.0), lambda a, x: a - x))))
     class_distance = F.when(n_words >= rules.class_words, distance(classes, F.col(f"{ref}.class_share")))
     word_distance = F.when(n_words >= rules.word_words, distance(words, F.col(f"{ref}.word_share")))
