@@ -29,7 +29,7 @@ WORD_GAP = " \t"
 NO_LANGUAGE = "und"
 
 # n-grams that a task gathers before it adds equal ones up.
-LOT = 1 << 21
+LOT = 1 << 20
 # Bits of a filter per entry, and at most; a filter that is full only lets more through.
 FILTER_BITS = 16
 MOST_BITS = 1 << 28
