@@ -12,7 +12,7 @@ from harness.workspace import Workspace, workspace
 from tillroll.functions.dates import date_attributes, parse_order_date
 from tillroll.functions.numbers import COST_RATIO, coerce_number, derive_amounts, discount_or_zero
 from tillroll.functions.text import canonical_category, clean_text, null_reader_tokens, title_case
-from tillroll.operators.ordering import freeze_in_order, number_rows
+from tillroll.operators.positions import POSITION, with_positions
 from tillroll.operators.staging import Staging
 from tillroll.plans import analytics, quality
 from tillroll.plans.cleaning import cap_outliers, dedup_lines, drop_invalid, impute_defaults
@@ -97,13 +97,16 @@ def capped(ws: Workspace) -> DataFrame:
 
 
 def deduplicated(ws: Workspace) -> DataFrame:
-    return dedup_lines(cap_outliers(drop_invalid(ws.typed), ws.medians)).drop(ORDINAL)
+    staging = Staging(ws.spark)
+    valid = drop_invalid(with_positions(ws.typed, ORDINAL, staging))
+    return dedup_lines(cap_outliers(valid, ws.medians), staging).drop(ORDINAL, POSITION, "line_no")
 
 
 def feed_csv(ws: Workspace) -> DataFrame:
     """The feed as CSV files, read back, lines numbered in input order."""
-    frozen = freeze_in_order(with_nulls(read_feed(ws.spark, ws.text)), [ORDINAL], Staging(ws.spark), "feed")
-    return number_rows(frozen, "input_line").drop(ORDINAL)
+    staging = Staging(ws.spark)
+    lines = with_positions(staging.write(with_nulls(read_feed(ws.spark, ws.text)), "lines"), ORDINAL, staging)
+    return lines.withColumn("input_line", F.col(POSITION) + 1).drop(ORDINAL, POSITION)
 
 
 def clean_csv(ws: Workspace) -> DataFrame:

@@ -6,10 +6,12 @@ from helpers import tuples
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillroll.operators.firsts import first_values, keep_first
+from tillroll.operators import positions
+from tillroll.operators.firsts import first_positions, first_values
 from tillroll.operators.lookup import lookup, measured_bytes
 from tillroll.operators.medians import group_medians
-from tillroll.operators.ordering import freeze_in_order, freeze_in_ranges, number_rows, range_bounds, rank_descending
+from tillroll.operators.ordering import freeze_in_order, number_rows, rank_descending
+from tillroll.operators.positions import keep_numbered, position_sets, with_positions
 
 
 def plan(df):
@@ -23,19 +25,6 @@ def test_numbers_are_dense_and_in_order(spark, staging, partitions):
     assert sorted(tuples(numbered, "position", "n")) == [(i, i + 1) for i in range(5000)]
 
 
-@pytest.mark.parametrize("partitions", [1, 7])
-def test_known_bounds_freeze_in_the_same_order(spark, staging, partitions):
-    order = F.struct((F.col("id") % 5).alias("a"), F.concat(F.lit("x"), F.col("id") % 7).alias("b"), "id")
-    rows = spark.range(2000).select("id", order.alias("o")).repartition(5)
-    bounds = range_bounds(rows, "o", partitions)
-    assert len(bounds) == partitions - 1
-    ranged = number_rows(freeze_in_ranges(rows, "o", bounds, staging, "ranged"), "n")
-    sampled = number_rows(freeze_in_order(rows, ["o"], staging, "sampled"), "n")
-    assert sorted(tuples(ranged, "id", "n")) == sorted(tuples(sampled, "id", "n"))
-    assert "Exchange rangepartitioning" not in staging.plans["ranged"]
-    assert range_bounds(rows.limit(0), "o", partitions) == []
-
-
 @pytest.mark.parametrize("broadcast_bytes", [None, 0])
 def test_rank_shares_the_first_number_among_ties_and_ranks_nulls_last(spark, staging, monkeypatch, broadcast_bytes):
     if broadcast_bytes is not None:
@@ -72,16 +61,72 @@ def test_median_across_two_range_partitions(spark, staging):
     assert tuples(group_medians(frozen, "g", "v", "n"), "median", "n_values") == [(500.5, 1000)]
 
 
-def test_keep_first_takes_the_first_row_and_equates_nulls(spark):
-    rows = [("a", None, 3, "late"), ("a", None, 1, "early"), ("b", 1, 2, "only"), (None, None, 9, "x"), (None, None, 8, "y")]
-    df = spark.createDataFrame(rows, "k string, l int, o int, v string").repartition(4)
-    assert sorted(tuples(keep_first(df, ["k", "l"], "o"), "v")) == [("early",), ("only",), ("y",)]
+@pytest.fixture
+def small_sets(monkeypatch):
+    """Chunks of 64 positions in groups of two, so that a few rows make many."""
+    monkeypatch.setattr(positions, "CHUNK_BITS", 6)
+    monkeypatch.setattr(positions, "_GROUP_BITS", 1)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [None, 0])
+def test_sets_keep_and_number_rows(spark, staging, monkeypatch, small_sets, broadcast_bytes):
+    if broadcast_bytes is not None:
+        monkeypatch.setattr(positions, "BROADCAST_BYTES", broadcast_bytes)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = spark.range(1000).select(F.col("id").alias("position"), (F.col("id") * 7).alias("v")).repartition(5)
+    chosen = {i for i in range(1000) if i % 7 in (0, 3) and not 128 <= i < 400}
+    sets = position_sets(rows.where(F.col("position").isin(list(chosen))).select("position"), staging, "chosen")
+    got = keep_numbered(rows, sets, "n")
+    assert sorted(tuples(got, "position", "v", "n")) == [(p, p * 7, i) for i, p in enumerate(sorted(chosen), 1)]
+    assert tuples(sets.agg(F.sum("n").alias("n")), "n") == [(len(chosen),)]
+    try:
+        assert plan(got).count("Exchange hashpartitioning(position_chunk") == (1 if broadcast_bytes is None else 2)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert keep_numbered(rows, position_sets(rows.limit(0).select("position"), staging, "none"), "n").count() == 0
+
+
+def keyed_rows(spark):
+    rows = [("a", None, 3, "late"), ("a", None, 1, "early"), ("b", 1, 2, "only"), (None, None, 9, "x"), (None, None, 8, "y"), ("b", 2, 70, "other")]
+    rows += [("hot", 5, 100 + i, f"h{i}") for i in range(400)]
+    return spark.createDataFrame(rows, "k string, l int, position bigint, v string").repartition(4)
+
+
+@pytest.mark.parametrize("same_hash", [False, True])
+def test_first_rows_by_key_whatever_the_hash(spark, staging, monkeypatch, small_sets, same_hash):
+    if same_hash:  # every row has the hash of every other
+        monkeypatch.setattr("tillroll.operators.firsts.F.xxhash64", lambda *columns: F.lit(7).cast("bigint"))
+    rows = keyed_rows(spark)
+    got = keep_numbered(rows, first_positions(rows, ["k", "l"], staging, "firsts"), "n")
+    assert sorted(tuples(got, "n", "v")) == [(1, "early"), (2, "only"), (3, "y"), (4, "other"), (5, "h0")]
+
+
+def test_only_hashes_and_positions_are_shuffled_for_first_rows(spark, staging):
+    first_positions(keyed_rows(spark), ["k", "l"], staging, "firsts")
+    before = staging.plans["firsts-hashes"].partition("Exchange hashpartitioning(_h1")[2]
+    assert "partial_min(position" in before.split("\n")[1] and "v#" not in before.split("\n")[1]
+
+
+def block_rows(spark, counts, gap=0):
+    """Rows of files (path, block): running numbers as a scan gives them, where small files share a task."""
+    rows = [(path, block, (i << 33) + k * (1 + gap)) for i, (path, block, n) in enumerate(counts) for k in range(n)]
+    frame = spark.createDataFrame([(*r, f"{r[0]}:{r[1]}:{r[2]}") for r in rows], "path string, block bigint, row bigint, v string")
+    return frame.select(F.struct("path", "block", "row").alias("at"), "v"), [f"{p}:{b}:{r}" for p, b, r in sorted(rows)]
+
+
+@pytest.mark.parametrize("gap", [0, 2])
+def test_positions_follow_files_and_blocks(spark, staging, gap):
+    counts = [("b", 128, 5), ("a", 0, 7), ("b", 0, 9), ("c", 0, 1), ("a", 64, 3)]
+    rows, expected = block_rows(spark, counts, gap)
+    got = sorted(tuples(with_positions(rows.repartition(4), "at", staging), "position", "v"))
+    assert [v for _, v in got] == expected and len({p for p, _ in got}) == len(got)
+    assert gap or [p for p, _ in got] == list(range(len(got)))
 
 
-def test_keep_first_limits_hot_groups_before_the_shuffle(spark):
-    df = spark.range(1000).select((F.col("id") % 2).alias("k"), F.col("id").alias("o")).repartition(8)
-    before, _, after = plan(keep_first(df, ["k"], "o")).partition("Exchange hashpartitioning(")
-    assert "WindowGroupLimit" in before and "WindowGroupLimit" in after
+def test_positions_of_other_orders(spark, staging):
+    rows = spark.range(500).select(F.struct((F.col("id") % 5).alias("a"), "id").alias("o"), "id").repartition(3)
+    got = tuples(with_positions(rows, "o", staging).orderBy("position"), "position", "id")
+    assert got == [(i, x) for i, x in enumerate(sorted(range(500), key=lambda x: (x % 5, x)))]
 
 
 def test_first_values_keep_nulls_and_count(spark, staging):

@@ -46,11 +46,15 @@ def test_year_filter_on_the_flat_view_prunes_fact_partitions(ws):
     assert "PartitionFilters: [isnotnull(sale_year" in text
 
 
-def test_the_load_deduplicates_once_and_sorts_no_lines_for_dimensions(ws):
+def test_the_load_moves_whole_lines_once_before_the_fact_and_sorts_none_for_dimensions(ws):
     plans = ws.load.plans
-    assert plans["clean"].count("WindowGroupLimit") == 2 and "rangepartitioning" not in plans["clean"]
-    # Amounts are derived above the last shuffle, so only for lines that stay.
-    assert plans["clean"].index("gross_amount") < plans["clean"].index("Exchange")
+    assert plans["clean"].count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in plans["clean"]
+    # Lines that go are left out before the shuffle, and amounts derived behind it.
+    behind, before = plans["clean"].split("Exchange hashpartitioning", 1)
+    assert "getbit" in before and "gross_amount" in behind and "gross_amount" not in before
+    # Hashes and positions only; no plan holds a bound per range.
+    hashes = plans["first_lines-hashes"]
+    assert hashes.count("Exchange hashpartitioning") == 1 and all(len(text) < 30_000 for text in plans.values())
     for name in ("firsts_customer_id", "firsts_product_name"):
         assert "SortAggregate" not in plans[name] and "HashAggregate" in plans[name]
     for text in plans.values():

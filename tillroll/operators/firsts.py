@@ -2,26 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.positions import POSITION, bounded_broadcast, position_sets
 from tillroll.operators.staging import Staging
 
 
-def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One whole row per key, the first by ``order``; null keys equal each other.
+def first_positions(rows: DataFrame, keys: list[str], staging: Staging, name: str) -> DataFrame:
+    """The sets of positions (``position_sets``) of the first row per key; rows carry POSITION, null keys equal each other.
 
-    Spark applies the row-number limit before the shuffle too, so a group of copies of any size sends
-    at most one row per task. The hash in front of the keys lets the sorts compare one number for all
-    but equal keys.
+    Only a 128-bit hash of the keys and the position are shuffled, combined within each task before. Where a hash was seen
+    more than once, the keys themselves are compared, combined before the shuffle as well: a group of copies of any size
+    sends one row per task, and rows that share a hash by chance are all kept.
     """
-    first = Window.partitionBy("_hash", *keys).orderBy(order)
-    return (
-        df.withColumn("_hash", F.xxhash64(*keys))
-        .withColumn("_row", F.row_number().over(first))
-        .where(F.col("_row") == 1)
-        .drop("_hash", "_row")
-    )
+    hashed = rows.select(F.xxhash64(*keys).alias("_h1"), F.xxhash64(*reversed(keys), F.lit(1)).alias("_h2"), *keys, POSITION)
+    firsts = hashed.groupBy("_h1", "_h2").agg(F.min(POSITION).alias(POSITION), F.count("*").alias("n"))
+    firsts = staging.write(firsts, f"{name}-hashes")
+    repeated = bounded_broadcast(firsts.where("n > 1").select("_h1", "_h2"))
+    exact = hashed.join(repeated, ["_h1", "_h2"], "left_semi").groupBy("_h1", "_h2", *keys).agg(F.min(POSITION).alias(POSITION))
+    return position_sets(firsts.where("n = 1").select(POSITION).union(exact.select(POSITION)), staging, name)
 
 
 def first_values(df: DataFrame, key: str, payload: list[str], order: str, staging: Staging) -> DataFrame:

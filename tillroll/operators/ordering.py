@@ -11,8 +11,6 @@ from tillroll.operators.staging import Staging
 # Where a frozen row sits: range partition in the upper bits, place inside it in the lower 33.
 SLOT = "slot"
 _PLACE_BITS = 33
-# Values looked at per range when bounds are drawn.
-_SAMPLES = 20
 
 
 def chunk_of(slot: Column) -> Column:
@@ -30,46 +28,6 @@ def freeze_in_order(df: DataFrame, order: list[str], staging: Staging, name: str
     return staging.write(ranged.withColumn(SLOT, F.monotonically_increasing_id()), name)
 
 
-def range_bounds(rows: DataFrame, column: str, ranges: int) -> list:
-    """Values of a column that cut ``rows`` into about equal ranges, fewer than ``ranges`` of them.
-
-    From a sample of the one column; what comes to the driver is bounded by the number of ranges.
-    """
-    values = rows.select(column)
-    total = values.count()
-    if total == 0 or ranges < 2:
-        return []
-    drawn = sorted(r[0] for r in values.sample(min(1.0, _SAMPLES * ranges / total), seed=1).collect())
-    return sorted({drawn[i * len(drawn) // ranges] for i in range(1, ranges)}) if drawn else []
-
-
-def range_of(value: Column, bounds: list, type_name: str) -> Column:
-    """How many bounds are at most the value: its range, by bisection."""
-    known = F.array(*[_literal(b) for b in bounds]).cast(f"array<{type_name}>")
-    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
-
-    def advance(low: Column, step: Column) -> Column:
-        return F.when((low + step <= len(bounds)) & (F.get(known, low + step - 1) <= value), low + step).otherwise(low)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance) if bounds else F.lit(0)
-
-
-def _literal(value: object) -> Column:
-    if isinstance(value, tuple):
-        return F.struct(*[_literal(v).alias(f"c{i}") for i, v in enumerate(value)])
-    return F.lit(value)
-
-
-def freeze_in_ranges(df: DataFrame, order: str, bounds: list, staging: Staging, name: str, last=lambda df: df) -> DataFrame:
-    """``freeze_in_order`` with bounds that are known before, so ``df`` runs once instead of being sampled first.
-
-    ``last`` is applied after the shuffle, to the sorted rows.
-    """
-    part = range_of(F.col(order), bounds, df.schema[order].dataType.simpleString())
-    ranged = df.repartitionById(len(bounds) + 1, part).sortWithinPartitions(order)
-    return staging.write(last(ranged).withColumn(SLOT, F.monotonically_increasing_id()), name)
-
-
 def number_rows(frozen: DataFrame, number: str) -> DataFrame:
     """Add ``number`` = 1, 2, 3, ... in the frozen order and drop the slot; no shuffle of the rows.
 

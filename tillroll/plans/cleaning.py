@@ -26,10 +26,11 @@ from tillroll.functions.text import (
     strip,
     title_case,
 )
-from tillroll.operators.firsts import keep_first
+from tillroll.operators.firsts import first_positions
 from tillroll.operators.lookup import lookup
 from tillroll.operators.medians import group_medians
-from tillroll.operators.ordering import SLOT, chunk_of, freeze_in_order, freeze_in_ranges, place_rows, range_bounds, running_offsets
+from tillroll.operators.ordering import freeze_in_order
+from tillroll.operators.positions import keep_numbered, with_positions
 from tillroll.operators.staging import Staging
 from tillroll.sources.schemas import CLEAN_COLUMNS, ORDINAL, RAW_COLUMNS
 
@@ -119,9 +120,13 @@ def cap_outliers(lines: DataFrame, medians: DataFrame) -> DataFrame:
     return priced.withColumn("unit_price", capped).select(*lines.columns)
 
 
-def dedup_lines(lines: DataFrame) -> DataFrame:
-    """U1, after capping."""
-    return keep_first(lines, DEDUP_KEYS, ORDINAL)
+def dedup_lines(lines: DataFrame, staging: Staging) -> DataFrame:
+    """U1, after capping: lines with POSITION, the first of each group of copies, with ``line_no`` 1, 2, 3, ... in feed order.
+
+    Which lines stay is known as bitmaps over positions before any whole line moves.
+    """
+    firsts = first_positions(lines, DEDUP_KEYS, staging, "first_lines")
+    return keep_numbered(lines, firsts, "line_no")
 
 
 @dataclass
@@ -143,12 +148,7 @@ def clean_sales(raw: DataFrame, staging: Staging) -> Cleaned:
     """``raw`` has the 12 text columns and ``src_ordinal``."""
     typed = staging.write(typed_lines(raw), "typed")
     profile, medians = profile_typed(typed, staging)
-    valid = impute_defaults(drop_invalid(typed))
-    # The typed lines tell where the ranges lie, so the lines are deduplicated once, not once more for a sample.
-    ranges = int(raw.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = range_bounds(typed, ORDINAL, ranges)
-    frozen = freeze_in_ranges(dedup_lines(cap_outliers(valid, medians)), ORDINAL, bounds, staging, "clean", derive_amounts)
-    # Written as well, since several later plans number the lines.
-    sizes = frozen.groupBy(chunk_of(F.col(SLOT)).alias("chunk")).agg(F.count("*").alias("n"))
-    numbered = place_rows(frozen, staging.write(running_offsets(sizes, "n"), "clean_offsets"), "line_no")
-    return Cleaned(numbered.select(*CLEAN_COLUMNS, "line_no"), profile, medians)
+    valid = impute_defaults(drop_invalid(with_positions(typed, ORDINAL, staging)))
+    # Amounts are derived behind the shuffle, for the lines that stay.
+    kept = derive_amounts(dedup_lines(cap_outliers(valid, medians), staging))
+    return Cleaned(staging.write(kept.select(*CLEAN_COLUMNS, "line_no"), "clean"), profile, medians)

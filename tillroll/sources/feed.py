@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tillroll.functions.dates import iso_date
 from tillroll.functions.text import null_reader_tokens
+from tillroll.operators.positions import block_place
 from tillroll.sources.schemas import CLEAN_COLUMNS, ORDINAL, RAW_COLUMNS
 
 _OVERLONG = "_overlong"
@@ -44,11 +45,7 @@ def read_feed(spark: SparkSession, path: str | list[str], multi_line: bool | Non
     message = F.concat(F.lit(f"a line with more than {len(names)} fields: "), F.substring(_OVERLONG, 1, 200))
     first = F.when(too_long, F.raise_error(message).cast("string")).otherwise(F.col(RAW_COLUMNS[0]))
     # Rows of one block are read by one task in order, so the running id orders them.
-    ordinal = F.struct(
-        F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return df.select(first.alias(RAW_COLUMNS[0]), *RAW_COLUMNS[1:], ordinal.alias(ORDINAL))
+    return df.select(first.alias(RAW_COLUMNS[0]), *RAW_COLUMNS[1:], block_place().alias(ORDINAL))
 
 
 def with_nulls(raw: DataFrame) -> DataFrame:
