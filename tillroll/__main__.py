@@ -7,6 +7,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from tillroll.operators.staging import Staging
 from tillroll.plans.analytics import sales_flat
 from tillroll.plans.quality import warehouse_checks
 from tillroll.plans.retail import run_etl
@@ -38,7 +39,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = tune(SparkSession.builder.appName("tillroll").getOrCreate())
     if args.command == "load":
         tune(spark, input_bytes(spark, args.feed))
-        run_etl(read_feed(spark, args.feed, False if args.single_line else None), args.warehouse, args.clean_csv, args.report)
+        with Staging(spark) as staging:
+            feed = read_feed(spark, args.feed, False if args.single_line else None, staging)
+            run_etl(feed, args.warehouse, args.clean_csv, args.report)
         return 0
     if args.command == "vacuum":
         print(f"{len(vacuum(spark, args.warehouse, args.keep))} runs deleted.")

@@ -6,6 +6,8 @@ one number, so rows can be cut into chunks without sampling and without bounds i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,17 +73,38 @@ def chunk_of_position() -> Column:
     return F.shiftright(F.col(POSITION), CHUNK_BITS)
 
 
+def before_chunks(chunks: DataFrame, value: str, how: Callable[[Column], Column], before: str) -> DataFrame:
+    """``chunks`` (one row per CHUNK) with the sum or maximum of ``value`` over all chunks before, null for the first.
+
+    Groups of chunks are totalled first, so the window that sees all has a row per some hundred million positions.
+    """
+    group, ahead = F.shiftright(CHUNK, _GROUP_BITS), (Window.unboundedPreceding, -1)
+    groups = chunks.groupBy(group.alias("_group")).agg(how(value).alias("_of_group"))
+    groups = groups.select("_group", how("_of_group").over(Window.orderBy("_group").rowsBetween(*ahead)).alias("_before_group"))
+    inside = how(value).over(Window.partitionBy("_group").orderBy(CHUNK).rowsBetween(*ahead)).alias("_inside")
+    placed = chunks.withColumn("_group", group).select("*", inside).join(F.broadcast(groups), "_group")
+    both = F.greatest("_before_group", "_inside") if how is F.max else F.coalesce("_before_group", F.lit(0)) + F.coalesce("_inside", F.lit(0))
+    return placed.select(*chunks.columns, both.alias(before))
+
+
+def running(rows: DataFrame, value: Column, how: Callable[[Column], Column], name: str, staging: Staging, itself: bool = True) -> DataFrame:
+    """``rows`` (written, with POSITION and CHUNK) with the running sum or maximum ``name`` of a value in order of position, the
+    row ``itself`` included or not; null values count for nothing."""
+    totals = rows.groupBy(CHUNK).agg(how(value).alias("_total"))
+    totals = staging.write(before_chunks(totals, "_total", how, "_before").select(CHUNK, "_before"), f"{name}-totals")
+    inside = how(value).over(Window.partitionBy(CHUNK).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, 0 if itself else -1))
+    both = F.greatest("_before", inside) if how is F.max else F.coalesce("_before", F.lit(0)) + F.coalesce(inside, F.lit(0))
+    joined = rows.join(bounded_broadcast(totals), CHUNK)
+    return staging.write(joined.select(*rows.columns, both.alias(name)), name)
+
+
 def position_sets(positions: DataFrame, staging: Staging, name: str) -> DataFrame:
     """(CHUNK, bits, n, before) from a column POSITION: the set of positions of each chunk, and how many come before the chunk."""
     place = F.col(POSITION).bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
     sets = positions.groupBy(chunk_of_position().alias(CHUNK)).agg(F.call_function("bitmap_construct_agg", place).alias("bits"))
     sets = staging.write(sets.withColumn("n", F.call_function("bitmap_count", F.col("bits"))), name)
-    group = F.shiftright(CHUNK, _GROUP_BITS)
-    groups = sets.groupBy(group.alias("group")).agg(F.sum("n").alias("group_n"))
-    groups = groups.select("group", (F.sum("group_n").over(Window.orderBy("group")) - F.col("group_n")).alias("group_before"))
-    inside = F.sum("n").over(Window.partitionBy("group").orderBy(CHUNK)) - F.col("n")
-    placed = sets.withColumn("group", group).join(F.broadcast(groups), "group").select(CHUNK, "bits", "n", (F.col("group_before") + inside).alias("before"))
-    return staging.write(placed, f"{name}-placed")
+    counts = before_chunks(sets.select(CHUNK, "n"), "n", F.sum, "before").select(CHUNK, "before")
+    return staging.write(sets.join(counts, CHUNK), f"{name}-placed")
 
 
 def in_set(bits: Column) -> Column:
