@@ -310,6 +310,10 @@ ORACLES: dict[str, str] = {
         """SELECT order_id, order_date, customer_id, nullif(customer_name, '') AS customer_name, nullif(region, '') AS region,
                   product_name, category, quantity, unit_price, nullif(discount_percent, '') AS discount_percent,
                   payment_method, sales_channel, ord AS input_line FROM feed""", "feed"),
+    "feed_csv_breaks": query(
+        """SELECT order_id, CASE WHEN CAST(substr(order_id, 4) AS BIGINT) % 5 = 0 THEN product_name || ',' || chr(10) || '"' || order_id
+                                 ELSE product_name END AS product_name, quantity, sales_channel,
+                  row_number() OVER (PARTITION BY order_id ORDER BY ord) AS line_of_order FROM feed""", "feed"),
     "clean_csv": query(f"SELECT {TYPED}, cost_ratio, {money(*AMOUNTS)} FROM clean", "clean"),
     "dim_customer": query("SELECT customer_key, customer_id, customer_name FROM customers", "customers"),
     "dim_product": query("SELECT product_key, product_name, category FROM products", "products"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,9 +16,9 @@ from tillroll.operators.positions import POSITION, with_positions
 from tillroll.operators.staging import Staging
 from tillroll.plans import analytics, quality
 from tillroll.plans.cleaning import cap_outliers, dedup_lines, drop_invalid, impute_defaults
-from tillroll.sources.feed import read_feed, with_nulls, write_clean_csv
+from tillroll.sources.feed import read_feed, with_nulls, write_clean_csv, write_csv
 from tillroll.sources.reports import report_lines, write_flat_csv
-from tillroll.sources.schemas import CLEAN_COLUMNS, ORDINAL
+from tillroll.sources.schemas import CLEAN_COLUMNS, ORDINAL, RAW_COLUMNS
 
 Query = Callable[[Workspace], DataFrame]
 
@@ -109,6 +109,17 @@ def feed_csv(ws: Workspace) -> DataFrame:
     return lines.withColumn("input_line", F.col(POSITION) + 1).drop(ORDINAL, POSITION)
 
 
+def feed_csv_breaks(ws: Workspace) -> DataFrame:
+    """S1 and S3 with quoted line breaks: every fifth product name goes on in a second line, which begins with a quote."""
+    path, staging = f"{Staging(ws.spark).folder}/broken_text", Staging(ws.spark)
+    broken = F.concat("product_name", F.lit(',\n"'), "order_id")
+    lines = ws.raw.withColumn("product_name", F.when(F.substring("order_id", 4, 20).cast("bigint") % 5 == 0, broken).otherwise(F.col("product_name")))
+    write_csv(lines.orderBy(ORDINAL).select(*RAW_COLUMNS), path)
+    read = with_positions(staging.write(with_nulls(read_feed(ws.spark, path, staging=staging)), "lines_read"), ORDINAL, staging)
+    line = F.row_number().over(Window.partitionBy("order_id").orderBy(POSITION))
+    return read.select("order_id", "product_name", "quantity", "sales_channel", line.alias("line_of_order"))
+
+
 def clean_csv(ws: Workspace) -> DataFrame:
     """The cleaned text file, read back."""
     path = f"{Staging(ws.spark).folder}/clean_csv"
@@ -174,6 +185,7 @@ QUERIES: dict[str, Query] = {
     "dedup_lines": deduplicated,
     "clean_sales": lambda ws: ws.load.cleaned.lines,
     "feed_csv": feed_csv,
+    "feed_csv_breaks": feed_csv_breaks,
     "clean_csv": clean_csv,
     "dim_customer": dim("dim_customer"),
     "dim_product": dim("dim_product"),

@@ -2,7 +2,9 @@
 
 from datetime import date
 from decimal import Decimal
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+from threading import Barrier
 
 import pytest
 from helpers import MINI_FEED, feed, tuples
@@ -10,7 +12,7 @@ from helpers import MINI_FEED, feed, tuples
 from tillroll.plans import quality as Q
 from tillroll.plans.retail import load_warehouse
 from tillroll.sources.schemas import WAREHOUSE_TABLES
-from tillroll.sources.warehouse import Warehouse, published_run, read_warehouse, vacuum
+from tillroll.sources.warehouse import Warehouse, publish, published_run, read_warehouse, vacuum
 
 FACT = {
     "sale_key": 1, "order_id": "O1", "customer_key": 1, "product_key": 1, "region_key": 1, "date_key": 20240601,
@@ -112,3 +114,47 @@ def test_vacuum_keeps_the_last_runs_by_number(spark, tmp_path, monkeypatch):
     assert len(vacuum(spark, root, keep=1)) == 1
     assert [p.name for p in (tmp_path / "runs").iterdir()] == [last]
     assert read_warehouse(spark, root).rows("fact_sales") == 5
+
+
+def test_loads_that_end_at_once_get_numbers_of_their_own(spark, tmp_path):
+    root, ready = str(tmp_path), Barrier(8)
+
+    def end(i):
+        ready.wait()
+        return publish(spark, root, f"run{i}")
+
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(end, range(8)))
+    assert sorted(numbers) == list(range(1, 9))
+    assert published_run(spark, root) == f"run{numbers.index(8)}"
+
+
+def test_a_number_without_a_run_means_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    assert publish(spark, root, "a") == 1
+    (tmp_path / "published" / f"{2:012}").touch()  # a load that died between taking the number and writing its name
+    assert published_run(spark, root) == "a"
+    assert publish(spark, root, "b") == 3 and published_run(spark, root) == "b"
+
+
+def test_bounds_decide_on_foreign_keys_where_dimension_keys_are_dense(spark):
+    customers = [(k, f"C{k}", "Ann") for k in (1, 2, 3)]
+    wh = warehouse(spark, [{"sale_key": 2, "order_id": "O2", "customer_key": 4}, {"sale_key": 3, "order_id": "O3", "customer_key": 0}], dim_customer=customers)
+    assert wh.dense_keys("dim_customer", "customer_key") == 3 and wh.dense_keys("dim_product", "product_key") == 1
+    assert failures(Q.warehouse_checks(wh)) == {Q.V7: 2}
+    assert "LeftAnti" not in Q.warehouse_checks(wh)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("keys", [(1, 3), (1, 1, 3), (2, 3), ()])
+def test_sparse_dimension_keys_are_looked_for(spark, keys):
+    wh = warehouse(spark, [{"sale_key": 2, "order_id": "O2", "customer_key": 2}], dim_customer=[(k, f"C{i}", "Ann") for i, k in enumerate(keys)])
+    assert wh.dense_keys("dim_customer", "customer_key") is None
+    missing = sum(k not in keys for k in (1, 2))
+    assert failures(Q.warehouse_checks(wh)).get(Q.V7, 0) == missing
+
+
+def test_a_file_of_the_fact_is_in_order_of_customers(spark, tmp_path):
+    load_warehouse(feed(spark, MINI_FEED * 3), str(tmp_path))
+    for file in tmp_path.glob("runs/*/fact_sales/*/*.parquet"):
+        keys = [r[0] for r in spark.read.parquet(str(file)).select("customer_key").collect()]
+        assert keys == sorted(keys)

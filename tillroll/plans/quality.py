@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.lookup import lookup
 from tillroll.plans.cleaning import Cleaned, is_outlier
 from tillroll.sources.schemas import FOREIGN_KEYS, NOT_NULL, UNIQUE, WAREHOUSE_TABLES
 from tillroll.sources.warehouse import Warehouse
@@ -69,7 +70,8 @@ def dq_metrics(cleaned: Cleaned) -> DataFrame:
         "rows_dropped_invalid": "n_lines - n_valid",
         "duplicate_rows_removed": "n_valid",
     }, "metric", "part")
-    outliers = cleaned.profile.join(cleaned.medians, "category").where(is_outlier(F.col("price"), F.col("median")))
+    known = lookup(cleaned.profile, cleaned.medians, "category", how="inner", weight="n_values")
+    outliers = known.where(is_outlier(F.col("price"), F.col("median")))
     capped = _totals(outliers, {"price_outliers_capped": "n_valid"}, "metric", "part")
     kept = _totals(cleaned.lines, {"output_rows": "1", "duplicate_rows_removed": "-1"}, "metric", "part")
     values = _union([counted, capped, kept]).groupBy("metric").agg(F.sum("part").alias("value"))
@@ -100,19 +102,31 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return per_key.join(dim.select(key), key, "left_anti")
 
 
-def _orphan_counts(warehouse: Warehouse, names: dict[str, str]) -> DataFrame:
-    """Orphaned lines per foreign key as (check_name, violations), in one pass over the fact.
+def _orphan_counts(warehouse: Warehouse, names: dict[str, str], rules: dict[str, str]) -> list[DataFrame]:
+    """Orphaned lines per foreign key (V7, V8, K4), and totals of further ``rules``, as (check_name, violations).
 
-    ``names`` maps foreign keys to check names; a key without orphans has no row.
+    ``names`` maps foreign keys to check names. Where a dimension's keys are 1 to n, bounds decide, in the one scan of the
+    fact that the rules take anyway; keys of others are counted and looked for, a row per key. A key without orphans may
+    have no row.
     """
-    entries = ", ".join(f"{_text(name)}, {key}" for key, name in names.items())
-    used = warehouse["fact_sales"].selectExpr(f"stack({len(names)}, {entries}) AS (check_name, key)")
-    per_key = used.groupBy("check_name", "key").agg(F.count("*").alias("violations"))
-    known = _union([
-        warehouse[FOREIGN_KEYS[key]].selectExpr(f"{_text(name)} AS check_name", f"{key} AS key")
-        for key, name in names.items()
-    ])
-    return per_key.join(known, ["check_name", "key"], "left_anti").select("check_name", "violations")
+    sparse = {}
+    for key, name in names.items():
+        n = warehouse.dense_keys(FOREIGN_KEYS[key], key)
+        if n is None:
+            sparse[key] = name
+        else:
+            rules = rules | {name: f"NOT coalesce({key} BETWEEN 1 AND {n}, false)"}
+    counts = [_totals(warehouse["fact_sales"], rules, "check_name", "violations")] if rules else []
+    if sparse:
+        entries = ", ".join(f"{_text(name)}, {key}" for key, name in sparse.items())
+        used = warehouse["fact_sales"].selectExpr(f"stack({len(sparse)}, {entries}) AS (check_name, key)")
+        per_key = used.groupBy("check_name", "key").agg(F.count("*").alias("violations"))
+        known = _union([
+            warehouse[FOREIGN_KEYS[key]].selectExpr(f"{_text(name)} AS check_name", f"{key} AS key")
+            for key, name in sparse.items()
+        ])
+        counts.append(per_key.join(known, ["check_name", "key"], "left_anti").select("check_name", "violations"))
+    return counts
 
 
 def _status(counts: list[DataFrame], names: list[str]) -> DataFrame:
@@ -126,24 +140,23 @@ def _status(counts: list[DataFrame], names: list[str]) -> DataFrame:
 
 
 def warehouse_checks(warehouse: Warehouse) -> DataFrame:
-    """V1-V8 as (position, check_name, violations, status); V1-V5 share one scan of the fact."""
+    """V1-V8 as (position, check_name, violations, status); V1-V5, and V7 and V8 where keys are dense, share a scan of the fact."""
     fact = warehouse["fact_sales"]
-    rows = _totals(fact, {
+    rows = {
         V1: "customer_key IS NULL",
         V2: "product_key IS NULL",
         V3: "quantity <= 0",
         V4: "unit_price <= 0",
         V5: "abs(net_amount - (gross_amount - discount_amount)) > 0.01",
-    }, "check_name", "violations")
+    }
     groups = duplicate_groups(fact, ["order_id", "product_key", "date_key"])
     repeated = _totals(groups, {V6: "1"}, "check_name", "violations")
-    orphans = _orphan_counts(warehouse, {"customer_key": V7, "product_key": V8})
-    return _status([rows, repeated, orphans], CHECKS)
+    return _status([repeated, *_orphan_counts(warehouse, {"customer_key": V7, "product_key": V8}, rows)], CHECKS)
 
 
 def constraint_checks(warehouse: Warehouse) -> DataFrame:
     """V9: what the table definitions demand (K1-K4), as (position, check_name, violations, status)."""
-    counts, names, keys = [], [], []
+    counts, names, keys, fact_rules = [], [], [], {}
     for table, columns in NOT_NULL.items():
         rules = {f"{table}: {c} not null": f"{c} IS NULL" for c in columns}
         if table == "fact_sales":
@@ -152,7 +165,10 @@ def constraint_checks(warehouse: Warehouse) -> DataFrame:
             # The key as text, so that one pass serves all dimensions; the check's name tells them apart.
             entries = ", ".join(f"'{table}: {key} unique', CAST({key} AS STRING)" for key in UNIQUE[table])
             keys.append(warehouse[table].selectExpr(f"stack({len(UNIQUE[table])}, {entries}) AS (check_name, key)"))
-        counts.append(_totals(warehouse[table], rules, "check_name", "violations"))
+        if table == "fact_sales":
+            fact_rules = rules
+        else:
+            counts.append(_totals(warehouse[table], rules, "check_name", "violations"))
         names += [*rules, *[f"{table}: {key} unique" for key in UNIQUE[table]]]
     repeated = [duplicate_groups(_union(keys).where("key IS NOT NULL"), ["check_name", "key"])]
     # The fact's key goes alone and as a number, since it is the only one with a row per line.
@@ -161,7 +177,7 @@ def constraint_checks(warehouse: Warehouse) -> DataFrame:
         repeated.append(groups.selectExpr(f"'fact_sales: {key} unique' AS check_name", "n_lines"))
     counts += [groups.selectExpr("check_name", "n_lines - 1 AS violations") for groups in repeated]
     references = {key: f"fact_sales: {key} in {table}" for key, table in FOREIGN_KEYS.items()}
-    counts.append(_orphan_counts(warehouse, references))
+    counts += _orphan_counts(warehouse, references, fact_rules)
     return _status(counts, [*names, *references.values()])
 
 

@@ -1,4 +1,4 @@
-"""The star schema as Parquet. A load writes a new run; publishing it is one appended row.
+"""The star schema as Parquet. A load writes a new run; publishing it is one small file with the next number.
 
 Readers see the last published run, so a refresh replaces everything at once (S6), and a load that
 fails its checks or dies half-way is never seen.
@@ -6,10 +6,13 @@ fails its checks or dies half-way is never seen.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass, field
 from functools import partial, reduce
 
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,10 +21,13 @@ from tillroll.operators.lookup import HOT_KEYS, lookup, measured_bytes
 from tillroll.operators.staging import delete_folder, plan_of, side_by_side
 from tillroll.sources.schemas import WAREHOUSE_TABLES
 
-_PUBLISHED = "run string, number bigint, published_at timestamp"
+# A published run is a file whose name is its number and whose text is the run; one without text counts for nothing.
+_NUMBER = "[0-9]{12}"
 # Tables beside the star: keys with at least 1/HOT_KEYS of the lines, and the monthly figures.
 HOT_LINES, MONTHLY = "hot_keys", "monthly_kpis"
 _HOT_SCHEMA = "key_name string, key int, n_lines bigint"
+# Distinct products that a filter of a row group is made for; with more it skips less.
+_BLOOM = {"parquet.bloom.filter.enabled#product_key": "true", "parquet.bloom.filter.expected.ndv#product_key": "100000"}
 # Partition column of the fact, so that a filter on the year of the sale skips files.
 SALE_YEAR = "sale_year"
 
@@ -36,6 +42,7 @@ class Warehouse:
     monthly: DataFrame | None = None
     _bytes: dict[str, int] = field(default_factory=dict)
     _rows: dict[str, int] = field(default_factory=dict)
+    _dense: dict[str, int | None] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -50,6 +57,23 @@ class Warehouse:
             self._rows[name] = self.tables[name].count()
         return self._rows[name]
 
+    def dense_keys(self, name: str, key: str) -> int | None:
+        """n, if the keys of a dimension are exactly 1, 2, ..., n, so that a key is in it if it lies between; else None.
+
+        Proven by a bitmap per 32,768 keys; reads the key column once.
+        """
+        if name not in self._dense:
+            keys = self.tables[name].where(F.col(key).isNotNull())
+            bounds = keys.agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
+            proven = None
+            if bounds["n"] and bounds["low"] == 1 and bounds["high"] == bounds["n"]:
+                sets = keys.groupBy(F.call_function("bitmap_bucket_number", F.col(key))).agg(
+                    F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", F.col(key))).alias("bits"))
+                distinct = sets.agg(F.sum(F.call_function("bitmap_count", F.col("bits")))).first()[0]
+                proven = bounds["n"] if distinct == bounds["n"] else None
+            self._dense[name] = proven
+        return self._dense[name]
+
     def attach(self, lines: DataFrame, name: str, key: str, columns: list[str]) -> DataFrame:
         """Inner join of lines to a dimension (J1-J6), row by row."""
         hot = self.hot_keys if self.hot_keys is None else self.hot_keys.where(F.col("key_name") == key).select(F.col("key").alias(key))
@@ -70,11 +94,13 @@ def write_run(tables: dict[str, DataFrame], root: str, plans: dict[str, str] | N
     def write(name: str) -> None:
         path, table = f"{root}/runs/{run}/{name}", tables[name]
         if name == "fact_sales":
-            # One extra shuffle lets Spark cut the files of each year to size, splitting large years.
+            # One extra shuffle lets Spark cut the files of each year to size, splitting large years. In order of customers
+            # within a file, its pages and row groups are skipped by their least and greatest key; products by Bloom filters.
             table = table.withColumn(SALE_YEAR, F.expr("date_key div 10000").cast("int")).hint("rebalance", SALE_YEAR)
+            table = table.sortWithinPartitions(SALE_YEAR, "customer_key")
         if plans is not None:
             plans[name] = plan_of(table)
-        writer = table.write.partitionBy(SALE_YEAR) if name == "fact_sales" else table.write
+        writer = table.write.partitionBy(SALE_YEAR).options(**_BLOOM) if name == "fact_sales" else table.write
         writer.parquet(path)
 
     side_by_side(tables["fact_sales"].sparkSession, *[partial(write, name) for name in tables])
@@ -106,23 +132,54 @@ def read_run(spark: SparkSession, root: str, run: str, extras: bool = True) -> W
     return Warehouse(tables, spark.read.schema(_HOT_SCHEMA).parquet(f"{path}/{HOT_LINES}"), spark.read.parquet(f"{path}/{MONTHLY}"))
 
 
-def _published(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(_PUBLISHED).parquet(f"{root}/published")
-
+def _files(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The path and its file system, as the path names it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
-def _last_number(spark: SparkSession, root: str) -> int:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/published")
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return 0
-    return _published(spark, root).agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
 
-
-def publish(spark: SparkSession, root: str, run: str) -> None:
-    """S6. Runs are numbered, so no clock decides which is the last."""
-    number = _last_number(spark, root) + 1
-    row = spark.range(1, numPartitions=1).select(
-        F.lit(run).alias("run"), F.lit(number).cast("long").alias("number"), F.current_timestamp().alias("published_at"))
-    row.write.mode("append").parquet(f"{root}/published")
+def _published(spark: SparkSession, root: str) -> DataFrame:
+    """(number, run, published_at); empty before the first publication."""
+    folder, files = _files(spark, f"{root}/published")
+    if not files.exists(folder):
+        return spark.createDataFrame([], "number bigint, run string, published_at timestamp")
+    name = F.regexp_extract("_metadata.file_name", f"^({_NUMBER})$", 1)
+    return spark.read.text(f"{root}/published").where((name != "") & (F.length("value") > 0)).select(
+        name.cast("bigint").alias("number"), F.col("value").alias("run"), F.col("_metadata.file_modification_time").alias("published_at"))
+
+
+def _claim(spark: SparkSession, path: str, run: str) -> bool:
+    """Create the file with the run's name in it, unless there is one; whether it is this run's in the end.
+
+    As atomic as the file system's creation without overwriting, which its reading back backs up.
+    """
+    target, files = _files(spark, path)
+    try:
+        out = files.create(target, False)
+    except Py4JJavaError as taken:
+        if files.exists(target):
+            return False
+        raise taken
+    out.write(run.encode())
+    out.close()
+    read = files.open(target)
+    text = bytes(read.readNBytes(len(run)))
+    read.close()
+    return text == run.encode()
+
+
+def publish(spark: SparkSession, root: str, run: str) -> int:
+    """The run gets the next number that nobody has; readers follow the highest. No clock decides which is the last.
+
+    Loads that end at once go for the same number, and all but one go on to the next. A load that dies between taking a
+    number and writing its name leaves a number that means nothing.
+    """
+    folder, files = _files(spark, f"{root}/published")
+    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    number = 1 + max((int(name) for name in names if re.fullmatch(_NUMBER, name)), default=0)
+    while not _claim(spark, f"{root}/published/{number:012}", run):
+        number += 1
+    return number
 
 
 def published_run(spark: SparkSession, root: str) -> str:
