@@ -38,6 +38,27 @@ def test_query_equals_sql(spark, tables, name):
     assert canonical(got.select(*columns).collect()) == canonical(expected.fetchall())
 
 
+def rule_rows():
+    """Texts on which rules can go wrong: long common words, a language of one document in thousands, none with a letter."""
+    shared = "zusammengehörigkeit gemeinschaftlich Σ der die und"
+    rows = [(i, f"{prose(i, 90)} " + " ".join([shared] * 20), "de", "s", 1) for i in range(30)]
+    rows += [(100 + i, " ".join(f"{w}yksityiskohta" for w in prose(i, 60).split()), "fi", "s", 1) for i in range(15)]
+    rows += [(200, prose(900, 120), "de", "s", 1), (201, (prose(901, 70) + " ") * 2 + shared.upper(), "de", "s", 1), (202, "123 456\n789 " * 60, "xx", "s", 1)]
+    rows += [(203, prose(902, 150), "cy", "s", 1), (204, "ÀÉ \u00a0x\x00y " * 40, "cy", "s", 1), (205, prose(903, 150), None, "s", 1)]
+    return rows + [(1000 + i, "the a of", "en", "s", 1) for i in range(2500)]
+
+
+def test_rules_equal_their_sql_where_words_are_long_and_languages_rare(spark, tmp_path):
+    docs_of(spark, rule_rows()).unionByName(messy(spark)).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    expected = con.execute(queries.ORACLES["op4_quality_rules"])
+    columns = [c[0] for c in expected.description]
+    got = queries.op4_quality_rules(spark, str(tmp_path)).select(*columns).collect()
+    assert canonical(got) == canonical(expected.fetchall())
+    assert {r.kept for r in got if r.n_words >= 100} == {True, False}
+
+
 @pytest.mark.parametrize(("name", "modulus", "out"), [("op5_quality_fm", 5, 0), ("op9_toxicity_instances", 4, 2), ("op6_language_hypervectors", 4, 2)])
 def test_folds(spark, name, modulus, out):
     rows = queries.QUERIES[name](spark, str(SF_DIR)).collect()

@@ -105,26 +105,22 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", rules: R
     ``Rules.hot_share`` of all documents.
     """
     staging = Staging(docs.sparkSession)
-    body = F.coalesce(F.col(text), F.lit(""))
-    slim = docs.select(F.col(lang).cast("string").alias("lang"), body.alias("body"))
-    classes = [characters(F.col("body"), others) for others in CLASSES.values()]
-    m = slim.select("lang", F.array_remove(F.split("body", SPACE), "").alias("w"), F.struct(F.length("body").cast("long").alias("n_chars"), characters(F.col("body"), SPACE).alias("word_chars"), *[c.alias(k) for k, c in zip(CLASSES, classes, strict=True)]).alias("m"))
-    counts = m.select("lang", F.size("w").alias("n_words"), class_counts("m").alias("classes"), F.transform("w", lambda x: F.lower(x)).alias("lowered"))
-    # One pass: words are counted by language and word, and what is no word beside them under null.
-    width = len(CLASSES) + 2
-    total = F.struct(F.lit(None).cast("string").alias("word"), F.lit(1).cast("long").alias("n"), F.col("n_words").cast("long").alias("words"), *[F.get("classes", F.lit(k)).alias(f"c{k}") for k in range(width)])
-    single = lambda x: F.struct(x.alias("word"), F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("words"), *[F.lit(0).cast("long").alias(f"c{k}") for k in range(width)])
-    entries = counts.select("lang", F.explode(F.concat(F.array(total), F.transform("lowered", single))).alias("e")).select("lang", "e.*")
-    sums = ["n", "words", *[f"c{k}" for k in range(width)]]
-    table = staging.write(entries.groupBy("lang", "word").agg(*[F.sum(c).alias(c) for c in sums]), "words")
-    wholes = table.where(F.col("word").isNull())
-    all_docs = wholes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    chars = sum((F.col(f"c{k}") for k in range(1, width)), F.col("c0"))
-    wholes = wholes.where(F.col("lang").isNotNull() & (F.col("words") > 0)).select(
-        "lang", (F.col("n") >= rules.hot_share * all_docs).alias("hot"), F.col("words").alias("all_words"), F.array(*[F.col(f"c{k}") / chars for k in range(width)]).alias("class_share"))
+    slim = docs.select(F.col(lang).cast("string").alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    sizes = staging.write(slim.groupBy("lang").agg(F.count("*").alias("n_docs"), F.sum(F.length("body").cast("long")).alias("n_chars")), "sizes")
+    all_docs = sizes.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
+    # Words as they are written, counted: classes are then looked at once per distinct word instead of in every text.
+    words = slim.where(F.col("lang").isNotNull()).select("lang", F.explode(F.split("body", SPACE)).alias("word")).where(F.col("word") != "")
+    table = staging.write(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
+    times = lambda each, name: F.sum(F.col("n") * each).alias(name)
+    sums = table.groupBy("lang").agg(
+        F.sum("n").alias("all_words"), times(F.length("word"), "word_chars"), *[times(characters(F.col("word"), others), k) for k, others in CLASSES.items()])
+    totals = sizes.join(sums, "lang").withColumn("m", F.struct("n_chars", "word_chars", *CLASSES))
+    wholes = totals.select(
+        "lang", (F.col("n_docs") >= rules.hot_share * all_docs).alias("hot"), "all_words", F.transform(class_counts("m"), lambda c: c / F.col("n_chars")).alias("class_share"))
     # The limit on places runs before the shuffle too: a task sends few words of each language.
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = table.where(F.col("lang").isNotNull() & (F.lower("word") != F.upper("word")))  # words with a letter
+    lowered = table.groupBy("lang", F.lower("word").alias("word")).agg(F.sum("n").alias("n"))
+    top = lowered.where(F.lower("word") != F.upper("word"))  # words with a letter
     top = top.withColumn("place", place).where(F.col("place") <= rules.common_words)
     ranked = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
     # A language without a lettered word still has its classes.

@@ -180,27 +180,28 @@ ORACLES: dict[str, str] = {
         ), repeated AS (
             SELECT r, count(DISTINCT k) AS n_repeat_words FROM windows, unnest(range(i, i + 3)) AS u(k) WHERE n > 1 GROUP BY r
         ), totals AS (
-            SELECT lang, sum(n_words) AS n_words, count(*) AS n_docs,
+            SELECT lang, sum(n_words) AS n_words,
                    [sum(classes[1]), sum(classes[2]), sum(classes[3]), sum(classes[4]), sum(classes[5]), sum(classes[6]), sum(classes[7])] AS classes
             FROM base GROUP BY lang
         ), known AS (
             SELECT lang, n_words, [x / list_sum(classes) FOR x IN classes] AS class_share FROM totals
-            WHERE lang IS NOT NULL AND n_words > 0 AND n_docs >= greatest(1, 0.001 * (SELECT count(*) FROM docs))
+            WHERE lang IS NOT NULL AND n_words > 0
         ), words AS (
-            SELECT lang, lower(x) AS word, count(*) AS n FROM base, unnest(w) AS u(x) WHERE length(lower(x)) <= 5 GROUP BY ALL
+            SELECT lang, lower(x) AS word, count(*) AS n FROM base, unnest(w) AS u(x) GROUP BY ALL
         ), top AS (
-            SELECT lang, word, n / n_words AS share, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place
-            FROM words JOIN known USING (lang) WHERE lower(word) <> upper(word)
+            SELECT lang, word, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place
+            FROM words WHERE lower(word) <> upper(word)
             QUALIFY place <= 12
         ), refs AS (
-            SELECT lang, any_value(class_share) AS class_share, list(word ORDER BY place) AS common, list(share ORDER BY place) AS share
-            FROM top JOIN known USING (lang) GROUP BY lang
+            SELECT lang, any_value(class_share) AS class_share, coalesce(list(word ORDER BY place) FILTER (word IS NOT NULL), []) AS common,
+                   coalesce(list(n / n_words ORDER BY place) FILTER (word IS NOT NULL), []) AS share
+            FROM known LEFT JOIN top USING (lang) GROUP BY lang
         ), shares AS (
             SELECT r, [x / nullif(length(text), 0) FOR x IN classes] AS c, class_share AS cr,
                    [len(list_filter(w, lambda x: lower(x) = y)) / nullif(n_words, 0) FOR y IN common] AS h, share AS hr
             FROM base JOIN refs USING (lang)
         ), pairs AS (
-            SELECT r, list_zip(c, cr) AS cs, list_zip(list_concat(h, [1 - list_sum(h)]), list_concat(hr, [1 - list_sum(hr)])) AS ws FROM shares
+            SELECT r, list_zip(c, cr) AS cs, list_zip(list_concat(h, [1 - coalesce(list_sum(h), 0)]), list_concat(hr, [1 - coalesce(list_sum(hr), 0)])) AS ws FROM shares
         ), distances AS (
             SELECT r, sqrt(greatest(0, list_sum([(CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END
                                                 + CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END) / 2 FOR z IN cs]))) AS class_distance,
