@@ -57,6 +57,28 @@ def test_cut_texts_hold_no_window_and_clean_ones_are_untouched(spark):
     assert D.decontaminate(messy(spark), items).count() == len(MESSY)
 
 
+def cut_by_hand(text, items, window, most):
+    """The words that stay, or None for a document that goes."""
+    n, hit, _ = brute(text, items, window)
+    return None if len(hit) > most * n else [w for i, w in enumerate(words(text)) if i not in hit]
+
+
+def test_cuts_do_not_depend_on_the_shards(spark):
+    run = [f"w{i}" for i in range(40)]
+    items = [(1, " ".join(run[:22])), (2, " ".join(run[14:30])), (3, " ".join(run[30:]))]  # 1 and 2 overlap, 3 begins where 2 ends
+    clean = " ".join(f"plain{i}" for i in range(60))
+    rows = [(1, f"{clean} {' '.join(run[:25])} {clean}", "en", "s", 1), (2, " ".join([*run[:12], *run[30:], "and", "more"]), "en", "s", 1)]
+    rows += [(3, f"{' '.join(run)} {clean}", "en", "s", 1), (4, clean, "en", "s", 9)]
+    docs, bench = docs_of(spark, rows), benchmark_of(spark, items)
+    results = [sorted((tuple(r) for r in D.decontaminate(docs, bench, n_chars="n_chars", shard_words=n).collect()), key=str) for n in (10, 25, 10_000)]
+    assert results[0] == results[1] == results[2]
+    left = {r[0]: r for r in results[0]}
+    for doc, text, *_ in rows:
+        stays = cut_by_hand(text, items, D.WINDOW, D.MOST_COVERED)
+        assert (words(left[doc][1]) if doc in left else None) == stays
+    assert 2 not in left and all(left[d][4] == len(left[d][1]) for d in (1, 3))
+
+
 def test_empty_tables(spark):
     none = benchmark_of(spark, [])
     assert D.contamination(empty(spark), benchmark_of(spark, [(1, "a b")])).count() == 0

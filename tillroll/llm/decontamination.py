@@ -13,14 +13,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.words import ALPHANUMERIC, chunks, column, words_of
+from tillroll.llm.words import ALPHANUMERIC, chunks, column, fresh, words_of
 
 WINDOW = 10
 SHARD_WORDS = 200_000
@@ -225,54 +224,64 @@ def contamination(
     when there are no items; an item that is null or wordless is never found; a null item id counts as empty text.
     Repeated rows each get their own result; other columns are not read.
     """
-    numbered = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
+    picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("bigint").alias("n_words"), _none("spans", _SPANS), _none("items", _ITEMS))
+    id_type = picked.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, text string, n_words bigint, spans {_SPANS}, items {_ITEMS}"
+    # One scan: shard after shard adds to what the ones before have found.
     lots = list(benchmark_shards(benchmark, item_id, item_text, window, shard_words)) or [[]]
-    id_type = numbered.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, row bigint, n_words bigint, spans array<struct<first: bigint, after: bigint>>, items array<string>"
-    passes = [numbered.mapInArrow(_scan(lot, window), schema) for lot in lots]
-    if len(passes) == 1:
-        return passes[0].drop("row")
-    # One entry per shard and row of the scan; a table scan numbers its rows alike each time.
-    found = reduce(DataFrame.union, passes).groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-        F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
-    return found.select("doc_id", "row", "n_words", "spans", "items").mapInArrow(_merge_spans, schema).drop("row")
+    for i, lot in enumerate(lots):
+        last = i == len(lots) - 1
+        picked = picked.mapInArrow(_scan(lot, window, last), schema.replace("text string, ", "") if last else schema)
+    return picked
 
 
-_SPANS = pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))
+_SPANS, _ITEMS = "array<struct<first: bigint, after: bigint>>", "array<string>"
+_ARROW_SPANS, _ARROW_ITEMS = pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())])), pa.list_(pa.string())
 
 
-def _scan(lot, window):
+def _none(name: str, kind: str) -> Column:
+    return F.array().cast(kind).alias(name)
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """In order, with those that meet joined."""
+    out: list[tuple[int, int]] = []
+    for first, after in sorted(spans):
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], after))
+        else:
+            out.append((first, after))
+    return out
+
+
+def _spans_with(lot, window, batch, words, name) -> tuple[list[list[tuple[int, int]]], dict[int, set[str]]]:
+    """Per row, the spans in column ``name`` together with those of a lot, in word numbers of the row; and the lot's items."""
+    spans = [[(x["first"], x["after"]) for x in row or ()] for row in column(batch, name).to_pylist()]
+    found = _find(_shard(lot, window), words.hashes(), words.text) if lot else {}
+    firsts, items = words.firsts(), {}
+    for row, (hit, held) in found.items():
+        spans[row] = _merged(spans[row] + [(int(a - firsts[row]), int(b - firsts[row])) for a, b in hit])
+        items[row] = held
+    return spans, items
+
+
+def _span_array(spans: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"first": a, "after": b} for a, b in row] for row in spans], _ARROW_SPANS)
+
+
+def _scan(lot, window, last):
     def run(batches):
         for batch in chunks(batches, "text"):
             words = words_of(column(batch, "text"), ALPHANUMERIC)
-            firsts = words.firsts()
-            spans: list[list] = [[] for _ in range(batch.num_rows)]
-            items: list[list] = [[] for _ in range(batch.num_rows)]
-            for row, (hit, held) in _find(_shard(lot, window), words.hashes(), words.text).items() if lot else ():
-                spans[row] = [{"first": a - firsts[row], "after": b - firsts[row]} for a, b in hit]
-                items[row] = sorted(held)
-            columns = [column(batch, "doc_id"), column(batch, "row"), pa.array(words.counts(), pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_words", "spans", "items"])
+            spans, held = _spans_with(lot, window, batch, words, "spans")
+            items = [sorted({*before, *held.get(row, ())}) for row, before in enumerate(column(batch, "items").to_pylist())]
+            columns = [pa.array(words.counts(), pa.int64()), _span_array(spans), pa.array(items, _ARROW_ITEMS)]
+            names = ["doc_id"] if last else ["doc_id", "text"]
+            yield pa.RecordBatch.from_arrays([*[column(batch, c) for c in names], *columns], [*names, "n_words", "spans", "items"])
 
     return run
 
 
-def _merge_spans(batches):
-    for batch in batches:
-        merged = []
-        for spans in column(batch, "spans").to_pylist():
-            out: list[dict] = []
-            for span in sorted(spans, key=lambda x: (x["first"], x["after"])):
-                if out and span["first"] <= out[-1]["after"]:
-                    out[-1]["after"] = max(out[-1]["after"], span["after"])
-                else:
-                    out.append(span)
-            merged.append(out)
-        yield batch.set_column(batch.schema.get_field_index("spans"), "spans", pa.array(merged, _SPANS))
-
-
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
     window: int = WINDOW, most_covered: float = MOST_COVERED, n_chars: str | None = None, shard_words: int = SHARD_WORDS,
@@ -281,30 +290,47 @@ def decontaminate(
 
     A hit run of words is cut out of the text, with the bytes between its words; a space stays in its place. A
     document of which more than ``most_covered`` of the words are hit is dropped. ``n_chars`` names a column that
-    holds the length of the text and follows it. Null and wordless texts stay. Runs once per shard of items, so a
-    run that two shards share parts of is cut by each; nothing that one shard finds survives.
+    holds the length of the text and follows it. Null and wordless texts stay. What all shards of items find is put
+    together before anything is cut or dropped, so the result does not depend on ``shard_words``.
     """
-    for lot in benchmark_shards(benchmark, item_id, item_text, window, shard_words):
-        docs = docs.mapInArrow(_cut(lot, window, text, most_covered, n_chars), docs.schema)
-    return docs
+    columns, spans, schema = docs.columns, fresh(docs, "found_spans"), docs.schema
+    lots = list(benchmark_shards(benchmark, item_id, item_text, window, shard_words))
+    if not lots:
+        return docs
+    docs = docs.withColumn(spans, _none(spans, _SPANS))
+    for lot in lots[:-1]:
+        docs = docs.mapInArrow(_mark(lot, window, text, spans), docs.schema)
+    return docs.mapInArrow(_cut(lots[-1], window, text, spans, most_covered, n_chars), schema).select(*columns)
 
 
-def _cut(lot, window, text, most_covered, n_chars):
+def _mark(lot, window, text, name):
+    def run(batches):
+        for batch in chunks(batches, text):
+            spans, _ = _spans_with(lot, window, batch, words_of(column(batch, text), ALPHANUMERIC), name)
+            yield batch.set_column(batch.schema.get_field_index(name), name, _span_array(spans))
+
+    return run
+
+
+def _cut(lot, window, text, name, most_covered, n_chars):
     def run(batches):
         for batch in chunks(batches, text):
             texts = column(batch, text)
             words = words_of(texts, ALPHANUMERIC)
             firsts = words.firsts()
-            found = _find(_shard(lot, window), words.hashes(), words.text)
+            found, _ = _spans_with(lot, window, batch, words, name)
+            batch = batch.drop_columns(name)
             keep, cut = np.ones(batch.num_rows, bool), {}
-            for row, (spans, _) in found.items():
+            for row, spans in enumerate(found):
+                if not spans:
+                    continue
                 if sum(b - a for a, b in spans) > most_covered * (firsts[row + 1] - firsts[row]):
                     keep[row] = False
                     continue
                 raw, at, kept = texts[row].as_py().encode(), 0, []
                 for a, b in spans:
-                    kept.append(raw[at : words.start[a] - words.offsets[row]])
-                    at = words.end[b - 1] - words.offsets[row]
+                    kept.append(raw[at : words.start[firsts[row] + a] - words.offsets[row]])
+                    at = words.end[firsts[row] + b - 1] - words.offsets[row]
                 cut[row] = b" ".join([*kept, raw[at:]]).decode()
             if cut:
                 values = [cut.get(i, v) for i, v in enumerate(texts.to_pylist())]
