@@ -63,6 +63,17 @@ def test_messy_rows(spark):
     assert jaccard_join.similar(empty(spark)).count() == 0
 
 
+def test_rows_without_an_id_link_others(spark):
+    base = prose(5, 80).split()
+    change = lambda words, places: [f"x{i}" if i in places else w for i, w in enumerate(words)]
+    middle = change(base, {10})
+    rows = [(1, " ".join(base)), (None, " ".join(middle)), (2, " ".join(change(middle, {40}))), (None, prose(6, 50)), (7, prose(7, 50)), (None, prose(7, 50))]
+    want = brute(rows)
+    assert [c for d, _, c in want if d in (1, 2)] == [1, 1]
+    got = jaccard_join.similar(docs_of(spark, [(d, t, None, None, None) for d, t in rows])).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.collect()), key=str) == want
+
+
 def test_one_row_of_each_group_stays(spark):
     kept = jaccard_join.keep_first(messy(spark))
     assert kept.columns == messy(spark).columns

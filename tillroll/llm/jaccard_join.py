@@ -225,7 +225,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
 
     Words are what stands between white space, with A-Z lower-cased; a document's set is its distinct 5-word shingles, or
     the whole sequence if that is shorter. ``component_id`` is the smallest id that links reach, the row's own
-    included; a class that has null ids only is compared with no other. A null or wordless text has an empty set, class null, and is linked with nothing. Repeated rows are of one
+    included, whatever rows with null ids lie between. A null or wordless text has an empty set, class null, and is linked with nothing. Repeated rows are of one
     class; a null id is never the smallest. An empty table gives no rows; other columns are not read.
     """
     staging = Staging(docs.sparkSession)
@@ -238,6 +238,8 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     picked = docs.select(F.col(doc_id).alias("first_id"), F.col(text).alias("text"))
     ids = members.select("first_id").where("first_id is not null").distinct()
     texts = maybe_among(picked, ids, "first_id").join(ids, "first_id")
+    if not members.where("first_id is null").isEmpty():  # classes that have null ids only are found among all such rows
+        texts = texts.unionByName(picked.where("first_id is null"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
