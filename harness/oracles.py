@@ -136,7 +136,22 @@ READS = {
 }
 
 
-def query(select: str, *reads: str, source: str = "deduped") -> str:
+# A first feed of the first two thirds of the orders and a second one of the last two thirds, each with its medians.
+APPENDED = """
+    WITH parts AS (
+        SELECT 0 AS part, * FROM valid WHERE CAST(substr(order_id, 4) AS BIGINT) * 3 <= 2 * (SELECT max(l_orderkey) FROM copies)
+        UNION ALL
+        SELECT 1, * FROM valid WHERE CAST(substr(order_id, 4) AS BIGINT) * 3 > (SELECT max(l_orderkey) FROM copies)),
+    levels AS (
+        SELECT 0 AS part, category, median(unit_price) AS med FROM parts WHERE part = 0 AND category IS NOT NULL GROUP BY category
+        UNION ALL SELECT 1, category, median(unit_price) FROM parts WHERE category IS NOT NULL GROUP BY category)
+    SELECT p.* EXCLUDE (part) REPLACE (
+        CASE WHEN unit_price > 5 * med THEN round_even(med * 100, 0) / 100 ELSE unit_price END AS unit_price,
+        p.part * 1000000000000 + ord AS ord)
+    FROM parts p LEFT JOIN levels l ON p.part = l.part AND p.category = l.category"""
+
+
+def query(select: str, *reads: str, source: str = "deduped", capped: str | None = None) -> str:
     """``select`` over the named table expressions and all they build on."""
     needed: list[str] = []
 
@@ -149,7 +164,8 @@ def query(select: str, *reads: str, source: str = "deduped") -> str:
     for name in reads:
         need(name)
     # Computed once each, since many of them are read several times.
-    parts = ",\n".join(f"{n} AS MATERIALIZED ({CTES[n].replace('{source}', source)})" for n in needed)
+    texts = CTES | ({"capped": capped} if capped else {})
+    parts = ",\n".join(f"{n} AS MATERIALIZED ({texts[n].replace('{source}', source)})" for n in needed)
     return f"WITH {parts}\n{select}"
 
 
@@ -181,6 +197,14 @@ FLAT = f"""sale_key, order_id, CAST(full_date AS VARCHAR) AS full_date, CAST(yea
            FROM fact JOIN days USING (date_key) JOIN customers USING (customer_key) JOIN products USING (product_key)
            JOIN regions USING (region_key)"""
 
+SALES = f"""SELECT sale_key, order_id, customer_key, product_key, region_key, date_key, payment_method, sales_channel,
+           quantity, {money('unit_price', 'discount_percent', *AMOUNTS)} FROM fact"""
+MONTHS = f"""SELECT CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, month_name, orders,
+           CAST(total AS DOUBLE) AS revenue, CAST(gain AS DOUBLE) AS profit, {half_up_mean('total', 'n')} AS avg_order_value
+    FROM (SELECT year, month, month_name, count(DISTINCT order_id) AS orders, sum(net_amount) AS total,
+                 sum(profit_amount) AS gain, count(*) AS n
+          FROM fact JOIN days USING (date_key) GROUP BY year, month, month_name)"""
+
 METRICS = """
     SELECT position, metric, CAST(value AS BIGINT) AS value FROM (
         SELECT 1 AS position, 'input_rows' AS metric, (SELECT count(*) FROM typed) AS value
@@ -319,9 +343,7 @@ ORACLES: dict[str, str] = {
     "dim_product": query("SELECT product_key, product_name, category FROM products", "products"),
     "dim_region": query("SELECT region_key, region_name FROM regions", "regions"),
     "dim_date": query(f"SELECT {DAYS} FROM days", "days"),
-    "fact_sales": query(
-        f"""SELECT sale_key, order_id, customer_key, product_key, region_key, date_key, payment_method, sales_channel,
-                   quantity, {money('unit_price', 'discount_percent', *AMOUNTS)} FROM fact""", "fact"),
+    "fact_sales": query(SALES, "fact"),
     "monthly_revenue": query(
         f"""SELECT year, month_name, CAST(revenue AS DOUBLE) AS revenue, CAST(prev AS DOUBLE) AS prev_month_revenue,
                    {half_up_percent('revenue - prev', 'prev')} AS mom_growth_percent
@@ -355,12 +377,7 @@ ORACLES: dict[str, str] = {
                        / CAST(sum(ltv) AS DOUBLE) AS pct_revenue_from_repeat
             FROM ({PER_CUSTOMER})""", "fact", "days"),
     "sales_flat": query(f"SELECT {FLAT}", "fact", "days"),
-    "monthly_kpis": query(
-        f"""SELECT CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, month_name, orders,
-                   CAST(total AS DOUBLE) AS revenue, CAST(gain AS DOUBLE) AS profit, {half_up_mean('total', 'n')} AS avg_order_value
-            FROM (SELECT year, month, month_name, count(DISTINCT order_id) AS orders, sum(net_amount) AS total,
-                         sum(profit_amount) AS gain, count(*) AS n
-                  FROM fact JOIN days USING (date_key) GROUP BY year, month, month_name)""", "fact", "days"),
+    "monthly_kpis": query(MONTHS, "fact", "days"),
     "flat_csv": query(f"SELECT {FLAT}", "fact", "days"),
     "dq_metrics": query(METRICS.replace("SELECT position", "SELECT CAST(position AS BIGINT) AS position", 1), "deduped"),
     "load_counts": query(COUNTS.replace("SELECT position", "SELECT CAST(position AS BIGINT) AS position", 1), "fact", "days"),
@@ -376,3 +393,9 @@ ORACLES: dict[str, str] = {
            GROUP BY order_id, product_key, date_key HAVING count(*) > 1""", "fact"),
 }
 ORACLES["category_profit_by_range"] = ORACLES["category_profit"]
+ORACLES |= {
+    "append_fact": query(SALES, "fact", capped=APPENDED),
+    "append_flat": query(f"SELECT {FLAT}", "fact", "days", capped=APPENDED),
+    "append_monthly": query(MONTHS, "fact", "days", capped=APPENDED),
+    "append_counts": query(COUNTS.replace("SELECT position", "SELECT CAST(position AS BIGINT) AS position", 1), "fact", "days", capped=APPENDED),
+}

@@ -151,6 +151,14 @@ def dim(name: str) -> Query:
     return lambda ws: ws.load.warehouse[name]
 
 
+def appended_view(name: str) -> Query:
+    def run(ws: Workspace) -> DataFrame:
+        analytics.register_views(ws.appended)
+        return ws.spark.sql(f"SELECT * FROM {name}")
+
+    return run
+
+
 def sales_fact(ws: Workspace) -> DataFrame:
     return ws.load.warehouse["fact_sales"].drop("sale_year")
 
@@ -192,6 +200,10 @@ QUERIES: dict[str, Query] = {
     "dim_region": dim("dim_region"),
     "dim_date": dim("dim_date"),
     "fact_sales": sales_fact,
+    "append_fact": lambda ws: ws.appended["fact_sales"].drop("sale_year"),
+    "append_flat": appended_view("vw_sales_flat"),
+    "append_monthly": appended_view("vw_monthly_kpis"),
+    "append_counts": lambda ws: quality.load_counts(ws.appended),
     "monthly_revenue": lambda ws: analytics.monthly_revenue(ws.load.warehouse),
     "category_profit": lambda ws: analytics.category_profit(ws.load.warehouse),
     "category_profit_by_range": lambda ws: analytics.category_profit(ws.load.warehouse, Staging(ws.spark), small_rows=0),

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.positions import POSITION, bounded_broadcast, position_sets
 from tillroll.operators.staging import Staging
 
 
+def key_hashes(keys: list[str]) -> list[Column]:
+    """``_h1`` and ``_h2``: 128 bits by which rows with equal keys meet."""
+    return [F.xxhash64(*keys).alias("_h1"), F.xxhash64(*reversed(keys), F.lit(1)).alias("_h2")]
+
+
 def first_positions(rows: DataFrame, keys: list[str], staging: Staging, name: str) -> DataFrame:
     """The sets of positions (``position_sets``) of the first row per key; rows carry POSITION, null keys equal each other.
 
@@ -16,7 +21,7 @@ def first_positions(rows: DataFrame, keys: list[str], staging: Staging, name: st
     more than once, the keys themselves are compared, combined before the shuffle as well: a group of copies of any size
     sends one row per task, and rows that share a hash by chance are all kept.
     """
-    hashed = rows.select(F.xxhash64(*keys).alias("_h1"), F.xxhash64(*reversed(keys), F.lit(1)).alias("_h2"), *keys, POSITION)
+    hashed = rows.select(*key_hashes(keys), *keys, POSITION)
     firsts = hashed.groupBy("_h1", "_h2").agg(F.min(POSITION).alias(POSITION), F.count("*").alias("n"))
     firsts = staging.write(firsts, f"{name}-hashes")
     repeated = bounded_broadcast(firsts.where("n > 1").select("_h1", "_h2"))

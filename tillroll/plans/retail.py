@@ -1,4 +1,4 @@
-"""The whole run: feed -> cleaned lines -> star schema -> constraints -> publication -> reports."""
+"""The whole run: feed -> cleaned lines -> star schema -> constraints -> publication -> reports; and further feeds."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from tillroll.operators.staging import Staging
 from tillroll.plans.analytics import monthly_kpis
+from tillroll.plans.append import Appended, append, stored_state
 from tillroll.plans.cleaning import Cleaned, clean_sales
 from tillroll.plans.quality import constraint_checks, dq_metrics, load_counts, require_passed
 from tillroll.plans.star import build_star
@@ -32,7 +33,7 @@ def load(raw: DataFrame, root: str, staging: Staging) -> Load:
     """
     spark = raw.sparkSession
     cleaned, plans = clean_sales(raw, staging), {}
-    run = write_run(build_star(cleaned.lines, staging), root, plans)
+    run = write_run(build_star(cleaned.lines, staging) | stored_state(cleaned), root, plans)
     try:
         star = read_run(spark, root, run, extras=False)
         require_passed(constraint_checks(star))
@@ -54,8 +55,20 @@ def run_etl(raw: DataFrame, root: str, clean_csv: str | None = None, report: str
     """The load plus the cleaned text file and the quality report, where a path is given."""
     with Staging(raw.sparkSession) as staging:
         done = load(raw, root, staging)
-        if clean_csv:
-            write_clean_csv(done.cleaned.lines, clean_csv)
-        if report:
-            write_report(dq_metrics(done.cleaned), load_counts(done.warehouse), report)
+        _write_files(done, clean_csv, report)
         return done.warehouse
+
+
+def append_feed(raw: DataFrame, root: str, clean_csv: str | None = None, report: str | None = None) -> Appended:
+    """Add a further feed to the published run. The files tell of the new lines, the report's row counts of all."""
+    with Staging(raw.sparkSession) as staging:
+        done = append(raw, root, staging)
+        _write_files(done, clean_csv, report)
+        return done
+
+
+def _write_files(done: Load | Appended, clean_csv: str | None, report: str | None) -> None:
+    if clean_csv:
+        write_clean_csv(done.cleaned.lines, clean_csv)
+    if report:
+        write_report(dq_metrics(done.cleaned), load_counts(done.warehouse), report)

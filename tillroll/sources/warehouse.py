@@ -1,12 +1,14 @@
 """The star schema as Parquet. A load writes a new run; publishing it is one small file with the next number.
 
 Readers see the last published run, so a refresh replaces everything at once (S6), and a load that
-fails its checks or dies half-way is never seen.
+fails its checks or dies half-way is never seen. A run that adds lines to another (S5) holds the new rows only: its
+name in the published file begins with the name of the run before, and readers take the tables of all its parts.
 """
 
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from dataclasses import dataclass, field
 from functools import partial, reduce
@@ -25,6 +27,12 @@ from tillroll.sources.schemas import WAREHOUSE_TABLES
 _NUMBER = "[0-9]{12}"
 # Tables beside the star: keys with at least 1/HOT_KEYS of the lines, and the monthly figures.
 HOT_LINES, MONTHLY = "hot_keys", "monthly_kpis"
+# What a further feed needs of those before: counts per price, medians by which outliers were told, hashes of the lines.
+PROFILE, MEDIANS, LINE_HASHES = "price_profile", "category_medians", "line_hashes"
+# Between the parts of a run's name, oldest first.
+_ADDED = "+"
+# A number without a name that is younger may get its name yet; an older one is that of a load that died.
+_CLAIM_SECONDS = 60
 _HOT_SCHEMA = "key_name string, key int, n_lines bigint"
 # Distinct products that a filter of a row group is made for; with more it skips less.
 _BLOOM = {"parquet.bloom.filter.enabled#product_key": "true", "parquet.bloom.filter.expected.ndv#product_key": "100000"}
@@ -125,11 +133,35 @@ def add_to_run(table: DataFrame, root: str, run: str, name: str) -> None:
 
 def read_run(spark: SparkSession, root: str, run: str, extras: bool = True) -> Warehouse:
     """The tables of a run; ``extras`` with what is stored beside the star."""
-    path = f"{root}/runs/{run}"
-    tables = {name: spark.read.schema(table_schema(name)).parquet(f"{path}/{name}") for name in WAREHOUSE_TABLES}
+    folders = run_folders(root, run)
+
+    def whole(name: str, schema: T.StructType | str) -> DataFrame:
+        # A scan per part, since each has its own partition folders.
+        return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(f"{folder}/{name}") for folder in folders])
+
+    tables = {name: whole(name, table_schema(name)) for name in WAREHOUSE_TABLES}
     if not extras:
         return Warehouse(tables)
-    return Warehouse(tables, spark.read.schema(_HOT_SCHEMA).parquet(f"{path}/{HOT_LINES}"), spark.read.parquet(f"{path}/{MONTHLY}"))
+    hot = whole(HOT_LINES, _HOT_SCHEMA)
+    if len(folders) > 1:
+        # A key with a 2000th of all lines has one in some part, so none is missed; its count in other parts may be.
+        hot = hot.groupBy("key_name", "key").agg(F.sum("n_lines").alias("n_lines"))
+    return Warehouse(tables, hot, spark.read.parquet(f"{folders[-1]}/{MONTHLY}"))
+
+
+def run_folders(root: str, run: str) -> list[str]:
+    """The folders of a run's parts, oldest first."""
+    return [f"{root}/runs/{part}" for part in run.split(_ADDED)]
+
+
+def added_to(base: str, part: str) -> str:
+    """The name of the run that has the rows of ``base`` and those of ``part``."""
+    return f"{base}{_ADDED}{part}"
+
+
+def stored_parts(spark: SparkSession, root: str, run: str, name: str) -> list[DataFrame]:
+    """A table that is stored beside the star, of each part of the run."""
+    return [spark.read.parquet(f"{folder}/{name}") for folder in run_folders(root, run)]
 
 
 def _files(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
@@ -168,22 +200,34 @@ def _claim(spark: SparkSession, path: str, run: str) -> bool:
     return text == run.encode()
 
 
-def publish(spark: SparkSession, root: str, run: str) -> int:
+def publish(spark: SparkSession, root: str, run: str, after: int | None = None) -> int | None:
     """The run gets the next number that nobody has; readers follow the highest. No clock decides which is the last.
 
     Loads that end at once go for the same number, and all but one go on to the next. A load that dies between taking a
-    number and writing its name leaves a number that means nothing.
+    number and writing its name leaves a number that means nothing. A run that adds to the one published as ``after`` must
+    be the next after it: where anything else took a number since, this returns None, and nothing is published.
     """
     folder, files = _files(spark, f"{root}/published")
-    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
-    number = 1 + max((int(name) for name in names if re.fullmatch(_NUMBER, name)), default=0)
+    claims = list(files.listStatus(folder)) if files.exists(folder) else []
+    claims = {int(s.getPath().getName()): s for s in claims if re.fullmatch(_NUMBER, s.getPath().getName())}
+    number = 1 + max(claims, default=0)
+    if after is not None:
+        oldest = (time.time() - _CLAIM_SECONDS) * 1000
+        if any(n > after and (s.getLen() > 0 or s.getModificationTime() > oldest) for n, s in claims.items()):
+            return None
+        return number if _claim(spark, f"{root}/published/{number:012}", run) else None
     while not _claim(spark, f"{root}/published/{number:012}", run):
         number += 1
     return number
 
 
 def published_run(spark: SparkSession, root: str) -> str:
-    return _published(spark, root).agg(F.max_by("run", "number")).first()[0]
+    return last_published(spark, root)[1]
+
+
+def last_published(spark: SparkSession, root: str) -> tuple[int | None, str | None]:
+    """Number and run; (None, None) before the first publication."""
+    return tuple(_published(spark, root).agg(F.max("number"), F.max_by("run", "number")).first())
 
 
 def read_warehouse(spark: SparkSession, root: str) -> Warehouse:
@@ -192,13 +236,14 @@ def read_warehouse(spark: SparkSession, root: str) -> Warehouse:
 
 
 def discard_run(spark: SparkSession, root: str, run: str) -> None:
-    delete_folder(spark, f"{root}/runs/{run}")
+    """Delete what the run itself wrote; the runs it adds to stay."""
+    delete_folder(spark, run_folders(root, run)[-1])
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Delete all runs but the last ``keep`` published ones; not while a load is under way. Returns what is gone."""
     rows = _published(spark, root).orderBy(F.desc("number")).limit(max(1, keep)).collect()
-    kept = {r["run"] for r in rows}
+    kept = {part for r in rows for part in r["run"].split(_ADDED)}
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/runs")
     names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
     gone = [name for name in names if name not in kept]
