@@ -66,3 +66,12 @@ def test_the_mix_is_sorted_and_has_a_row_per_copy(spark):
 def test_empty_table(spark):
     assert C.arrange(empty(spark), C.n_words(F.col("text")))[0].count() == 0
     assert C.mixed(empty(spark)).count() == 0
+
+
+def test_the_arrangement_is_range_sorted_by_first_position(spark):
+    docs = messy(spark)
+    arranged, names = C.arrange(docs, C.n_words(F.col("text")))
+    ordered = C.in_training_order(arranged, names["positions"], "doc_id")
+    assert "rangepartitioning" in ordered._jdf.queryExecution().executedPlan().toString()
+    firsts = [r[0][0] if r[0] else 2.0 for r in ordered.select(names["positions"]).collect()]
+    assert firsts == sorted(firsts) and len(firsts) == docs.count()

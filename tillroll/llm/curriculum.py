@@ -119,6 +119,14 @@ def arrange(docs: DataFrame, size: Column, source: str = "source", line: Column
     return out.select(*docs.columns, *names.values()), names
 
 
+def in_training_order(arranged: DataFrame, positions: str, *ties: str) -> DataFrame:
+    """The rows of an arrangement range-sorted by their first position, those not taken last; ``ties`` orders equal ones."""
+    first, tie = fresh(arranged, "first_position"), fresh(arranged, "tie")
+    order = [F.col(first).asc_nulls_last(), F.col(tie)]
+    placed = arranged.withColumns({first: F.get(positions, F.lit(0)), tie: F.xxhash64(*ties)})
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).drop(first, tie)
+
+
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", **schedule) -> DataFrame:
     """The mix itself: a row of ``docs`` per copy taken, range-sorted by the added column ``position``."""
     arranged, names = arrange(docs, n_words(F.col(text)), source, **schedule)

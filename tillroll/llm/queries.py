@@ -62,8 +62,10 @@ def op6_language_hypervectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", curriculum.n_words(F.col("text")).alias("words"), curriculum.line_up("doc_id", "text").alias("line"))
-    arranged, _ = curriculum.arrange(sized, F.col("words"), line=F.col("line"))
-    return arranged.select("doc_id", "size", "source_size", "target", "taken")
+    arranged, names = curriculum.arrange(sized, F.col("words"), line=F.col("line"))
+    ordered = curriculum.in_training_order(arranged, names["positions"], "doc_id", "line")
+    positions = [F.get(names["positions"], F.lit(i)).alias(f"position_{i + 1}") for i in range(curriculum.MOST_REPEATS)]
+    return ordered.select("doc_id", "size", "source_size", "target", "taken", *positions)
 
 
 def op9_toxicity_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +255,8 @@ ORACLES: dict[str, str] = {
                    CAST('0x' || left(md5(concat_ws('|', doc_id, text)), 15) AS BIGINT) AS line
             FROM documents
         ), sums AS (SELECT source, sum(size) AS source_size FROM docs GROUP BY source),
-        placed AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM sums),
+        placed AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+                          [0.5, 0.0, -0.5][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS tilt FROM sums),
         filled AS (
             SELECT *, 1.5 * sum(source_size) OVER () AS wanted,
                    coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
@@ -263,14 +266,17 @@ ORACLES: dict[str, str] = {
         shared AS (
             SELECT coalesce(sum(2 * source_size) FILTER (full_up), 0) AS taken, coalesce(sum(weight) FILTER (NOT full_up), 1) AS weights FROM capped
         ), goals AS (
-            SELECT source, source_size,
+            SELECT source, source_size, tilt,
                    CASE WHEN full_up THEN CAST(2 * source_size AS DOUBLE) ELSE weight * CAST(wanted - taken AS DOUBLE) / weights END AS target
             FROM capped, shared
         ), lined AS (
             SELECT *, sum(size) OVER (PARTITION BY source ORDER BY line, size ROWS UNBOUNDED PRECEDING) - size / 2 AS middle FROM docs
         )
         SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
-               CAST(size * ((middle < target)::INT + (middle + source_size < target)::INT) AS BIGINT) AS taken
+               CAST(size * ((middle < target)::INT + (middle + source_size < target)::INT) AS BIGINT) AS taken,
+               CASE WHEN middle < target THEN 2 * (middle / target) / (1 + tilt + sqrt(greatest(0, (1 + tilt) * (1 + tilt) - 4 * tilt * (middle / target)))) END AS position_1,
+               CASE WHEN middle + source_size < target
+                    THEN 2 * ((middle + source_size) / target) / (1 + tilt + sqrt(greatest(0, (1 + tilt) * (1 + tilt) - 4 * tilt * ((middle + source_size) / target)))) END AS position_2
         FROM lined JOIN goals ON lined.source IS NOT DISTINCT FROM goals.source
     """,
     "op11_chat_format": r"""
