@@ -1,9 +1,11 @@
 import hashlib
 import random
+import re
 import struct
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from tillroll.llm import warc
 
@@ -74,3 +76,17 @@ def test_damage_is_noticed(spark, tmp_path):
     open(path, "wb").write(data[:-6])
     with pytest.raises(ValueError, match="ends inside"):
         list(warc.read_archive(f"file://{path}"))
+
+
+def test_archives_are_read_by_a_task_each_and_records_have_the_mandatory_fields(spark, tmp_path):
+    folder = str(tmp_path / "warc")
+    manifest = warc.write(pages_of(spark, rows()), folder, archive_bytes=500).select("path").collect()
+    back = warc.read(spark, folder)
+    assert len(manifest) > 4 and back.rdd.getNumPartitions() == len(manifest)
+    read = back.select(F.spark_partition_id().alias("task"), "payload_digest").groupBy("task").count().count()
+    assert read == len(manifest)
+    for archive in manifest:
+        for data in warc.read_archive(archive["path"]):
+            fields, _ = warc.parse(data)
+            assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(fields)
+            assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"])

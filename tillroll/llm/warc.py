@@ -14,11 +14,12 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.words import chunks, column
@@ -30,6 +31,8 @@ SAMPLE_PIECES, PIECE_BYTES = 1024, 4096
 # Payloads below this size are not worth a reference.
 LEAST_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 1 << 30
+# Tasks that read archives, at most; beyond that a task reads several.
+MOST_READERS = 30_000
 LEVEL = 3
 _BREAK = b"\r\n"
 
@@ -66,11 +69,11 @@ def train_dictionary(pages: DataFrame, payload: str, size: int = DICTIONARY_BYTE
         return b""
 
 
-def record(kind: str, key: str, url: str, payload: bytes, digest: str, refers_to: str | None) -> bytes:
-    """One WARC/1.1 record; a revisit carries no payload but the length and digest of the one it refers to."""
+def record(kind: str, key: str, url: str, payload: bytes, digest: str, refers_to: str | None, date: str = "1970-01-01T00:00:00Z") -> bytes:
+    """One WARC/1.1 record, archived at ``date``; a revisit carries no payload but the length and digest of the one it refers to."""
     block = payload if kind == "response" else b""
     head = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{key}>", "Content-Type: application/http; msgtype=response",
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{key}>", f"WARC-Date: {date}", "Content-Type: text/html; charset=utf-8",
         f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}",
     ]
     if kind == "revisit":
@@ -172,6 +175,8 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
     folder = folder.replace("file:///", "file:/").replace("file:/", "file:///")
     dictionary = train_dictionary(pages, html)
     rows = with_references(pages, page_id, url, html)
+    # One time for all records, so a task that runs again writes the same.
+    date = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, done = None, []
@@ -184,7 +189,7 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
                 key = "" if row["page_id"] is None else str(row["page_id"])
                 refers = row["refers_to"]
                 address = " ".join(row["url"].split())  # a header is one line
-                writer.add(record("response" if refers is None else "revisit", key, address, row["payload"], row["digest"], str(refers)))
+                writer.add(record("response" if refers is None else "revisit", key, address, row["payload"], row["digest"], str(refers), date))
         if writer:
             done.append(writer.close())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True) if done else [[], [], []], (pa.string(), pa.int64(), pa.int64()), strict=True)], ["path", "records", "bytes"])
@@ -227,4 +232,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return manifest.select("path").repartition("path").mapInArrow(extract, schema)
+    # An archive per task; the manifest has a row per archive, so numbering it is small work. Empty without archives.
+    tasks = max(1, min(manifest.count(), MOST_READERS))
+    dealt = manifest.select("path", ((F.row_number().over(Window.orderBy("path")) - 1) % tasks).cast("int").alias("task"))
+    return dealt.repartitionById(tasks, F.col("task")).select("path").mapInArrow(extract, schema)
