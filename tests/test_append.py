@@ -58,9 +58,10 @@ def test_a_feed_added_equals_a_load_of_both(spark, tmp_path, monkeypatch, broadc
 
 
 def test_feeds_are_added_one_after_the_other(spark, tmp_path):
-    root, lines = str(tmp_path / "added"), FIRST + SECOND
+    # Without the outlier: copies of it in two feeds would be capped by two medians, and both stay.
+    root, lines = str(tmp_path / "added"), FIRST + SECOND[:2] + SECOND[4:]
     load_warehouse(feed(spark, lines[:4]), root)
-    for begin, end in ((4, 8), (8, 12)):
+    for begin, end in ((4, 7), (7, 10)):
         append_feed(feed(spark, lines[begin:end]), root)
     # Feeds without new lines, or without lines, and one that fails a check.
     assert [append_feed(feed(spark, more), root).n_lines for more in (lines[:2], [])] == [0, 0]
@@ -98,9 +99,10 @@ def test_feeds_added_at_once_are_both_there(spark, tmp_path):
     root = str(tmp_path / "added")
     load_warehouse(feed(spark, FIRST), root)
     with ThreadPoolExecutor(2) as pool:
-        list(pool.map(lambda lines: append_feed(feed(spark, lines), root), [SECOND[:3], SECOND[3:]]))
+        list(pool.map(lambda lines: append_feed(feed(spark, lines), root), [SECOND[:2], SECOND[4:]]))
     wh = read_warehouse(spark, root)
-    assert wh.rows("fact_sales") == 8 and published_run(spark, root).count("+") == 2
+    assert wh.rows("fact_sales") == 7
+    assert published_run(spark, root).count("+") == 2
     require_passed(constraint_checks(wh))
 
 
