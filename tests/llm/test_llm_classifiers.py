@@ -88,16 +88,77 @@ def test_languages(spark):
     assert language_id.identify(empty(spark), model).count() == 0
 
 
+def plain_bundle(space, text):
+    """A text's vector by definition: letter by letter, n-gram by n-gram, in Python numbers."""
+    word = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    points = [0] + [ord(c) if c != " " else 0 for c in " ".join(word.split())] + [0]
+    out = np.zeros(space.dimensions)
+    if len(points) == 2:
+        return out
+
+    def vector(point, place):
+        bits = np.unpackbits(space.letters(np.array([point])).view(np.uint8))
+        return np.roll(1 - 2 * bits.astype(int), 64 * place)
+
+    for i in range(len(points) - space.ngram + 1):
+        out += np.prod([vector(p, place) for place, p in enumerate(points[i : i + space.ngram])], axis=0)
+    return out
+
+
 def test_bundles_equal_sums_of_bound_vectors():
-    space = language_id.Hypervectors(64)
-    texts = ["Abc déf", "ab", "", None, "漢字 \U00020000x"]
-    got = space.bundles([space.grams(t) for t in texts], np.arange(len(texts)), len(texts))
-    for row, text in zip(got, texts):
-        grams, counts = space.grams(text)
-        expected = np.zeros(64)
-        for g, n in zip(grams, counts):
-            expected += n * space.placed[0][g >> 16] * space.placed[1][g >> 8 & 255] * space.placed[2][g & 255]
-        assert np.allclose(row, expected)
+    for ngram in (2, 3):
+        space = language_id.Hypervectors(128, ngram)
+        texts = ["Abc déf", "ab", "", None, "漢字 \U00020000x", "12 --", "a", " ünd  so. weiter "] + [prose(i, 30) for i in range(150)]
+        got = space.bundles([space.grams(t) for t in texts], np.arange(len(texts)), len(texts))
+        assert np.array_equal(got, np.stack([plain_bundle(space, t) for t in texts]))
+    with pytest.raises(ValueError):
+        language_id.Hypervectors(100)
+
+
+def test_no_two_letters_share_a_vector():
+    space = language_id.Hypervectors()
+    letters = np.array([ord(c) for c in "abcdefghijklmnopqrstuvwxyzабвгдежзийклмнопрстуфхцчшщъыьэюяあいうえおかきくけこ漢字語"])
+    signs = 1 - 2.0 * np.unpackbits(space.letters(letters).view(np.uint8), axis=1)
+    cosines = signs @ signs.T / space.dimensions
+    assert np.abs(cosines - np.eye(len(letters))).max() < 0.1
+
+
+def test_identify_equals_brute_force(spark):
+    stems = {"xx": "xyzw", "mm": "mnpq", "ru": "шщжэ", "kk": "かきくけ"}
+    rows = [(100 + i, prose(i, 3 + i % 20, stem), lang, "s", 1) for i, (lang, stem) in enumerate([*stems.items()] * 8)]
+    docs = docs_of(spark, rows + MESSY)
+    model = language_id.train(docs.where("doc_id % 4 <> 2"), dimensions=256)
+    space = language_id.Hypervectors(256)
+    data = docs.collect()
+    sums = {}
+    for r in data:
+        if r.doc_id is not None and r.doc_id % 4 != 2 and r.lang is not None:
+            sums[r.lang] = sums.get(r.lang, 0) + plain_bundle(space, r.text)
+    sums = {k: v for k, v in sums.items() if v.any()}
+    expected = []
+    for r in data:
+        mine = plain_bundle(space, r.text)
+        cosine = {k: mine @ v / max(np.linalg.norm(mine) * np.linalg.norm(v), 1e-9) for k, v in sums.items()}
+        best = max(sorted(cosine), key=lambda k: cosine[k])
+        expected.append((r.doc_id, best if mine.any() else "und", max(0.0, cosine[best]) if mine.any() else 0.0))
+    got = language_id.identify(docs, model).collect()
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    for a, b in zip(sorted(map(tuple, got), key=order), sorted(expected, key=order), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-5
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        language_id.train(docs, dimensions=64, most_languages=3)
+
+
+def test_close_languages_of_one_script(spark):
+    # The same letters in both, in another order; held-out texts of five words.
+    rng = random.Random(3)
+    words = {"r1": ["молоко", "дорога", "город", "вода", "берег", "слово", "голова", "ворона"], "r2": ["млеко", "драга", "град", "вадо", "брег", "волос", "глава", "врана"]}
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(5 if i % 4 == 2 else 30)), lang, "s", 1) for i in range(200) for lang in ("r1", "r2")]
+    docs = docs_of(spark, rows)
+    model = language_id.train(docs.where("doc_id % 4 <> 2"))
+    held = docs.where("doc_id % 4 = 2").withColumn("doc_id", F.concat_ws(":", "lang", "doc_id"))
+    found = language_id.identify(held, model).collect()
+    assert len(found) == 100 and np.mean([r.doc_id.split(":")[0] == r.lang_pred for r in found]) > 0.95
 
 
 def test_sentences_know_their_bytes():

@@ -1,122 +1,110 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a fixed random vector of +1 and -1. An n-gram's vector is the product (binding) of its letters'
-vectors, each rotated (permuted) by its place; a text's vector is the sum (bundle) of its n-grams' vectors, and a
-language's prototype the bundle of its texts. A document gets the language whose prototype has the largest cosine.
+Every letter has a random vector of +1 and -1, drawn from its code point, so no two letters share one. An n-gram's vector
+is the product (binding) of its letters' vectors, each rotated (permuted) by its place; a text's vector is the sum (bundle)
+of its n-grams' vectors, and a language's prototype the bundle of its texts. A document gets the language whose prototype
+has the largest cosine.
+
+Vectors are held as bits, 1 for -1, so that binding is exclusive or; they are unpacked only where they are summed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.words import U64, chunks, column, segment_starts, stream
+from tillroll.llm.words import U64, chunks, column, mix, segment_starts, stream
 
-DIMENSIONS = 512
+DIMENSIONS = 4096
 NGRAM = 3
-# Letters beyond a-z share this many vectors, by hash; 0 stands for the gap between words.
-LETTERS = 256
 UNKNOWN = "und"
-# Distinct n-grams that are bundled at once.
+# Distinct n-grams, and texts, that are bundled at once.
 SLICE = 4096
+TEXTS = 64
 
+# A code point has 21 bits; three fill a 64-bit number.
+_POINT_BITS = 21
+_POINT = U64((1 << _POINT_BITS) - 1)
 
-def _letter_codes() -> np.ndarray:
-    """Code of each character of the basic plane: 0 for what is no letter."""
-    codes = np.zeros(0x10000, np.uint8)
-    spread = 27 + (stream(3, 0x10000) >> U64(33)).astype(np.int64) % (LETTERS - 27)
-    for c in range(0x10000):
-        if not 0xD800 <= c < 0xE000 and chr(c).isalpha():
-            codes[c] = spread[c]
-    codes[ord("a") : ord("z") + 1] = np.arange(1, 27)
-    return codes
 
+@cache
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.array([not 0xD800 <= c < 0xE000 and chr(c).isalpha() for c in range(0x110000)])
 
-class Hypervectors:
-    """Vectors of letters by place, and of n-grams; the latter are kept for the most recent n-grams."""
 
-    KEPT = 1 << 16
+class Hypervectors:
+    """Vectors of letters, and of n-grams of at most three letters; ``dimensions`` is a multiple of 64."""
 
     def __init__(self, dimensions: int = DIMENSIONS, ngram: int = NGRAM):
+        if dimensions < 64 or dimensions % 64 or not 1 <= ngram <= 3:
+            raise ValueError("dimensions must be a multiple of 64, and n-grams have one to three letters")
         self.dimensions, self.ngram = dimensions, ngram
-        bits = stream(5, LETTERS * dimensions).reshape(LETTERS, dimensions) >> U64(63)
-        letters = (1 - 2 * bits.astype(np.int8)).astype(np.int8)
-        self.placed = [np.roll(letters, place, axis=1) for place in range(ngram)]
-        self.codes = _letter_codes()
-        self.row = np.full(1 << (8 * ngram), -1, np.int32)  # of the kept vectors, by n-gram
-        self.kept, self.n = np.zeros((self.KEPT, dimensions), np.int8), 0
+        self.seeds = stream(5, dimensions // 64)
 
     def grams(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Distinct n-grams of a text with their counts; none without a letter. Gaps between words count once."""
         points = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), "<u4")
-        codes = self.codes[np.minimum(points, 0xFFFF)]
-        beyond = points > 0xFFFF
-        if beyond.any():
-            letter = np.array([chr(c).isalpha() for c in points[beyond]])
-            codes[beyond] = np.where(letter, 27 + points[beyond] % (LETTERS - 27), 0)
+        codes = np.where(_letters()[points], points, 0).astype(U64)
         if not codes.any():
-            return np.zeros(0, np.int32), np.zeros(0)
-        codes = np.concatenate([[0], codes, [0]]).astype(np.int32)
+            return np.zeros(0, U64), np.zeros(0)
+        codes = np.concatenate([[U64(0)], codes, [U64(0)]])
         codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]
-        gram = np.zeros(len(codes) - self.ngram + 1, np.int32)
+        n = len(codes) - self.ngram + 1
+        gram = np.zeros(n, U64)
         for place in range(self.ngram):
-            gram = gram << 8 | codes[place : len(codes) - self.ngram + 1 + place]
+            gram = gram << U64(_POINT_BITS) | codes[place : n + place]
         gram.sort()
         first = segment_starts(gram)
         return gram[first], np.diff(np.append(first, len(gram))).astype(np.float64)
 
-    def vectors(self, grams: np.ndarray) -> np.ndarray:
-        rows = self.row[grams]
-        missing = grams[rows < 0]
-        if len(missing):
-            if self.n + len(missing) > self.KEPT:
-                self.row[:], self.n = -1, 0
-                if len(grams) > self.KEPT:
-                    return self._bind(grams)
-                missing = grams
-            self.row[missing] = np.arange(self.n, self.n + len(missing), dtype=np.int32)
-            self.kept[self.n : self.n + len(missing)] = self._bind(missing)
-            self.n += len(missing)
-            rows = self.row[grams]
-        return self.kept[rows]
-
-    def _bind(self, grams: np.ndarray) -> np.ndarray:
-        out = np.ones((len(grams), self.dimensions), np.int8)
+    def letters(self, points: np.ndarray) -> np.ndarray:
+        """Vectors of code points, 64 bits a number; 0 is the gap between words."""
+        return mix(mix(points.astype(U64) + U64(1))[:, None] ^ self.seeds[None, :])
+
+    def bind(self, grams: np.ndarray) -> np.ndarray:
+        """Vectors of n-grams; a letter's is rotated by 64 dimensions a place."""
+        out = np.zeros((len(grams), len(self.seeds)), U64)
         for place in range(self.ngram):
-            out *= self.placed[place][grams >> (8 * (self.ngram - 1 - place)) & 255]
+            points, at = np.unique(grams >> U64(_POINT_BITS * (self.ngram - 1 - place)) & _POINT, return_inverse=True)
+            out ^= np.roll(self.letters(points), place, axis=1)[at]
         return out
 
     def bundles(self, found: list[tuple[np.ndarray, np.ndarray]], group: np.ndarray, n_groups: int) -> np.ndarray:
-        """Per group, the sum of the n-gram vectors of its texts; a slice of distinct n-grams at a time."""
-        grams = np.concatenate([g for g, _ in found])
-        counts = np.concatenate([c for _, c in found]).astype(np.float32)
-        owner = np.repeat(group, [len(g) for g, _ in found])
-        order = np.argsort(grams, kind="stable")
-        grams, counts, owner = grams[order], counts[order], owner[order]
-        first = segment_starts(grams)
-        out, bounds = np.zeros((n_groups, self.dimensions), np.float32), np.append(first, len(grams))
-        for i in range(0, len(first), SLICE):
-            low, high = bounds[i], bounds[min(i + SLICE, len(first))]
-            distinct = grams[first[i : i + SLICE]]
-            place = np.searchsorted(distinct, grams[low:high])
-            table = np.bincount(owner[low:high] * len(distinct) + place, counts[low:high], n_groups * len(distinct))
-            out += table.astype(np.float32).reshape(n_groups, len(distinct)) @ self.vectors(distinct).astype(np.float32)
+        """Per group, the sum of the n-gram vectors of its texts; a slice of distinct n-grams of some groups at a time."""
+        out = np.zeros((n_groups, self.dimensions))
+        order = np.argsort(group, kind="stable")
+        bounds = np.searchsorted(group[order], np.arange(0, n_groups + TEXTS, TEXTS))
+        for i, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            texts = order[low:high]
+            if len(texts):
+                self._bundle([found[t] for t in texts], group[texts] - i * TEXTS, out[i * TEXTS : (i + 1) * TEXTS])
         return out
 
-
-_built: dict[tuple[int, int], Hypervectors] = {}
-
-
+    def _bundle(self, found: list[tuple[np.ndarray, np.ndarray]], group: np.ndarray, out: np.ndarray) -> None:
+        counts = np.concatenate([c for _, c in found])
+        owner = np.repeat(group, [len(g) for g, _ in found])
+        distinct, place = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
+        order = np.argsort(place, kind="stable")
+        counts, owner, place = counts[order], owner[order], place[order]
+        for i in range(0, len(distinct), SLICE):
+            low, high = np.searchsorted(place, [i, i + SLICE])
+            size = min(SLICE, len(distinct) - i)
+            table = np.bincount(owner[low:high] * size + place[low:high] - i, counts[low:high], len(out) * size).reshape(len(out), size)
+            negative = np.unpackbits(self.bind(distinct[i : i + size]).view(np.uint8), axis=1)
+            out += table.sum(1, keepdims=True) - 2 * (table.astype(np.float32) @ negative.astype(np.float32)).astype(np.float64)
+
+
+@cache
 def hypervectors(dimensions: int, ngram: int) -> Hypervectors:
     """Built once per Python worker."""
-    if (dimensions, ngram) not in _built:
-        _built[dimensions, ngram] = Hypervectors(dimensions, ngram)
-    return _built[dimensions, ngram]
+    return Hypervectors(dimensions, ngram)
 
 
 @dataclass
@@ -132,7 +120,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: i
 
     Each task adds up the n-gram counts of its texts by language and emits one vector for each; these are summed
     by language, so what is shuffled and collected is bounded by languages, of which there may be
-    ``most_languages``. A null text, one without a letter, or a null language teaches nothing.
+    ``most_languages``; the driver gets four bytes for each of their dimensions. A null text, one without a letter, or a
+    null language teaches nothing.
     """
     picked = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("text is not null and lang is not null")
 
@@ -148,11 +137,13 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: i
 
     parts = picked.mapInArrow(bundles, "lang string, vector array<double>")
     sums = parts.select("lang", F.posexplode("vector").alias("at", "value")).groupBy("lang", "at").agg(F.sum("value").alias("value"))
-    rows = sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("vector")).orderBy("lang").limit(most_languages + 1).collect()
-    if len(rows) > most_languages:
+    ordered = sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("vector"))
+    wide = ordered.select("lang", F.transform("vector", lambda x: x["value"].cast("float")).alias("vector"))
+    rows = wide.orderBy("lang").limit(most_languages + 1).toArrow()
+    if rows.num_rows > most_languages:
         raise ValueError(f"more than {most_languages} languages")
-    vectors = {r["lang"]: np.array([x["value"] for x in r["vector"]]) for r in rows}
-    vectors = {k: v / np.linalg.norm(v) for k, v in vectors.items() if v.any()}
+    sums_of = rows["vector"].combine_chunks().flatten().to_numpy().reshape(-1, dimensions).astype(np.float64)
+    vectors = {k: v / np.linalg.norm(v) for k, v in zip(rows["lang"].to_pylist(), sums_of, strict=True) if v.any()}
     prototypes = np.stack(list(vectors.values())) if vectors else np.zeros((0, dimensions))
     return LanguageModel(list(vectors), prototypes.astype(np.float32), dimensions, ngram)
 
