@@ -25,8 +25,8 @@ DIMENSIONS = 4096
 NGRAM = 3
 UNKNOWN = "und"
 # Distinct n-grams, and texts, that are bundled at once.
-SLICE = 4096
-TEXTS = 64
+SLICE = 512
+TEXTS = 128
 
 # A code point has 21 bits; three fill a 64-bit number.
 _POINT_BITS = 21
