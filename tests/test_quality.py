@@ -79,6 +79,27 @@ def test_constraints(spark, facts, dims, expected):
     assert failures(Q.constraint_checks(warehouse(spark, facts, **dims))) == expected
 
 
+@pytest.mark.parametrize(
+    ("keys", "gapless"),
+    [
+        ([], True), ([7], True), ([3, 1, 2], True), ([5, None, 4, 6, None], True), ([-1, 0, 1], True), ([None], True),
+        ([1, 1, 3], False), ([1, 2, 2, 4], False), ([1, 1, 4, 4], False), ([1, 3], False), ([2, 2], False), ([1, 2, 2, 2, 5], False),
+    ],
+)
+def test_gapless_keys_are_proven(spark, keys, gapless):
+    assert Q.is_gapless(spark.createDataFrame([(k,) for k in keys], "sale_key bigint"), "sale_key") == gapless
+    assert Q.is_gapless(spark.createDataFrame([(k,) for k in keys], "sale_key int"), "sale_key") == gapless
+
+
+def test_numbered_lines_are_not_shuffled_to_prove_them_unique(spark):
+    def plan(keys):
+        wh = warehouse(spark, [{"sale_key": k, "order_id": f"O{k}"} for k in keys])
+        return Q.constraint_checks(wh)._jdf.queryExecution().executedPlan().toString()
+
+    assert "hashpartitioning(sale_key" not in plan(range(2, 9))
+    assert "hashpartitioning(sale_key" in plan([2, 9])
+
+
 def test_a_broken_load_is_not_published(spark, tmp_path):
     root = str(tmp_path)
     load_warehouse(feed(spark, MINI_FEED), root)
