@@ -183,11 +183,17 @@ def _published(spark: SparkSession, root: str) -> DataFrame:
 def _claim(spark: SparkSession, path: str, run: str) -> bool:
     """Create the file with the run's name in it, unless there is one; whether it is this run's in the end.
 
-    As atomic as the file system's creation without overwriting, which its reading back backs up.
+    As atomic as the file system's creation without overwriting, which its reading back backs up. Hadoop's local file system
+    looks for the file first and creates it then, so there (shared mounts included) the operating system creates it.
     """
     target, files = _files(spark, path)
+    local = files.getUri().getScheme() == "file"
+    if local:
+        files.mkdirs(target.getParent())
+        if not spark._jvm.java.io.File(files.makeQualified(target).toUri()).createNewFile():
+            return False
     try:
-        out = files.create(target, False)
+        out = files.create(target, local)
     except Py4JJavaError as taken:
         if files.exists(target):
             return False
