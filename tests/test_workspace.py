@@ -1,0 +1,31 @@
+"""What passes over the feed once neither writes nor sorts it."""
+
+from pathlib import Path
+
+import pytest
+
+from harness import registry
+from harness.feed import messy_feed
+from harness.workspace import Workspace
+from tillroll.operators.staging import Staging
+
+SF_DIR = Path("/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no driver tables")
+
+
+@pytest.mark.parametrize("name", ["title_case", "canonical_category", "coerce_numbers", "date_attributes", "derive_amounts"])
+def test_a_single_pass_stores_nothing(spark, name):
+    ws = Workspace(spark, Staging(spark), messy_feed(spark, str(SF_DIR)))
+    assert registry.QUERIES[name](ws).count() > 0
+    assert not Path(ws.staging.folder.removeprefix("file:")).exists()
+
+
+def test_lines_move_once_to_meet_their_orders(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = messy_feed(spark, str(SF_DIR))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(l_orderkey" in line]
+    assert len(moved) == 1
