@@ -56,7 +56,7 @@ def canonical(ws: Workspace) -> DataFrame:
 
 
 def imputed(ws: Workspace) -> DataFrame:
-    return impute_defaults(ws.typed).select("order_id", "customer_name", "region")
+    return impute_defaults(ws.lines).select("order_id", "customer_name", "region")
 
 
 def parsed_dates(ws: Workspace) -> DataFrame:
@@ -64,7 +64,7 @@ def parsed_dates(ws: Workspace) -> DataFrame:
 
 
 def attributes(ws: Workspace) -> DataFrame:
-    dated = ws.typed.where(F.col("order_date").isNotNull())
+    dated = ws.lines.where(F.col("order_date").isNotNull())
     return dated.select("order_id", *date_attributes(F.col("order_date")))
 
 
@@ -78,7 +78,7 @@ def coerced(ws: Workspace) -> DataFrame:
 
 
 def amounts(ws: Workspace) -> DataFrame:
-    return derive_amounts(drop_invalid(ws.typed)).select(
+    return derive_amounts(drop_invalid(ws.lines)).select(
         "order_id", "category", "quantity", "unit_price", "discount_percent", "gross_amount", "discount_amount",
         "net_amount", "cost_ratio", "cost_amount", "profit_amount",
     )
@@ -88,7 +88,7 @@ def amounts(ws: Workspace) -> DataFrame:
 
 
 def valid_lines(ws: Workspace) -> DataFrame:
-    return drop_invalid(ws.typed).drop(ORDINAL)
+    return drop_invalid(ws.lines).drop(ORDINAL)
 
 
 def capped(ws: Workspace) -> DataFrame:
