@@ -33,7 +33,7 @@ def brute_force(learned, kept):
         rows[r.bucket][r.kind].append(bytes(r.data))
     for kinds in rows.values():
         word, context, n = P._read_pairs(kinds[P._PAIRS])
-        seats = P._read_counts(kinds[P._SEATS])
+        seats = P._read_seats(kinds[P._SEATS])
         drawn = np.ones(len(n), int)
         if len(n):
             drawn[n > 1] = seats.tables[kept]
@@ -76,7 +76,7 @@ def test_scores_follow_from_counts_and_tables(spark, share, buckets):
         assert of_context == told
         guests = {w: sum(tables[w].values()) for w in words}
         customers, n_tables = sum(guests.values()), sum(parent.values())
-        assert (customers, n_tables) == (model.totals[kept + 1].customers, model.totals[kept + 1].tables)
+        assert (customers, n_tables) == (model.totals[kept + 1].parent_customers, model.totals[kept + 1].parent_tables)
         new = (theta + d0 * n_tables) / (theta + customers)
         for u in tokens:
             back = (theta + d * of_context[u]) / (theta + tokens[u])

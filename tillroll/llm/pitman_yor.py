@@ -55,9 +55,10 @@ _PAIRS, _SEATS, _CONTEXTS, _ADDED, _REPLY = range(5)
 
 @dataclass
 class Tokens:
-    """Tokens of some texts in order, the end of each included: word hash and text."""
+    """Tokens of some texts in order, the end of each included: word hash, context and text."""
 
     word: np.ndarray
+    context: np.ndarray
     text: np.ndarray
 
 
@@ -72,7 +73,8 @@ def tokens_of(texts: pa.Array) -> Tokens:
     place = np.arange(total) + words.text  # each text so far has one end
     word, text = np.full(total + len(n), _END, U64), np.repeat(np.arange(len(n)), n + 1)
     word[place] = words.hashes()
-    return Tokens(word, text)
+    # Every text but the first stands behind the end of another.
+    return Tokens(word, context_of(np.concatenate([np.full(1, _END, U64), word])[: len(word)]), text)
 
 
 def pairs_of(token: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -142,8 +144,8 @@ def seat(customers: np.ndarray, rate: np.ndarray, start: np.ndarray, discount: f
 class Totals:
     """What a sweep leaves behind: customers and tables of the parent, and its customers and tables for each hot word."""
 
-    customers: int
-    tables: int
+    parent_customers: int
+    parent_tables: int
     hot_guests: np.ndarray
     hot_tables: np.ndarray
 
@@ -170,17 +172,17 @@ class Model:
 
     def new_table(self, totals: Totals) -> float:
         """The probability that the parent's next customer gets a new table."""
-        return (CONCENTRATION + self.parent_discount * totals.tables) / (CONCENTRATION + totals.customers)
+        return (CONCENTRATION + self.parent_discount * totals.parent_tables) / (CONCENTRATION + totals.parent_customers)
 
     def parent(self, sweep: int, guests: np.ndarray, tables: np.ndarray, is_known: np.ndarray) -> np.ndarray:
         """The parent's probability of words after a sweep."""
         totals = self.totals[sweep + 1]
         base = np.where(is_known, self.known(), self.unknown())
-        return np.maximum(guests - self.parent_discount * tables, 0) / (CONCENTRATION + totals.customers) + self.new_table(totals) * base
+        return np.maximum(guests - self.parent_discount * tables, 0) / (CONCENTRATION + totals.parent_customers) + self.new_table(totals) * base
 
     def seat_parent(self, sweep: int, guests: np.ndarray, tables: np.ndarray, salt: np.ndarray) -> np.ndarray:
         """The parent's tables of words with ``guests`` customers, who had ``tables`` before."""
-        start = CONCENTRATION + self.parent_discount * np.maximum(self.totals[sweep].tables - tables, 0)
+        start = CONCENTRATION + self.parent_discount * np.maximum(self.totals[sweep].parent_tables - tables, 0)
         draws = Draws(salt.astype(U64) ^ mix(np.array([self.seed * 1000 + sweep], U64)))
         return seat(guests, np.full(len(guests), self.known()), start, self.parent_discount, stirling(self.parent_discount), draws)
 
@@ -233,7 +235,7 @@ class Seats:
             guests, parent = np.where(home, guests, before.hot_guests[hot]), np.where(home, parent, before.hot_tables[hot])
         others = guests[self.of] - tables
         held = np.minimum(parent[self.of], others)
-        rate = np.maximum(others - model.parent_discount * held, 0) / (CONCENTRATION + before.customers) + model.new_table(before) * model.known()
+        rate = np.maximum(others - model.parent_discount * held, 0) / (CONCENTRATION + before.parent_customers) + model.new_table(before) * model.known()
         of_context = (self.base + told)[self.contexts()[1]]
         start = CONCENTRATION + model.discount * np.maximum(of_context - tables, 0)
         draws = Draws(self.salt[self.of].astype(U64) ^ mix(self.context + U64((model.seed * 1000 + k) << 48)))
@@ -243,6 +245,39 @@ class Seats:
         self.tables.append(tables)
         self.parents.append(seated)
 
+    def packed(self) -> bytes:
+        numbers = [x for pair in zip(self.tables, self.parents, strict=True) for x in pair]
+        of = np.bincount(self.of, minlength=len(self.salt))
+        return _pack(self.salt, _small(self.hot_at + 1), *map(_small, [self.singles, of]), *_split(self.context), *map(_small, [self.n, self.base, *numbers]))
+
+
+@dataclass
+class Dishes:
+    """The words and pairs of one bucket with what was drawn: word, context and tokens of each pair, sorted."""
+
+    word: np.ndarray
+    context: np.ndarray
+    n: np.ndarray
+    seats: Seats
+
+    def __post_init__(self) -> None:
+        begin = segment_starts(self.word)
+        self.of = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(self.word))))
+
+    def tables(self, k: int) -> np.ndarray:
+        """Tables of each pair after a sweep."""
+        tables = np.ones(len(self.n), np.int64)
+        tables[self.n > 1] = self.seats.tables[k]
+        return tables
+
+    def sweeps(self, model: Model, bucket: int, upto: int) -> Iterator[tuple[Totals, np.ndarray, np.ndarray]]:
+        """Per sweep, the totals, the tables of each pair, and the parent's probability of each word."""
+        hot, seats = self.seats.hot_at >= 0, self.seats
+        for k in range(upto):
+            totals, guests, parent = model.totals[k + 1], seats.guests(seats.tables[k]), seats.parents[k].copy()
+            guests[hot], parent[hot] = totals.hot_guests[seats.hot_at[hot]], totals.hot_tables[seats.hot_at[hot]]
+            yield totals, self.tables(k), model.parent(k, guests, parent, np.ones(len(guests), bool))
+
     def predictive(self, model: Model, bucket: int) -> np.ndarray:
         """Averaged probability of each word of the bucket in a context without customers: [word, context]; hot words have a
         row of their own instead of a bucket."""
@@ -250,15 +285,9 @@ class Seats:
             known, numbers = model.hot["n"] > 0, model.hot["p"].T
             parts = [model.parent(k, numbers[i], numbers[len(_KEPT) + i], known)[known] for i, k in enumerate(_KEPT)]
         else:
-            home = self.hot_at < 0
-            parts = [model.parent(k, self.guests(self.tables[k])[home], self.parents[k][home], np.ones(home.sum(), bool)) for k in _KEPT]
+            parts = [p[self.seats.hot_at < 0] for k, (_, _, p) in enumerate(self.sweeps(model, bucket, SWEEPS)) if k in _KEPT]
         return np.mean(parts, axis=0)[:, None]
 
-    def packed(self) -> bytes:
-        numbers = [x for pair in zip(self.tables, self.parents, strict=True) for x in pair]
-        of = np.bincount(self.of, minlength=len(self.salt))
-        return _pack(self.salt, _small(self.hot_at + 1), *map(_small, [self.singles, of]), *_split(self.context), *map(_small, [self.n, self.base, *numbers]))
-
 
 def unknown_probability(model: Model) -> np.ndarray:
     """Averaged probability of the unknown word in a context without customers."""
@@ -442,7 +471,7 @@ def _first_seats(hot: np.ndarray):
     return run
 
 
-def _read_counts(parts: list[bytes]) -> Seats:
+def _read_seats(parts: list[bytes]) -> Seats:
     """The seats of one bucket; of no part, or an empty one, none."""
     if not any(parts):
         none = np.zeros(0, np.int64)
@@ -453,6 +482,18 @@ def _read_counts(parts: list[bytes]) -> Seats:
     return Seats(salt, hot_at - 1, singles, of, _join(high, low), n, base, numbers[0::2], numbers[1::2])
 
 
+def _read_counts(parts: list[bytes]) -> Dishes:
+    """The dishes of one bucket, of its pairs and seats packed as one."""
+    pairs, seats = ([x.tobytes()] for x in _unpack(parts[0])) if any(parts) else ([], [])
+    return Dishes(*_read_pairs(pairs), _read_seats(seats))
+
+
+def _pairs_and_seats(rows: pa.Table) -> pa.Table:
+    by_kind = dict(zip(rows["kind"].to_pylist(), rows["data"].to_pylist(), strict=True))
+    packed = _pack(*[np.frombuffer(by_kind[kind], np.uint8) for kind in (_PAIRS, _SEATS)])
+    return pa.table({"bucket": rows["bucket"].slice(0, 1), "counts": pa.array([packed], pa.binary())})
+
+
 def _sent(source: int, context: np.ndarray, numbers: list[np.ndarray], buckets: int) -> pa.RecordBatch:
     """Numbers of distinct contexts (sorted) to the buckets of those words."""
     bounds = np.searchsorted(_bucket(context << U64(16), buckets), np.arange(buckets + 1))
@@ -481,7 +522,7 @@ def _ask_added(buckets: int, sweeps: range, answer: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                seats = _read_counts([row["counts"]])
+                seats = _read_seats([row["counts"]])
                 context = seats.contexts()[0]
                 yield _sent(row["bucket"], context, [*[seats.added(seats.tables[k]) for k in sweeps], *[np.ones(len(context), np.int64)] * answer], buckets)
 
@@ -504,7 +545,7 @@ def _tell(table: pa.Table) -> pa.Table:
 
 def _sweep(model: Model, k: int):
     def run(seats: pa.Table, told: pa.Table) -> pa.Table:
-        found = _read_counts([seats["counts"][0].as_py()])
+        found = _read_seats([seats["counts"][0].as_py()])
         told = told.sort_by("part")
         found.sweep(model, k, _whole([_unpack(x.as_py())[0] for x in told["data"]]))
         guests, hot = found.guests(found.tables[-1]), found.hot_at >= 0
@@ -517,10 +558,9 @@ def _sweep(model: Model, k: int):
 
 @dataclass
 class Learned:
-    """The model; per bucket its seats (bucket, counts); and all that scoring needs of a bucket (bucket, kind, data)."""
+    """The model, and all that scoring needs of a bucket (bucket, kind, data)."""
 
     model: Model
-    seats: DataFrame
     known: DataFrame
 
 
@@ -562,15 +602,16 @@ def learn(docs: DataFrame, staging: Staging, hot: np.ndarray, buckets: int, text
 
     added = seats.mapInArrow(_ask_added(buckets, _KEPT, False), sent)
     known = [rows(pairs, _PAIRS, "counts"), rows(seats, _SEATS, "counts"), rows(contexts.where(F.col("kind") == _CONTEXTS), _CONTEXTS, "data"), rows(added, _ADDED, "data")]
-    return Learned(model, seats, reduce(DataFrame.unionByName, known))
+    return Learned(model, reduce(DataFrame.unionByName, known))
 
 
 def train(docs: DataFrame, staging: Staging, buckets: int, text: str = "text") -> tuple[Model, DataFrame]:
-    """The model and (bucket, counts), the seats of each bucket, from every text of ``docs``; hot words have a row of their own."""
+    """The model and (bucket, counts), the dishes of each bucket, from every text of ``docs``; hot words have a row of their own."""
     hot, _ = _frequent(docs, text, HOT_SHARE)
     learned = learn(docs, staging, hot, buckets, text)
+    counts = learned.known.where(F.col("kind").isin(_PAIRS, _SEATS)).groupBy("bucket").applyInArrow(_pairs_and_seats, "bucket int, counts binary")
     hot_row = docs.sparkSession.createDataFrame([(_HOT_ROW, b"")], "bucket int, counts binary")
-    return learned.model, learned.seats.unionByName(hot_row) if len(hot) else learned.seats
+    return learned.model, counts.unionByName(hot_row) if len(hot) else counts
 
 
 # --- scoring ---
@@ -624,14 +665,11 @@ class _Bucket:
             rows.setdefault(kind, []).append(data)
         word, context, n = _read_pairs(rows.get(_PAIRS, []))
         begin = segment_starts(word)
-        seats = _read_counts(rows.get(_SEATS, []))
+        seats = _read_seats(rows.get(_SEATS, []))
+        dishes = Dishes(word, context, n, seats)
         self.words, self.tokens = word[begin], np.add.reduceat(n, begin) if len(begin) else n
         self.of_word = [self.tokens, *[seats.guests(seats.tables[k]) for k in _KEPT], *[seats.parents[k] for k in _KEPT]]
-        of_pair = [n]
-        for k in _KEPT:
-            tables = np.ones(len(n), np.int64)
-            tables[n > 1] = seats.tables[k]
-            of_pair.append(tables)
+        of_pair = [n, *[dishes.tables(k) for k in _KEPT]]
         ids = _pair_id(word, context)
         order = np.argsort(ids)
         self.pairs, self.of_pair = ids[order], [x[order] for x in of_pair]
