@@ -6,7 +6,7 @@ the same feed independently.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.sources.schemas import ORDINAL
@@ -28,27 +28,58 @@ def _one_of(selector: Column, *choices: Column) -> Column:
     return picked
 
 
-def messy_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_LINE = ["l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_linestatus", "p_name", "p_type", "p_retailprice"]
+_ORDER = ["o_orderdate", "o_orderpriority", "c_custkey", "c_name", "r_name"]
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with what the feed says of their customers."""
+    nation, region, customer, orders = (_table(spark, sf_dir, name) for name in ("nation", "region", "customer", "orders"))
+    geography = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return (
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(F.broadcast(geography), F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("o_orderkey", *_ORDER)
+    )
+
 
-    geography = table("nation").join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+def messy_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed, in any order."""
     # The driver's table is one small file with one row group, which a single task would read and write. Dealt by its order,
     # a line does not move again to meet it; customers and countries are joined to the orders, of which there are fewer.
     # The number is fixed, since the few bytes of a line would be merged to fewer tasks than making its text needs.
     sized = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    lineitem = table("lineitem").repartition(int(sized or spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
-    orders = (
-        table("orders")
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(F.broadcast(geography), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("o_orderkey", "o_orderdate", "o_orderpriority", "c_custkey", "c_name", "r_name")
-    )
-    joined = (
+    lineitem = _table(spark, sf_dir, "lineitem").repartition(int(sized or spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+    return _as_text(
         lineitem
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(_orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
+
+
+def feed_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in feed order.
+
+    Lines and orders are sorted by order as one table, so a line meets its order where it is sorted to, and becomes text only there.
+    """
+    lineitem, part = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "part")
+    orders = _orders(spark, sf_dir).where(F.col("o_orderkey").isNotNull())
+    lines = lineitem.where(F.col("l_orderkey").isNotNull()).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    both = lines.select("l_orderkey", F.lit(1).alias("is_line"), *_LINE).unionByName(
+        orders.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).alias("is_line"), F.struct(*_ORDER).alias("order")), allowMissingColumns=True)
+    # Orders come before their lines; a key that several orders have gives its lines once for each.
+    sorting = Window.partitionBy("l_orderkey").orderBy("is_line", "l_partkey", "l_quantity", "l_extendedprice")
+    met = both.repartitionByRange("l_orderkey").withColumn("orders", F.collect_list("order").over(sorting.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = met.where("is_line = 1").withColumn("order", F.explode("orders"))
+    return _as_text(joined.select("l_orderkey", *_LINE, "order.*"))
+
+
+def _as_text(joined: DataFrame) -> DataFrame:
+    """The texts of lines with their orders and products, a row per copy."""
     h = F.col("l_orderkey") * 31 + F.col("l_partkey") * 7 + F.col("l_linenumber")
 
     def every(n: int) -> Column:
@@ -63,7 +94,7 @@ def messy_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(category == "Beauty", _one_of(h % 2, F.lit("Beauty & Personal Care"), F.lit("beauty")))
         .otherwise(category)
     )
-    product = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
+    product = F.concat_ws(" ", "p_name", F.col("l_partkey").cast("string"))
     price = F.col("p_retailprice").cast("decimal(14,2)")
     lines = joined.select(
         F.concat(F.lit("ORD"), F.col("l_orderkey").cast("string")).alias("order_id"),
