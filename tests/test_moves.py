@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from harness.feed import feed_in_order, messy_feed
 from harness.workspace import workspace
+from tillroll.functions.numbers import derive_amounts
+from tillroll.operators import lookup as lookup_module
 from tillroll.operators import positions
-from tillroll.operators.firsts import first_positions, key_hashes
+from tillroll.operators.firsts import first_positions, first_values, key_hashes
 from tillroll.operators.lookup import measured_bytes
 from tillroll.operators.positions import keep_numbered, number_kept, position_sets
+from tillroll.plans.star import customers, fact, products, regions
 from tillroll.session import TASK_BYTES, tune
 from tillroll.sources.schemas import ORDINAL
 
@@ -62,6 +65,40 @@ def test_first_rows_beyond_the_broadcast_bound_move_only_where_copies_may_be(spa
     assert "firsts-filter" in staging.plans
 
 
+def test_only_rows_that_pass_the_filter_of_hashes_are_shuffled(spark, staging, unbroadcast):
+    rows, _ = copies(spark)
+    first_positions(rows, ["k"], staging, "firsts")
+    behind, before = staging.plans["firsts"].split("Exchange hashpartitioning(_h1", 1)
+    assert "getbit" in before and "getbit" not in behind
+
+
+def test_payloads_of_other_rows_than_the_first_are_not_shuffled(spark, staging, unbroadcast):
+    df = spark.range(5000).select((F.col("id") % 40).alias("k"), F.col("id").alias("o"), (F.col("id") * 3).alias("v")).where("o <> 7").repartition(4)
+    got = first_values(df, "k", ["v"], "o", staging)
+    firsts = {k: k + 40 * (k == 7) for k in range(40)}
+    assert sorted(tuples(got, "k", "v", "first_line", "n_lines")) == [(k, 3 * o, o, 125 - (k == 7)) for k, o in firsts.items()]
+    exchanges = plan(got).split("Exchange hashpartitioning(first_line")
+    assert len(exchanges) == 3 and any("getbit" in text for text in exchanges[1:])
+
+
+def test_lines_go_to_large_dimensions_without_amounts_and_give_the_same_fact(spark, staging, monkeypatch, unbroadcast):
+    numbers = F.col("id").cast("double")
+    lines = spark.range(300).select(
+        (F.col("id") + 1).alias("line_no"), F.concat(F.lit("o"), "id").alias("order_id"), F.lit("1997-02-03").cast("date").alias("order_date"),
+        F.concat(F.lit("c"), F.col("id") % 30).alias("customer_id"), F.lit("n").alias("customer_name"), F.lit("r").alias("region"),
+        F.when(F.col("id") % 9 > 0, F.concat(F.lit("p"), F.col("id") % 70)).alias("product_name"), F.when(F.col("id") % 5 > 0, "Beauty").alias("category"),
+        (numbers + 1).alias("quantity"), (numbers + 0.37).alias("unit_price"), (numbers % 30).alias("discount_percent"), F.lit("m").alias("payment_method"),
+        F.lit("s").alias("sales_channel"))
+    clean = staging.write(derive_amounts(lines), "lines")
+    dims = [staging.write(customers(clean, staging), "c"), staging.write(products(clean, staging), "p"), staging.write(regions(clean, staging), "r").withColumnRenamed("region", "region_name")]
+    small = sorted(map(tuple, fact(clean, *dims).collect()))
+    monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", 0)
+    large = fact(clean, *dims)
+    assert sorted(map(tuple, large.collect())) == small and len(small) == 300
+    behind, before = plan(large).split("Exchange hashpartitioning(_cold_key", 1)
+    assert "rint" in behind and "rint" not in before
+
+
 @pytest.mark.parametrize("bound", ["within", "beyond"])
 def test_first_rows_leave_known_keys_out(spark, staging, request, bound):
     if bound == "beyond":
