@@ -4,8 +4,10 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tillroll.llm import words as W
+from tillroll.llm.ship import BATCH_BYTES, ship
 
 texts = st.lists(st.one_of(st.none(), st.text(alphabet="aAbZ09 \t\n\x0b\x0c\r.,-é漢\x00|", max_size=40)), max_size=8)
 
@@ -38,3 +40,15 @@ def test_chunks_cover_all_rows_once():
     parts = list(W.chunks(iter([batch, batch.slice(0, 0)]), "text", 10))
     assert [x for p in parts for x in p.column(0).to_pylist()] == list(range(9))
     assert all(p.num_rows == 1 or p.column(1).nbytes <= 100 for p in parts)
+
+
+def test_a_worker_gets_texts_in_small_batches(spark):
+    texts = ship(spark).range(0, 30, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    sizes = [r.n for r in texts.mapInArrow(lambda batches: (pa.record_batch({"n": [b.nbytes]}) for b in batches), "n bigint").collect()]
+    assert sum(sizes) >= 30 << 20 and max(sizes) <= 2 * BATCH_BYTES
+
+
+def test_powers_are_kept_for_a_chunk_only():
+    powers = W._Powers()
+    assert [len(x) for x in powers.upto(10)] == [W.CHUNK_BYTES + 1] * 2
+    assert [len(x) for x in powers.upto(2 * W.CHUNK_BYTES)] == [2 * W.CHUNK_BYTES] * 2
