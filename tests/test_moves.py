@@ -3,7 +3,7 @@
 from pathlib import Path
 
 import pytest
-from helpers import tuples
+from helpers import MINI_FEED, feed, tuples
 from pyspark.sql import functions as F
 
 from harness.feed import feed_in_order, messy_feed
@@ -14,6 +14,9 @@ from tillroll.operators import positions
 from tillroll.operators.firsts import first_positions, first_values, key_hashes
 from tillroll.operators.lookup import measured_bytes
 from tillroll.operators.positions import keep_numbered, number_kept, position_sets
+from tillroll.operators.staging import Staging
+from tillroll.plans import star
+from tillroll.plans.retail import load
 from tillroll.plans.star import customers, fact, products, regions
 from tillroll.session import TASK_BYTES, tune
 from tillroll.sources.schemas import ORDINAL
@@ -99,6 +102,48 @@ def test_lines_go_to_large_dimensions_without_amounts_and_give_the_same_fact(spa
     assert "rint" in behind and "rint" not in before
 
 
+def few_lines(spark, staging, name="few"):
+    lines = spark.range(60).select(
+        (F.col("id") + 1).alias("line_no"), F.concat(F.lit("o"), "id").alias("order_id"), F.lit("1997-02-03").cast("date").alias("order_date"),
+        F.concat(F.lit("c"), F.col("id") % 7).alias("customer_id"), F.lit("n").alias("customer_name"), F.lit("r").alias("region"),
+        F.when(F.col("id") % 9 > 0, F.concat(F.lit("p"), F.col("id") % 11)).alias("product_name"), F.lit("Beauty").alias("category"),
+        F.lit(2.0).alias("quantity"), F.lit(3.5).alias("unit_price"), F.lit(0.0).alias("discount_percent"), F.lit("m").alias("payment_method"),
+        F.lit("s").alias("sales_channel"))
+    clean = staging.write(derive_amounts(lines), name)
+    dims = [staging.write(customers(clean, staging), "fc"), staging.write(products(clean, staging), "fp"), staging.write(regions(clean, staging), "fr").withColumnRenamed("region", "region_name")]
+    return clean, dims
+
+
+def test_texts_of_keys_are_neither_broadcast_nor_moved_for_the_fact(spark, staging, monkeypatch, unbroadcast):
+    clean, dims = few_lines(spark, staging)
+    monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", 0)
+    moved = [line for line in plan(fact(clean, *dims)).splitlines() if "Exchange hashpartitioning(_cold_key" in line]
+    assert moved and not any("_name" in line or "customer_id#" in line for line in moved)
+
+
+def test_keys_that_share_a_hash_are_met_by_themselves(spark, staging, monkeypatch):
+    clean, dims = few_lines(spark, staging)
+    expected = sorted(map(tuple, fact(clean, *dims).collect()), key=str)
+    assert {r[3] is None for r in expected} == {True, False}
+    monkeypatch.setattr(star, "key_hash", lambda name: F.when(F.col(name).isNotNull(), F.xxhash64(name).bitwiseAND(F.lit(1))))
+    assert sorted(map(tuple, fact(clean, *dims).collect()), key=str) == expected
+
+
+def test_lines_that_large_dimensions_move_are_not_moved_by_year_before(spark, staging, tmp_path, monkeypatch):
+    raw = feed(spark, MINI_FEED)
+    rows = sorted(map(tuple, load(raw, str(tmp_path / "small"), staging).warehouse["fact_sales"].collect()), key=str)
+    monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", 0)
+    large = load(raw, str(tmp_path / "large"), Staging(spark))
+    assert "REBALANCE" not in large.plans["clean"]
+    assert sorted(map(tuple, large.warehouse["fact_sales"].collect()), key=str) == rows and len(rows) > 3
+
+
+def test_clean_lines_are_written_without_amounts(spark, staging, tmp_path):
+    done = load(feed(spark, MINI_FEED), str(tmp_path / "warehouse"), staging)
+    assert "rint" not in done.plans["clean"].split("REBALANCE", 1)[0] and "profit_amount" in done.cleaned.lines.columns
+    assert "profit_amount" not in spark.read.parquet(f"{staging.folder}/clean").columns
+
+
 @pytest.mark.parametrize("bound", ["within", "beyond"])
 def test_first_rows_leave_known_keys_out(spark, staging, request, bound):
     if bound == "beyond":

@@ -9,6 +9,13 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 << 20
 # A key is hot from a 2000th of all lines on, so there are never more than 2000 hot keys.
 HOT_KEYS = 2000
+# Measured bytes of a row of two numbers, such as the hash of a natural key and its surrogate key.
+KEY_BYTES = 32
+
+
+def keys_fit(n: int) -> bool:
+    """Whether a table of as many hashes and surrogate keys is within the bound of a broadcast."""
+    return n * KEY_BYTES <= BROADCAST_BYTES
 
 
 def measured_bytes(table: DataFrame) -> int:

@@ -26,7 +26,7 @@ from tillroll.operators.positions import bounded_broadcast, with_positions
 from tillroll.operators.staging import Staging, side_by_side
 from tillroll.plans.analytics import monthly_kpis
 from tillroll.plans.cleaning import (
-    DEDUP_KEYS, Cleaned, by_year, cap_outliers, category_medians, dedup_lines, drop_invalid, impute_defaults, is_outlier, profile_lines, typed_lines,
+    DEDUP_KEYS, Cleaned, cap_outliers, category_medians, dedup_lines, drop_invalid, impute_defaults, is_outlier, profile_lines, typed_lines, write_clean,
 )
 from tillroll.plans.quality import constraint_checks, require_passed
 from tillroll.plans.star import dates, fact
@@ -82,7 +82,7 @@ def clean_further(typed: DataFrame, spark: SparkSession, root: str, base: str, n
     valid = impute_defaults(drop_invalid(with_positions(typed, ORDINAL, staging)))
     published = reduce(DataFrame.unionByName, stored_parts(spark, root, base, LINE_HASHES))
     kept = dedup_lines(cap_outliers(valid, medians), staging, published).withColumn("line_no", F.col("line_no") + n_base)
-    return Cleaned(staging.write(by_year(kept), "clean"), profile, medians)
+    return Cleaned(write_clean(kept, typed, staging), profile, medians)
 
 
 def further_members(

@@ -27,7 +27,7 @@ from tillroll.functions.text import (
     title_case,
 )
 from tillroll.operators.firsts import first_positions
-from tillroll.operators.lookup import lookup
+from tillroll.operators.lookup import keys_fit, lookup
 from tillroll.operators.medians import group_medians
 from tillroll.operators.ordering import freeze_in_order
 from tillroll.operators.positions import number_kept, with_positions
@@ -130,14 +130,23 @@ def dedup_lines(lines: DataFrame, staging: Staging, published: DataFrame | None
     return number_kept(lines, firsts, "line_no")
 
 
-def by_year(lines: DataFrame) -> DataFrame:
-    """Clean lines with their amounts, in files of one year each as far as they are large enough.
+def moves_later(typed: DataFrame) -> bool:
+    """Whether customers or products are, about, too many for a broadcast, so that their lookups move the fact's lines."""
+    counts = typed.agg(F.approx_count_distinct("customer_id").alias("customers"), F.approx_count_distinct("product_name").alias("products")).first()
+    return not (keys_fit(counts["customers"]) and keys_fit(counts["products"]))
+
+
+def write_clean(kept: DataFrame, typed: DataFrame, staging: Staging) -> DataFrame:
+    """Clean lines, written in files of one year each as far as they are large enough.
 
     The one move of whole lines: the fact, which is partitioned by year, is written from these files without another.
-    Amounts are derived behind it, for the lines that stay.
+    Where the fact's lookups will move the lines, files of years would be for nothing, and lines are written where they are.
+    Amounts, which follow from the other columns, are derived by whoever reads them.
     """
-    dealt = lines.withColumn("_year", F.year("order_date")).hint("rebalance", "_year")
-    return derive_amounts(dealt.sortWithinPartitions("_year")).select(*CLEAN_COLUMNS, "line_no")
+    kept = kept.select(*RAW_COLUMNS, "line_no")
+    if not moves_later(typed):
+        kept = kept.withColumn("_year", F.year("order_date")).hint("rebalance", "_year").sortWithinPartitions("_year").drop("_year")
+    return derive_amounts(staging.write(kept, "clean")).select(*CLEAN_COLUMNS, "line_no")
 
 
 @dataclass
@@ -161,4 +170,4 @@ def clean_sales(raw: DataFrame, staging: Staging) -> Cleaned:
     profile, medians = profile_typed(typed, staging)
     valid = impute_defaults(drop_invalid(with_positions(typed, ORDINAL, staging)))
     kept = dedup_lines(cap_outliers(valid, medians), staging)
-    return Cleaned(staging.write(by_year(kept), "clean"), profile, medians)
+    return Cleaned(write_clean(kept, typed, staging), profile, medians)

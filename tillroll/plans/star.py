@@ -51,11 +51,23 @@ def dates(clean: DataFrame) -> DataFrame:
     return clean.select("order_date").distinct().select(*date_attributes(F.col("order_date")))
 
 
+def key_hash(name: str) -> Column:
+    """64 bits by which lines meet their dimension; null for null."""
+    return F.when(F.col(name).isNotNull(), F.xxhash64(name))
+
+
+def hashes_differ(table: DataFrame, key: str) -> bool:
+    """Whether no two of the natural keys share a hash, so that hashes can stand for them."""
+    counts = table.where(F.col(key).isNotNull()).agg(F.count("*").alias("n"), F.count_distinct(key_hash(key)).alias("hashes")).first()
+    return counts["n"] == counts["hashes"]
+
+
 def fact(clean: DataFrame, customer: DataFrame, product: DataFrame, region: DataFrame) -> DataFrame:
     """Natural keys replaced by surrogate keys, ``sale_key`` in feed order.
 
-    Where dimensions are beyond the broadcast bound, lines are shuffled: without their amounts, which are derived behind it,
-    and by the longest keys first, which then stay behind.
+    Lines have a row in every dimension, and meet it by a hash of the natural key, or by the key itself where two keys of the
+    dimension share one. So keys as text are neither broadcast nor moved. Where dimensions are beyond the broadcast bound, lines
+    are shuffled without their amounts, which are derived behind it.
 
     A value that does not fit its column turns null here and fails the NOT NULL check before the
     tables are published, with a count, instead of ending the job on one row.
@@ -70,10 +82,15 @@ def fact(clean: DataFrame, customer: DataFrame, product: DataFrame, region: Data
         "product_name": product.select("product_name", "product_key", "n_lines"),
         "customer_id": customer.select("customer_id", "customer_key", "n_lines"),
     }
-    sizes = side_by_side(clean.sparkSession, *[partial(measured_bytes, table) for table in dimensions.values()])
-    keyed = clean.drop(*AMOUNT_COLUMNS).withColumnRenamed("region", "region_name")
-    for (key, table), size in zip(dimensions.items(), sizes):
-        keyed = lookup(keyed, table, key, weight="n_lines", table_bytes=size)
+    told = side_by_side(clean.sparkSession, *[partial(hashes_differ, table, key) for key, table in dimensions.items()])
+    keyed, by = clean.drop(*AMOUNT_COLUMNS).withColumnRenamed("region", "region_name"), {}
+    for (key, table), differ in zip(dimensions.items(), told, strict=True):
+        by[key] = f"{key}_hash" if differ else key
+        dimensions[key] = table.withColumn(by[key], key_hash(key)).drop(key) if differ else table
+        keyed = keyed.withColumn(by[key], key_hash(key)).drop(key) if differ else keyed
+    sizes = side_by_side(clean.sparkSession, *[partial(measured_bytes, table.drop("n_lines")) for table in dimensions.values()])
+    for (key, table), size in zip(dimensions.items(), sizes, strict=True):
+        keyed = lookup(keyed, table, by[key], weight="n_lines", table_bytes=size).drop(by[key])
     computed = {"sale_key": F.col("line_no").alias("sale_key"), "date_key": date_key(F.col("order_date")).alias("date_key")}
     return derive_amounts(keyed).select(*[computed.get(name, fitted(name)) for name in types])
 
