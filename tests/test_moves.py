@@ -1,5 +1,6 @@
 """What moves where lines are sorted, numbered and written: nothing wider than it must, and the same rows."""
 
+import re
 from pathlib import Path
 
 import pytest
@@ -16,9 +17,11 @@ from tillroll.operators.lookup import measured_bytes
 from tillroll.operators.positions import keep_numbered, number_kept, position_sets
 from tillroll.operators.staging import Staging
 from tillroll.plans import star
+from tillroll.plans.cleaning import typed_lines
 from tillroll.plans.retail import load
 from tillroll.plans.star import customers, fact, products, regions
-from tillroll.session import TASK_BYTES, tune
+from tillroll.session import SETTINGS, TASK_BYTES, tune
+from tillroll.sources.feed import read_feed, write_csv
 from tillroll.sources.schemas import ORDINAL
 
 SF_DIR = Path("/root/testdata/sf0.001")
@@ -156,6 +159,13 @@ def test_first_rows_leave_known_keys_out(spark, staging, request, bound):
     assert staging.plans["firsts-hashes"].count("Exchange hashpartitioning") == 1 and "Join" not in staging.plans["firsts-hashes"]
 
 
+def test_typing_the_feed_is_code_that_the_jvm_compiles(spark, tmp_path, capsys):
+    write_csv(feed(spark, MINI_FEED).drop(ORDINAL), str(tmp_path / "feed"))
+    typed_lines(read_feed(spark, str(tmp_path / "feed"))).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < int(SETTINGS["spark.sql.codegen.hugeMethodLimit"])
+
+
 def test_measured_bytes_counts_binary(spark):
     df = spark.range(3).select(F.encode(F.repeat(F.lit("x"), 1000), "UTF-8").alias("b"))
     assert 3000 <= measured_bytes(df) <= 3200

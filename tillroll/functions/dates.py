@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from tillroll.functions.text import strip
 
 # A day may be written with a space instead of a leading zero when a separator comes before it.
-_YEAR_FIRST = r"^[0-9]{4}-[0-9]{1,2}-(?:[0-9]{1,2}| [1-9])$"
+# There is no year 0, but Spark has one.
+_YEAR_FIRST = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-(?:[0-9]{1,2}| [1-9])$"
 _DAY_FIRST = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
 _MONTH_FIRST = r"^([0-9]{1,2})-([0-9]{1,2}| [1-9])-([0-9]{4})$"
-_MONTH_NAME = r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$"
+_MONTH_NAME = r"^[0-9]{1,2}-[A-Za-z]{3}-(?!0000)[0-9]{4}$"
 
 
 def year_first(text: Column) -> Column:
@@ -27,8 +28,7 @@ def parse_year_first(text: Column) -> Column:
     """
     numeric = F.when(text.rlike(_YEAR_FIRST), F.replace(text, F.lit(" "), F.lit(""))).try_cast("date")
     named = F.try_to_date(F.when(text.rlike(_MONTH_NAME), text), "d-MMM-yyyy")
-    # There is no year 0, but Spark has one.
-    return F.coalesce(F.when(~F.startswith(text, F.lit("0000")), numeric), F.when(~F.endswith(text, F.lit("0000")), named))
+    return F.coalesce(numeric, named)
 
 
 def parse_order_date(c: Column) -> Column:

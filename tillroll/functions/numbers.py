@@ -15,8 +15,10 @@ COST_RATIO = {
 }
 DEFAULT_COST_RATIO = 0.60
 
-_DECIMAL_TEXT = r"^[ \t\n\x0B\f\r]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[ \t\n\x0B\f\r]*$"
-_INFINITE_TEXT = r"(?i)^[ \t\n\x0B\f\r]*[+-]?inf(?:inity)?[ \t\n\x0B\f\r]*$"
+_BLANKS = r"[ \t\n\x0B\f\r]*"
+_INFINITE = r"[+-]?(?i:inf(?:inity)?)"
+_INFINITE_TEXT = f"^{_BLANKS}{_INFINITE}{_BLANKS}$"
+_NUMBER_TEXT = f"^{_BLANKS}(?:[+-]?(?:[0-9]+\\.?[0-9]*|\\.[0-9]+)(?:[eE][+-]?[0-9]+)?|{_INFINITE}){_BLANKS}$"
 
 
 def coerce_number(c: Column) -> Column:
@@ -25,10 +27,8 @@ def coerce_number(c: Column) -> Column:
     The pattern keeps out what only the JVM reads as a number (type suffixes, hexadecimal). A decimal
     text too large for a double is null, and NaN never comes out, since NaN > 0 holds in Spark.
     """
-    number = F.when(c.rlike(_DECIMAL_TEXT), c).try_cast("double")
-    infinite = F.when(c.rlike(_INFINITE_TEXT), c).try_cast("double")
-    finite = F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
-    return F.coalesce(finite, infinite)
+    number = F.when(c.rlike(_NUMBER_TEXT), c).try_cast("double")
+    return F.when((F.abs(number) < float("inf")) | c.rlike(_INFINITE_TEXT), number)
 
 
 def discount_or_zero(c: Column) -> Column:

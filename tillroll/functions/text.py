@@ -68,8 +68,11 @@ def title_case(c: Column) -> Column:
 
 def canonical_category(c: Column) -> Column:
     """C4: for labels already in title case."""
-    labels = F.create_map(*[F.lit(x) for pair in CANONICAL_CATEGORY.items() for x in pair])
-    return F.coalesce(F.try_element_at(labels, c), c)
+    first, *rest = CANONICAL_CATEGORY.items()
+    label = F.when(c == first[0], first[1])
+    for written, meant in rest:
+        label = label.when(c == written, meant)
+    return label.otherwise(c)
 
 
 def impute(c: Column, default: str) -> Column:
