@@ -163,11 +163,15 @@ def classes_of(docs: DataFrame, staging: Staging, doc_id: str, text: str) -> tup
 
 
 def blocks_of(classes: DataFrame, staging: Staging) -> DataFrame:
-    """(class, block): classes that a chain of equal signatures connects; those that meet no other are left out."""
-    rows = classes.select("class", F.posexplode("signatures").alias("k", "s")).select("class", F.xxhash64("k", "s").alias("cell"))
-    met = rows.groupBy("cell").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most").select("cell", "least")
-    edges = rows.join(met, "cell").where(F.col("class") != F.col("least")).select(F.col("class").alias("u"), F.col("least").alias("v"))
-    return components(edges, staging, "blocks").withColumnsRenamed({"node": "class", "root": "block"})
+    """(class, block): classes that a chain of equal signatures connects; those that meet no other are left out.
+
+    Classes meet as 64-bit hashes of their fingerprints, half as wide as these; two that share one are in one block.
+    """
+    known = classes.select("class", F.xxhash64("class").alias("node"), "signatures")
+    rows = known.select("node", F.posexplode("signatures").alias("k", "s")).select("node", F.xxhash64("k", "s").alias("cell"))
+    met = rows.groupBy("cell").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("cell", "least")
+    edges = rows.join(met, "cell").where(F.col("node") != F.col("least")).select(F.col("node").alias("u"), F.col("least").alias("v"))
+    return known.select("class", "node").join(components(edges, staging, "blocks"), "node").select("class", F.col("root").alias("block"))
 
 
 def tiles_of(members: DataFrame, staging: Staging) -> DataFrame:
