@@ -140,13 +140,14 @@ def write_clean(kept: DataFrame, typed: DataFrame, staging: Staging) -> DataFram
     """Clean lines, written in files of one year each as far as they are large enough.
 
     The one move of whole lines: the fact, which is partitioned by year, is written from these files without another.
-    Where the fact's lookups will move the lines, files of years would be for nothing, and lines are written where they are.
-    Amounts, which follow from the other columns, are derived by whoever reads them.
+    Where the fact's lookups will move the lines, files of years would be for nothing: lines are written where they are, and
+    without amounts, which readers derive.
     """
     kept = kept.select(*RAW_COLUMNS, "line_no")
-    if not moves_later(typed):
-        kept = kept.withColumn("_year", F.year("order_date")).hint("rebalance", "_year").sortWithinPartitions("_year").drop("_year")
-    return derive_amounts(staging.write(kept, "clean")).select(*CLEAN_COLUMNS, "line_no")
+    if moves_later(typed):
+        return derive_amounts(staging.write(kept, "clean")).select(*CLEAN_COLUMNS, "line_no")
+    dealt = kept.withColumn("_year", F.year("order_date")).hint("rebalance", "_year").sortWithinPartitions("_year")
+    return staging.write(derive_amounts(dealt).select(*CLEAN_COLUMNS, "line_no"), "clean")
 
 
 @dataclass
