@@ -1,6 +1,7 @@
 """What moves where lines are sorted, numbered and written: nothing wider than it must, and the same rows."""
 
 import re
+import time
 from pathlib import Path
 
 import pytest
@@ -218,3 +219,35 @@ class TestDriverTables:
     def test_the_fact_is_written_without_moving_lines_again(self, spark):
         plans = workspace(spark, str(SF_DIR)).load.plans
         assert "REBALANCE" not in plans["fact_sales"] and "REBALANCE" in plans["clean"]
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {p.name for folder in folders for p in Path(folder).rglob("shuffle_*")}
+
+
+def test_shuffle_files_go_with_their_query(spark, staging):
+    before = shuffle_files(spark)
+    staging.write(spark.range(10_000).repartition(3, "id"), "moved")
+    until = time.time() + 30
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+
+
+def test_a_load_deletes_what_it_has_read_for_the_last_time(spark, staging, tmp_path, monkeypatch, unbroadcast):
+    monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", 0)
+    done = load(feed(spark, MINI_FEED), str(tmp_path / "wh"), staging)
+    left = {p.name for p in Path(staging.folder).iterdir()}
+    assert "clean" in left and not left & {"typed", star.KEYED_LINES} and {"typed", f"{star.KEYED_LINES}/customer_id"} <= set(staging.plans)
+    assert done.cleaned.lines.count() == done.warehouse.rows("fact_sales") == 5
+
+
+def test_one_shuffle_of_the_facts_lines_is_over_before_the_next(spark, staging, monkeypatch, unbroadcast):
+    clean, dims = few_lines(spark, staging)
+    monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", 0)
+    at_once, by_steps = fact(clean, *dims), fact(clean, *dims, staging)
+    moves = "Exchange hashpartitioning(_cold_key"
+    steps = [plan(by_steps), *(staging.plans[f"{star.KEYED_LINES}/{key}"] for key in ("product_name", "customer_id"))]
+    assert plan(at_once).count(moves) == 3 and [text.count(moves) for text in steps] == [1, 1, 1]
+    assert sorted(map(tuple, by_steps.collect()), key=str) == sorted(map(tuple, at_once.collect()), key=str)

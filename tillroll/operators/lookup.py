@@ -18,6 +18,11 @@ def keys_fit(n: int) -> bool:
     return n * KEY_BYTES <= BROADCAST_BYTES
 
 
+def is_broadcast(table_bytes: int) -> bool:
+    """Whether lines meet a table of this measured size where they are."""
+    return table_bytes <= BROADCAST_BYTES
+
+
 def measured_bytes(table: DataFrame) -> int:
     """Size of the values of a table: one aggregate, bytes of text and binary plus the width of fixed types."""
     fixed, texts = 16, []

@@ -29,7 +29,7 @@ from tillroll.plans.cleaning import (
     DEDUP_KEYS, Cleaned, cap_outliers, category_medians, dedup_lines, drop_invalid, impute_defaults, is_outlier, profile_lines, typed_lines, write_clean,
 )
 from tillroll.plans.quality import constraint_checks, require_passed
-from tillroll.plans.star import dates, fact
+from tillroll.plans.star import KEYED_LINES, dates, fact
 from tillroll.sources.schemas import ORDINAL
 from tillroll.sources.warehouse import (
     HOT_LINES, LINE_HASHES, MEDIANS, MONTHLY, PROFILE, SALE_YEAR, Warehouse, add_to_run, added_to, discard_run, hot_keys, last_published,
@@ -117,7 +117,7 @@ def further_star(clean: DataFrame, base: Warehouse, staging: Staging) -> dict[st
         "dim_product": product,
         "dim_region": region.withColumnRenamed("region", "region_name"),
         "dim_date": dates(clean).join(base["dim_date"].select("date_key"), "date_key", "left_anti"),
-        "fact_sales": fact(clean, customers, products, regions.withColumnRenamed("region", "region_name")),
+        "fact_sales": fact(clean, customers, products, regions.withColumnRenamed("region", "region_name"), staging),
         HOT_LINES: hot_keys({"customer_key": customers, "product_key": products, "region_key": regions}),
     }
 
@@ -150,6 +150,7 @@ def append(raw: DataFrame, root: str, staging: Staging) -> Appended:
         attempt += 1
         done = _append_to(typed, root, number, base, Staging(spark, f"{staging.folder}/attempt-{attempt}"))
         if done:
+            staging.drop("typed")
             return done
 
 
@@ -158,6 +159,7 @@ def _append_to(typed: DataFrame, root: str, number: int, base: str, staging: Sta
     cleaned = clean_further(typed, spark, root, base, old.rows("fact_sales"), staging)
     n_overtaken = overtaken(stored_parts(spark, root, base, PROFILE), stored_parts(spark, root, base, MEDIANS), cleaned.medians)
     part = write_run(further_star(cleaned.lines, old, staging) | stored_state(cleaned), root)
+    staging.drop(KEYED_LINES)
     run = added_to(base, part)
     try:
         star, added = read_run(spark, root, run, extras=False), read_run(spark, root, part, extras=False)["fact_sales"]

@@ -166,9 +166,11 @@ def profile_typed(typed: DataFrame, staging: Staging) -> tuple[DataFrame, DataFr
 
 
 def clean_sales(raw: DataFrame, staging: Staging) -> Cleaned:
-    """``raw`` has the 12 text columns and ``src_ordinal``."""
+    """``raw`` has the 12 text columns and ``src_ordinal``. The typed lines are deleted once the clean ones are written."""
     typed = staging.write(typed_lines(raw), "typed")
     profile, medians = profile_typed(typed, staging)
     valid = impute_defaults(drop_invalid(with_positions(typed, ORDINAL, staging)))
     kept = dedup_lines(cap_outliers(valid, medians), staging)
-    return Cleaned(write_clean(kept, typed, staging), profile, medians)
+    cleaned = Cleaned(write_clean(kept, typed, staging), profile, medians)
+    staging.drop("typed")
+    return cleaned

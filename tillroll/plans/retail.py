@@ -11,7 +11,7 @@ from tillroll.plans.analytics import monthly_kpis
 from tillroll.plans.append import Appended, append, stored_state
 from tillroll.plans.cleaning import Cleaned, clean_sales
 from tillroll.plans.quality import constraint_checks, dq_metrics, load_counts, require_passed
-from tillroll.plans.star import build_star
+from tillroll.plans.star import KEYED_LINES, build_star
 from tillroll.sources.feed import write_clean_csv
 from tillroll.sources.reports import write_report
 from tillroll.sources.warehouse import MONTHLY, Warehouse, add_to_run, discard_run, publish, read_run, write_run
@@ -34,6 +34,7 @@ def load(raw: DataFrame, root: str, staging: Staging) -> Load:
     spark = raw.sparkSession
     cleaned, plans = clean_sales(raw, staging), {}
     run = write_run(build_star(cleaned.lines, staging) | stored_state(cleaned), root, plans)
+    staging.drop(KEYED_LINES)
     try:
         star = read_run(spark, root, run, extras=False)
         require_passed(constraint_checks(star))

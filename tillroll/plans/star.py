@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from tillroll.functions.dates import date_attributes, date_key
 from tillroll.functions.numbers import derive_amounts
 from tillroll.operators.firsts import first_values
-from tillroll.operators.lookup import lookup, measured_bytes
+from tillroll.operators.lookup import is_broadcast, lookup, measured_bytes
 from tillroll.operators.ordering import freeze_in_order, number_rows
 from tillroll.operators.staging import Staging, side_by_side
 from tillroll.sources.schemas import AMOUNT_COLUMNS, FACT_SALES
 from tillroll.sources.warehouse import HOT_LINES, hot_keys
 
+# Folder of the written tables of lines between two lookups that shuffle them.
+KEYED_LINES = "keyed_lines"
+
 
 def keyed_dimension(
     clean: DataFrame, natural_key: str, payload: list[str], surrogate_key: str, staging: Staging
@@ -62,12 +65,13 @@ def hashes_differ(table: DataFrame, key: str) -> bool:
     return counts["n"] == counts["hashes"]
 
 
-def fact(clean: DataFrame, customer: DataFrame, product: DataFrame, region: DataFrame) -> DataFrame:
+def fact(clean: DataFrame, customer: DataFrame, product: DataFrame, region: DataFrame, staging: Staging | None = None) -> DataFrame:
     """Natural keys replaced by surrogate keys, ``sale_key`` in feed order.
 
     Lines have a row in every dimension, and meet it by a hash of the natural key, or by the key itself where two keys of the
     dimension share one. So keys as text are neither broadcast nor moved. Where dimensions are beyond the broadcast bound, lines
-    are shuffled without their amounts, which are derived behind it.
+    are shuffled without their amounts, which are derived behind it. With ``staging``, lines that are shuffled a second time are
+    written before (KEYED_LINES, for the caller to drop), so that the files of one shuffle are gone when the next begins.
 
     A value that does not fit its column turns null here and fails the NOT NULL check before the
     tables are published, with a count, instead of ending the job on one row.
@@ -89,7 +93,12 @@ def fact(clean: DataFrame, customer: DataFrame, product: DataFrame, region: Data
         dimensions[key] = table.withColumn(by[key], key_hash(key)).drop(key) if differ else table
         keyed = keyed.withColumn(by[key], key_hash(key)).drop(key) if differ else keyed
     sizes = side_by_side(clean.sparkSession, *[partial(measured_bytes, table.drop("n_lines")) for table in dimensions.values()])
+    moved = False
     for (key, table), size in zip(dimensions.items(), sizes, strict=True):
+        moves = not is_broadcast(size)
+        if moves and moved and staging:
+            keyed = staging.write(keyed, f"{KEYED_LINES}/{key}")
+        moved = moved or moves
         keyed = lookup(keyed, table, by[key], weight="n_lines", table_bytes=size).drop(by[key])
     computed = {"sale_key": F.col("line_no").alias("sale_key"), "date_key": date_key(F.col("order_date")).alias("date_key")}
     return derive_amounts(keyed).select(*[computed.get(name, fitted(name)) for name in types])
@@ -108,6 +117,6 @@ def build_star(clean: DataFrame, staging: Staging) -> dict[str, DataFrame]:
         "dim_product": product.drop("n_lines"),
         "dim_region": region.drop("n_lines"),
         "dim_date": dates(clean),
-        "fact_sales": fact(clean, customer, product, region),
+        "fact_sales": fact(clean, customer, product, region, staging),
         HOT_LINES: hot_keys({"customer_key": customer, "product_key": product, "region_key": region}),
     }
