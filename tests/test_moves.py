@@ -17,13 +17,14 @@ from tillroll.operators.firsts import first_positions, first_values, key_hashes
 from tillroll.operators.lookup import measured_bytes
 from tillroll.operators.positions import keep_numbered, number_kept, position_sets
 from tillroll.operators.staging import Staging
-from tillroll.plans import star
+from tillroll.plans import analytics, star
 from tillroll.plans.cleaning import typed_lines
 from tillroll.plans.retail import load
 from tillroll.plans.star import customers, fact, products, regions
 from tillroll.session import SETTINGS, TASK_BYTES, tune
 from tillroll.sources.feed import read_feed, write_csv
-from tillroll.sources.schemas import ORDINAL
+from tillroll.sources.schemas import FACT_SALES, ORDINAL
+from tillroll.sources.warehouse import SALE_YEAR, Warehouse
 
 SF_DIR = Path("/root/testdata/sf0.001")
 
@@ -251,3 +252,37 @@ def test_one_shuffle_of_the_facts_lines_is_over_before_the_next(spark, staging,
     steps = [plan(by_steps), *(staging.plans[f"{star.KEYED_LINES}/{key}"] for key in ("product_name", "customer_id"))]
     assert plan(at_once).count(moves) == 3 and [text.count(moves) for text in steps] == [1, 1, 1]
     assert sorted(map(tuple, by_steps.collect()), key=str) == sorted(map(tuple, at_once.collect()), key=str)
+
+
+def odd_amounts(spark):
+    """A fact with amounts that follow from others, some that don't, and null ones."""
+    dec = "decimal(14,2)"
+    lines = spark.range(90).select(
+        (F.col("id") + 1).alias("sale_key"), F.concat(F.lit("o"), "id").alias("order_id"), (F.col("id") % 7 + 1).cast("int").alias("customer_key"),
+        (F.col("id") % 5 + 1).cast("int").alias("product_key"), F.lit(1).alias("region_key"), F.lit(19970203).alias("date_key"), F.lit("m").alias("payment_method"),
+        F.lit("s").alias("sales_channel"), (F.col("id") % 4 + 1).cast("int").alias("quantity"), (F.col("id") * 1.37 + 1).cast("decimal(12,2)").alias("unit_price"),
+        F.lit(5).cast("decimal(5,2)").alias("discount_percent"), F.lit(0.31).cast(dec).alias("discount_amount"), F.lit(0.5).cast(dec).alias("cost_amount"))
+    amounts = {"gross_amount": "quantity * unit_price", "net_amount": "gross_amount - discount_amount", "profit_amount": "net_amount - cost_amount"}
+    for i, (name, value) in enumerate(amounts.items()):
+        follows = F.when(F.col("sale_key") % 11 == i, F.lit(None)).when(F.col("sale_key") % 13 == i, F.lit(7.25)).otherwise(F.expr(value))
+        lines = lines.withColumn(name, follows.cast(dec))
+    lines = lines.withColumn("discount_amount", F.when(F.col("sale_key") % 17 > 0, F.col("discount_amount")))
+    return lines.select(*FACT_SALES.names, F.lit(1997).alias(SALE_YEAR))
+
+
+def test_the_flat_views_lines_move_without_what_they_are_told_later(spark, staging, monkeypatch, unbroadcast):
+    days = spark.sql("SELECT 19970203 date_key, DATE'1997-02-03' full_date, 1997 year, 1 quarter, 2 month, 'February' month_name, 3 day, 'Monday' weekday_name")
+    customer = spark.range(1, 7).selectExpr("int(id) customer_key", "concat('c', id) customer_id", "repeat('n', 40) customer_name")
+    product = spark.range(1, 6).selectExpr("int(id) product_key", "concat('p', id) product_name", "'Beauty' category")
+    tables = {"fact_sales": odd_amounts(spark), "dim_date": days, "dim_customer": customer, "dim_product": product, "dim_region": spark.sql("SELECT 1 region_key, 'r' region_name")}
+    wh = Warehouse({name: staging.write(table, name) for name, table in tables.items()})
+    expected = sorted(map(tuple, analytics.sales_flat(wh).collect()))
+    assert len(expected) == 78 and sum(None in row for row in expected) > 10
+    monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", 150)
+    large = analytics.sales_flat(wh)
+    behind, *moved = [p for p in plan(large).split("Exchange hashpartitioning(")]
+    joined = [line for line in plan(large).splitlines() if "SortMergeJoin" in line]
+    assert ["product_key" in line for line in joined] == [False, True]  # the last join is printed first, and has the wider rows
+    assert "month_name" in behind and not any("month_name" in text.partition("Scan parquet")[0] for text in moved)
+    assert sorted(map(tuple, large.collect())) == expected
+    assert sorted(map(tuple, analytics.sales_flat(wh, staging).collect())) == expected and "flat_lines-1" in staging.plans
