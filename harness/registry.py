@@ -132,7 +132,8 @@ def clean_csv(ws: Workspace) -> DataFrame:
 def flat_csv(ws: Workspace) -> DataFrame:
     """The flat export, read back."""
     path = f"{Staging(ws.spark).folder}/flat_csv"
-    write_flat_csv(analytics.sales_flat(ws.load.warehouse), path, TEXT_COMPRESSION)
+    with Staging(ws.spark) as staging:
+        write_flat_csv(analytics.sales_flat(ws.load.warehouse, staging), path, TEXT_COMPRESSION)
     texts = ws.spark.read.csv(path, header=True, escape='"')
     numbers = {"sale_key": "bigint", "year": "bigint", "quarter": "bigint", "quantity": "bigint"}
     numbers |= {c: "double" for c in analytics.FLAT_COLUMNS[-7:]}

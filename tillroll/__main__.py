@@ -54,7 +54,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     tune(spark, input_bytes(spark, run_folders(args.warehouse, published_run(spark, args.warehouse))))
     if args.command == "export":
-        write_flat_csv(sales_flat(read_warehouse(spark, args.warehouse)), args.target)
+        with Staging(spark) as staging:
+            write_flat_csv(sales_flat(read_warehouse(spark, args.warehouse), staging), args.target)
     else:
         checks = warehouse_checks(read_warehouse(spark, args.warehouse)).orderBy("position").collect()
         for row in checks:
