@@ -15,7 +15,7 @@ from tillroll.operators import lookup as lookup_module
 from tillroll.operators import positions
 from tillroll.operators.firsts import first_positions, first_values, key_hashes
 from tillroll.operators.lookup import measured_bytes
-from tillroll.operators.positions import keep_numbered, number_kept, position_sets
+from tillroll.operators.positions import block_place, keep_numbered, number_kept, position_sets
 from tillroll.operators.staging import Staging
 from tillroll.plans import analytics, star
 from tillroll.plans.cleaning import typed_lines
@@ -286,3 +286,10 @@ def test_the_flat_views_lines_move_without_what_they_are_told_later(spark, stagi
     assert "month_name" in behind and not any("month_name" in text.partition("Scan parquet")[0] for text in moved)
     assert sorted(map(tuple, large.collect())) == expected
     assert sorted(map(tuple, analytics.sales_flat(wh, staging).collect())) == expected and "flat_lines-1" in staging.plans
+
+
+def test_rows_places_need_no_pattern(spark, tmp_path):
+    (tmp_path / "a b.txt").write_text("x\ny\n")
+    rows = spark.read.text(f"file://{tmp_path}").select(block_place().alias("p")).select("p.path", "p.row")
+    assert "regexp_replace" not in plan(rows)
+    assert tuples(rows, "path", "row") == [(f"file:{tmp_path}/a%20b.txt", i) for i in range(2)]
